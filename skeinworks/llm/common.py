@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -57,3 +58,8 @@ class Scratch:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def extended(df: DataFrame, ddl: str) -> StructType:
+    """The schema of ``df`` with the columns of ``ddl`` after its own."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(ddl).fields])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skeinworks.llm import best_fit_packing, substring_dedup, wu_manber
+from skeinworks.llm import best_fit_packing, cotraining, language_id, secret_scan, simhash, substring_dedup, syncmers, token_rollup, toxicity, wu_manber
 from skeinworks.llm.common import table
 
 
@@ -18,10 +18,45 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing.pack(table(spark, sf_dir, "documents")).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents"), language_id.held_out(5, 0)
+    words = language_id.sample_words(docs, ~held)
+    found = language_id.identify(docs, words, ["doc_id", "text"])
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+def op4_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents"), language_id.held_out(3, 1)
+    model = cotraining.train(docs, table(spark, sf_dir, "labels"), ~held)
+    return cotraining.score(docs, model).select("doc_id", held.alias("held_out"), "content_score", "metadata_score", "score", "predicted")
+
+
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wu_manber.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents"), language_id.held_out(3, 1)
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held)
+    return toxicity.score(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_rollup.rollup_documents(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skeinworks.llm.common import Scratch, extended
+
 WINDOW = 13
 #: Words of benchmark items in one broadcast shard.
 SHARD_WORDS = 400_000
@@ -119,25 +121,23 @@ def find_items(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: i
     lines = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long"), "text")
     total = lines.agg(F.sum(size)).first()[0] or 0
     shards = max(1, -(-total // SHARD_WORDS))
-    form = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*cols).schema)
     if shards == 1:
         shared = spark.sparkContext.broadcast([(r.item_id, r.text) for r in lines.collect()])
-        return docs.select(*cols).mapInArrow(_scan(shared, window), f"{form}, {_FOUND}")
-    from skeinworks.llm.common import Scratch
-
+        rows = docs.select(*cols)
+        return rows.mapInArrow(_scan(shared, window), extended(rows, _FOUND))
     scratch = Scratch(spark, "benchmark")
-    numbered = scratch.write(docs.select(*cols).withColumn("_row", F.monotonically_increasing_id()), "docs")
+    numbered = scratch.write(docs.select(*cols).withColumn("_number", F.monotonically_increasing_id()), "docs")
     found = None
     for k in range(shards):
         part = lines.where(F.pmod(F.xxhash64("item_id"), F.lit(shards)) == k)
         shared = spark.sparkContext.broadcast([(r.item_id, r.text) for r in part.toLocalIterator()])
-        one = numbered.select("_row", "text").mapInArrow(_scan(shared, window), f"_row long, text string, {_FOUND}").drop("text")
+        one = numbered.select("_number", "text").mapInArrow(_scan(shared, window), f"_number long, text string, {_FOUND}").drop("text")
         one = scratch.write(one.where("size(spans) > 0"), f"found{k}")
         found = one if found is None else found.unionByName(one)
-    merged = found.groupBy("_row").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    merged = found.groupBy("_number").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     shared = spark.sparkContext.broadcast([])
-    counts = numbered.mapInArrow(_scan(shared, window), f"{form}, _row long, {_FOUND}").drop("spans", "items")
-    return counts.join(merged, "_row", "left").withColumns({"spans": F.coalesce("spans", F.array().cast("array<struct<a:long,b:long>>")), "items": F.coalesce("items", F.array().cast("array<long>"))}).drop("_row")
+    counts = numbered.mapInArrow(_scan(shared, window), extended(numbered, _FOUND)).drop("spans", "items")
+    return counts.join(merged, "_number", "left").withColumns({"spans": F.coalesce("spans", F.array().cast("array<struct<a:long,b:long>>")), "items": F.coalesce("items", F.array().cast("array<long>"))}).drop("_number")
 
 
 def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,6 +160,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None
     keep = keep or ["doc_id"]
     found = find_items(docs, benchmark, keep, window)
     found = found if "text" in keep else found.drop("text")
-    form = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.drop("spans", "items").schema)
-    out = found.mapInArrow(_tally, f"{form}, n_hit long, n_items long, items_sha256 string")
+    out = found.mapInArrow(_tally, extended(found.drop("spans", "items"), "n_hit long, n_items long, items_sha256 string"))
     return out.withColumn("contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words"))
