@@ -1,6 +1,6 @@
 """Toxicity by Levenshtein automata over a learned lexicon trie, with context windows.
 
-The lexicon is learned from labelled rows: words and stems (word beginnings with several endings) that occur almost
+The lexicon is learned from labelled rows, of which near copies of one text count once: words and stems (word beginnings with several endings) that occur almost
 only in toxic texts. Its trie is intersected with the Levenshtein automaton of one edit: a state is a set of trie nodes
 with the edits spent, made when it is first reached, so a token costs a table look-up a letter and most tokens die
 after a few letters. Hits are counted by kind (exact, stem, one edit) and by context: a hit inside a pair of quotation marks
@@ -17,6 +17,7 @@ without any label); repeated rows are scored alike; extra columns are ignored.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -30,7 +31,7 @@ from skeinworks.llm.logistic import Logistic
 #: Bounds: labelled rows of the sample, and entries of the lexicon.
 SAMPLE, ENTRIES = 20_000, 4000
 PREFIXES = range(3, 8)
-LEAST_DOCS, PRECISION, ENDINGS = 4, 0.9, 4
+LEAST_DOCS, LEAST_SHARE, PRECISION, ENDINGS = 4, 0.004, 0.9, 4
 #: Entries of this length may be misspelled by one edit.
 FUZZY_FROM = 5
 CONTEXT = 80
@@ -212,6 +213,34 @@ def _features_of(model: Model):
     return rows
 
 
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the least hash of the text's five-word shingles: near copies nearly always share it."""
+    for batch in batches:
+        keys = []
+        for text in batch.column(0).to_pylist():
+            words = (text or "").encode().lower().split()
+            keys.append(min(zlib.crc32(b" ".join(words[i : i + 5])) for i in range(max(1, len(words) - 4))))
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *batch.columns], names=["key", "text", "label"])
+
+
+def lexicon(found: dict[str, int], least: float) -> tuple[list[str], list[str]]:
+    """Words and stems of the entries that are precise; ``found`` has their toxic documents, stems marked by a caret.
+
+    A stem is a precise beginning of several precise words, as long as its longer form covers nearly the same documents.
+    """
+    sure = [e for e in found if e[0] != "^"]
+    stems: list[str] = []
+    for entry in sorted((e for e, n in found.items() if e[0] == "^" and n >= least), key=lambda e: (len(e), e)):
+        if any(entry[1:].startswith(x) or x.startswith(entry[1:]) for x in stems):
+            continue
+        while longer := [e for e in found if len(e) == len(entry) + 1 and e.startswith(entry) and found[e] >= 0.9 * found[entry]]:
+            entry = longer[0]
+        if sum(w.startswith(entry[1:]) for w in sure) >= ENDINGS:
+            stems.append(entry[1:])
+    words = [e for e in sure if found[e] >= least and not any(e.startswith(x) for x in stems)]
+    return words[:ENTRIES], stems[:ENTRIES]
+
+
 def train(docs: DataFrame, labels: DataFrame, training: Column, sample: int = SAMPLE) -> Model:
     rows = labels.select("doc_id", "toxic").where(training & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
     rows = rows.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
@@ -219,17 +248,13 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, sample: int = SA
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000_007)) / F.lit(1_000_000_007.0)
     picked = rows.where(place < min(1.0, sample / max(n, 1))).orderBy("doc_id").limit(2 * sample)
     labelled = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "label")  # at most 2 * sample rows
-    stats = labelled.mapInArrow(_stats, "entry string, toxic long, clean long").groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    single = labelled.mapInArrow(_keyed, "key long, text string, label int").dropDuplicates(["key"]).select("text", "label")
+    stats = single.mapInArrow(_stats, "entry string, toxic long, clean long").groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     good = stats.where((F.col("toxic") >= 2) & (F.col("toxic") >= PRECISION * (F.col("toxic") + F.col("clean"))))
-    found = good.orderBy(F.desc("toxic"), "entry").limit(8 * ENTRIES).collect()
-    sure = [r.entry for r in found if r.entry[0] != "^"]
-    stems: list[str] = []
-    for r in sorted((r for r in found if r.entry[0] == "^" and r.toxic >= LEAST_DOCS), key=lambda r: (len(r.entry), r.entry)):
-        stem = r.entry[1:]
-        if not any(stem.startswith(s) for s in stems) and sum(w.startswith(stem) for w in sure) >= ENDINGS:
-            stems.append(stem)
-    words = [r.entry for r in found if r.entry[0] != "^" and r.toxic >= LEAST_DOCS and not any(r.entry.startswith(s) for s in stems)][:ENTRIES]
-    model = Model(words, stems[:ENTRIES], None, 0.0)
+    found = {r.entry: r.toxic for r in good.orderBy(F.desc("toxic"), "entry").limit(8 * ENTRIES).collect()}
+    least = max(LEAST_DOCS, LEAST_SHARE * (picked.where("label = 1").count()))
+    words, stems = lexicon(found, least)
+    model = Model(words, stems, None, 0.0)
     sampled = labelled.mapInArrow(_features_of(model), "f array<double>, label int").toPandas()
     y = sampled["label"].to_numpy(dtype=float) if len(sampled) else np.zeros(0)
     model.base = float(y.mean()) if len(y) else 0.0
