@@ -14,9 +14,10 @@ The steps, each a DataFrame stage written to the shared folder:
    recurring ones and their first place.
 3. The first places are read back as text passages, dealt into shards by anchor (an anchor with many segments is
    spread over several shards, which all get its passages), and each shard compiles one Aho-Corasick automaton
-   over word symbols.
-4. All documents with candidates are streamed through the shards segment by segment. A hit of the automaton is an
-   exact match of 20 words; unless it is the first place, its words are removed.
+   of its passages' anchor phrases (five words each) over an alphabet of words.
+4. All documents with candidates are streamed through the shards segment by segment. Around each phrase found, the
+   20-word windows are compared exactly with the passages' windows; unless it is the first place, a window's words
+   are removed.
 
 Defined cases: a null text has no words; a null id sorts after all others; rows with the same text collapse before
 step 1 (later ids lose every word that a window covers); rows that repeat an id and a text are kept alike, as
@@ -100,15 +101,17 @@ def _slid_min(g: np.ndarray, n: int) -> np.ndarray:
     return np.minimum(g[: len(g) - (n - width)], g[n - width :]) if n > width else g
 
 
+def _grams(h: np.ndarray) -> np.ndarray:
+    g = _rolled(h, GRAM) * _MIX
+    return g ^ (g >> np.uint64(32))
+
+
 def windows_of(data: bytes, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """Hash and anchor of each window of the text."""
     h = word_hashes(data)
     if len(h) < window:
         return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
-    g = _rolled(h, GRAM)
-    g = g * _MIX
-    g ^= g >> np.uint64(32)
-    return _rolled(h, window), _slid_min(g, window - GRAM + 1)
+    return _rolled(h, window), _slid_min(_grams(h), window - GRAM + 1)
 
 
 def _runs(anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -166,7 +169,7 @@ def _segment_rows(window: int, with_text: bool):
                 for s, e in _picked(a, wanted):
                     anchor = int(a[s].view(np.int64))
                     if with_text:
-                        out.append((anchor, id_, key, s, b" ".join(words[s : e + window - 1])))
+                        out.append((anchor, id_, key, s, b" ".join(words[s : e + window - 1]), None))
                     else:
                         hashes = w[s:e].view(np.int64)
                         digest = hashlib.blake2b(hashes.tobytes(), digest_size=8).digest()
@@ -184,7 +187,7 @@ def _batch(out: list[tuple], with_text: bool) -> pa.RecordBatch:
     cols = list(zip(*out, strict=True))
     i64 = pa.int64()
     if with_text:
-        names, types = ("anchor", "id", "key", "start", "words"), (i64, i64, pa.binary(), i64, pa.binary())
+        names, types = ("anchor", "id", "key", "start", "words", "gram"), (i64, i64, pa.binary(), i64, pa.binary(), i64)
     else:
         names, types = ("anchor", "segment", "id", "start", "windows"), (i64, i64, i64, i64, pa.list_(i64))
     return _emit({n: (c, t) for n, c, t in zip(names, cols, types, strict=True)})
@@ -198,14 +201,16 @@ def _passage_rows(window: int):
             out = []
             for id_, text, starts in zip(*(_ids(batch, n) for n in ("id", "text", "starts")), strict=True):
                 words, at, i = text.encode().split(), sorted((x["start"], x["anchor"]) for x in starts), 0
+                grams = _grams(word_hashes(text.encode())).view(np.int64)
                 while i < len(at):
                     j = i
                     while j + 1 < len(at) and at[j + 1] == (at[j][0] + 1, at[i][1]):
                         j += 1
                     s, anchor = at[i]
                     piece = words[s : at[j][0] + window]
-                    if len(piece) >= window:
-                        out.append((anchor, id_, None, s, b" ".join(piece)))
+                    found = np.flatnonzero(grams[s : s + window - GRAM + 1] == anchor)
+                    if len(piece) >= window and len(found):
+                        out.append((anchor, id_, None, s, b" ".join(piece), int(found[0])))
                     i = j + 1
             if out:
                 yield _batch(out, True)
@@ -214,12 +219,17 @@ def _passage_rows(window: int):
 
 
 def _locate(window: int):
-    """One shard: passages come first and are compiled, then segments stream through the automaton."""
+    """One shard: passages come first and their anchor phrases are compiled, then segments stream through the automaton.
+
+    Words are letters of the shard's own alphabet. Around each phrase that the automaton finds, the windows that hold
+    it are compared with the passages' windows as strings, which confirms all of their words.
+    """
     import ahocorasick
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbol: dict[bytes, str] = {}
         first: dict[str, tuple[int, int]] = {}
+        phrases: set[str] = set()
         automaton = None
 
         def letter(word: bytes) -> str:
@@ -232,9 +242,10 @@ def _locate(window: int):
 
         for batch in batches:
             out = []
-            for kind, anchor, id_, key, start, words in zip(*(_ids(batch, n) for n in ("kind", "anchor", "id", "key", "start", "words")), strict=True):
+            for kind, id_, key, start, words, gram in zip(*(_ids(batch, n) for n in ("kind", "id", "key", "start", "words", "gram")), strict=True):
                 if kind == 0:
                     coded = "".join(map(letter, words.split()))
+                    phrases.add(coded[gram : gram + GRAM])
                     for i in range(len(coded) - window + 1):
                         piece, place = coded[i : i + window], (id_, start + i)
                         if piece not in first or place < first[piece]:
@@ -242,25 +253,27 @@ def _locate(window: int):
                     continue
                 if automaton is None:
                     automaton = ahocorasick.Automaton()
-                    for piece, place in first.items():
-                        automaton.add_word(piece, place)
-                    first = {}
-                    if len(automaton):
+                    for phrase in phrases:
+                        automaton.add_word(phrase, True)
+                    if phrases:
                         automaton.make_automaton()
-                if not len(automaton):
+                if not phrases:
                     continue
                 coded = "".join([symbol.get(w, "\0") for w in words.split()])
                 a = b = -1
-                for end, place in automaton.iter(coded):
-                    at = start + end - window + 1
-                    if place == (id_, at):
-                        continue
-                    if a >= 0 and at <= b:
-                        b = at + window
-                        continue
-                    if a >= 0:
-                        out.append((id_, key, a, b))
-                    a, b = at, at + window
+                at = 0
+                for end, _ in automaton.iter(coded):
+                    # Windows that hold this phrase and weren't compared for one before it.
+                    for at in range(max(at, end - window + 1), min(end - GRAM + 1, len(coded) - window) + 1):
+                        place = first.get(coded[at : at + window])
+                        if place is None or place == (id_, start + at):
+                            continue
+                        if a >= 0 and start + at <= b:
+                            b = start + at + window
+                            continue
+                        if a >= 0:
+                            out.append((id_, key, a, b))
+                        a, b = start + at, start + at + window
                 if a >= 0:
                     out.append((id_, key, a, b))
             if out:
@@ -323,7 +336,7 @@ def find_repeats(docs: DataFrame, scratch: Scratch, window: int = WINDOW) -> tup
     found = one.groupBy("anchor", "window").agg(place, F.sum("n").alias("n")).where("n > 1")
     starts = F.collect_list(F.struct(F.col("place.start").alias("start"), "anchor")).alias("starts")
     confirmed = scratch.write(found.groupBy(F.col("place.id").alias("id")).agg(starts), "confirmed")
-    form = "anchor long, id long, key binary, start long, words binary"
+    form = "anchor long, id long, key binary, start long, words binary, gram long"
     passages = scratch.write(candidates.select("id", "text").join(confirmed, "id").mapInArrow(_passage_rows(window), form), "passages")
     scratch.drop("confirmed")
 
