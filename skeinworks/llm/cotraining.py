@@ -85,7 +85,7 @@ class Model:
 
 
 def cotrain(content: np.ndarray, meta: np.ndarray, y: np.ndarray, pool_content: np.ndarray, pool_meta: np.ndarray, rounds: int = ROUNDS) -> Model:
-    held = np.arange(len(y)) % 4 == 0
+    held = np.random.default_rng(4).random(len(y)) < 0.25
     if not len(y) or not all(0 < y[k].mean() < 1 for k in (held, ~held) if k.any()) or held.sum() < 20:
         return Model(None, None, None, float(y.mean()) if len(y) else 0.5)
     own, pools, labels = [content[~held], meta[~held]], [pool_content, pool_meta], y[~held]

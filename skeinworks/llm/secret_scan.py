@@ -1,7 +1,7 @@
 """Secret scan by rules and character Markov models.
 
 Three rules find assignments, access keys and long hexadecimal runs. The method adds to them: two character Markov
-models (order two), one of random strings and one of ordinary identifiers, score every token of a secret's alphabet;
+models (first order), one of random strings and one of ordinary identifiers, score every token of a secret's alphabet;
 tokens of letters and digits whose mean log-likelihood ratio is over a threshold are secrets too. Both models are trained from labelled
 samples: values that the rules found in a bounded sample of texts (with strings drawn evenly from the same alphabets,
 so that few finds suffice) against the other tokens of that sample.
@@ -62,33 +62,27 @@ def rule_spans(text: str | None) -> list[tuple[int, int, str]]:
 
 
 class MarkovPair:
-    """log P(string | random) - log P(string | ordinary), a character, with add-one smoothing over the alphabet."""
+    """log P(string | random) - log P(string | ordinary), a character, by two first-order models with smoothing."""
 
     SIZE = 67
 
     def __init__(self, random_: list[str], ordinary: list[str]):
-        self.tables = []
-        for strings in (random_, ordinary):
-            pairs, singles = Counter(), Counter()
-            for s in strings:
-                s = f"^^{s}"
-                for i in range(2, len(s)):
-                    pairs[s[i - 2 : i + 1]] += 1
-                    singles[s[i - 2 : i]] += 1
-            self.tables.append((pairs, singles))
-        (p1, s1), (p0, s0) = self.tables
+        (p1, s1), (p0, s0) = self._counts(random_), self._counts(ordinary)
         n = self.SIZE
-        self.ratio = {g: math.log((p1[g] + 0.5) / (s1[g[:2]] + 0.5 * n)) - math.log((p0[g] + 0.5) / (s0[g[:2]] + 0.5 * n)) for g in p1.keys() | p0.keys()}
-        self.context = {c: math.log(0.5 / (s1[c] + 0.5 * n)) - math.log(0.5 / (s0[c] + 0.5 * n)) for c in s1.keys() | s0.keys()}
+        alphabet = sorted({c for g in p1.keys() | p0.keys() for c in g})
+        self.ratio = {c + d: math.log((p1[c + d] + 0.5) / (s1[c] + 0.5 * n)) - math.log((p0[c + d] + 0.5) / (s0[c] + 0.5 * n)) for c in alphabet for d in alphabet}
+
+    @staticmethod
+    def _counts(strings: list[str]) -> tuple[Counter, Counter]:
+        pairs = Counter(x for s in strings for x in map("".join, zip(f"^{s}", s, strict=False)))
+        singles: Counter = Counter()
+        for g, k in pairs.items():
+            singles[g[0]] += k
+        return pairs, singles
 
     def score(self, token: str) -> float:
-        s = f"^^{token}"
-        total = 0.0
-        for i in range(2, len(s)):
-            g = s[i - 2 : i + 1]
-            r = self.ratio.get(g)
-            total += self.context.get(g[:2], 0.0) if r is None else r
-        return total / len(token)
+        get = self.ratio.get
+        return sum(get(c + d, 0.0) for c, d in zip(f"^{token}", token, strict=False)) / len(token)
 
 
 def train(docs: DataFrame, sample: int = SAMPLE_DOCS) -> MarkovPair:
