@@ -40,6 +40,8 @@ WINDOW, GRAM = 20, 5
 LAST = (1 << 63) - 1
 #: Segments of one anchor that one shard takes, and passages that one shard's automaton is planned for.
 SEGMENTS_A_SHARD, PASSAGES_A_SHARD = 4000, 15000
+#: Equal segments of a shard are searched once; so many are remembered.
+KNOWN_SEGMENTS = 50_000
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _BASE = 0x9E3779B97F4A7C15
 _M = 1 << 64
@@ -218,6 +220,26 @@ def _passage_rows(window: int):
     return rows
 
 
+def _runs_of(coded: str, automaton, first: dict[str, tuple[int, int]], window: int) -> list[tuple[int, int, tuple[int, int]]]:
+    """Known windows of a segment, as runs (first, last, first place of the first) whose places follow each other."""
+    runs: list[tuple[int, int, tuple[int, int]]] = []
+    after = 0
+    for end, _ in automaton.iter(coded):
+        # Windows that hold this phrase and weren't compared for one before it.
+        for at in range(max(after, end - window + 1), min(end - GRAM + 1, len(coded) - window) + 1):
+            after = at + 1
+            place = first.get(coded[at : at + window])
+            if place is None:
+                continue
+            if runs and runs[-1][1] == at - 1:
+                i, _, (id_, start) = runs[-1]
+                if place == (id_, start + at - i):
+                    runs[-1] = (i, at, (id_, start))
+                    continue
+            runs.append((at, at, place))
+    return runs
+
+
 def _locate(window: int):
     """One shard: passages come first and their anchor phrases are compiled, then segments stream through the automaton.
 
@@ -230,6 +252,7 @@ def _locate(window: int):
         symbol: dict[bytes, str] = {}
         first: dict[str, tuple[int, int]] = {}
         phrases: set[str] = set()
+        known: dict[bytes, list[tuple[int, int, tuple[int, int]]]] = {}
         automaton = None
 
         def letter(word: bytes) -> str:
@@ -259,23 +282,14 @@ def _locate(window: int):
                         automaton.make_automaton()
                 if not phrases:
                     continue
-                coded = "".join([symbol.get(w, "\0") for w in words.split()])
-                a = b = -1
-                at = 0
-                for end, _ in automaton.iter(coded):
-                    # Windows that hold this phrase and weren't compared for one before it.
-                    for at in range(max(at, end - window + 1), min(end - GRAM + 1, len(coded) - window) + 1):
-                        place = first.get(coded[at : at + window])
-                        if place is None or place == (id_, start + at):
-                            continue
-                        if a >= 0 and start + at <= b:
-                            b = start + at + window
-                            continue
-                        if a >= 0:
-                            out.append((id_, key, a, b))
-                        a, b = start + at, start + at + window
-                if a >= 0:
-                    out.append((id_, key, a, b))
+                runs = known.get(words)
+                if runs is None:
+                    if len(known) >= KNOWN_SEGMENTS:
+                        known.clear()
+                    runs = known[words] = _runs_of("".join([symbol.get(w, "\0") for w in words.split()]), automaton, first, window)
+                for i, j, place in runs:
+                    if place != (id_, start + i):
+                        out.append((id_, key, start + i, start + j + window))
             if out:
                 c = list(zip(*out, strict=True))
                 yield _emit({"id": (c[0], pa.int64()), "key": (c[1], pa.binary()), "a": (c[2], pa.int64()), "b": (c[3], pa.int64())})
