@@ -42,6 +42,9 @@ LAST = (1 << 63) - 1
 SEGMENTS_A_SHARD, PASSAGES_A_SHARD = 4000, 15000
 #: Equal segments of a shard are searched once; so many are remembered.
 KNOWN_SEGMENTS = 50_000
+#: A word is so many letters, each from an alphabet of its place: a node of the automaton then has few children to search
+#: (it searches them one by one), and no phrase is found inside a word.
+LETTERS, DIGITS = 4, 63
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _BASE = 0x9E3779B97F4A7C15
 _M = 1 << 64
@@ -108,12 +111,12 @@ def _grams(h: np.ndarray) -> np.ndarray:
     return g ^ (g >> np.uint64(32))
 
 
-def windows_of(data: bytes, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and anchor of each window of the text."""
+def windows_of(data: bytes, window: int = WINDOW, hashed: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Hash (if wanted) and anchor of each window of the text."""
     h = word_hashes(data)
     if len(h) < window:
         return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
-    return _rolled(h, window), _slid_min(_grams(h), window - GRAM + 1)
+    return _rolled(h, window) if hashed else h[:0], _slid_min(_grams(h), window - GRAM + 1)
 
 
 def _runs(anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -140,11 +143,11 @@ def _anchor_rows(window: int):
                 if not len(a):
                     continue
                 values = np.unique(a[_runs(a)[0]])
-                order = np.argsort(w, kind="stable")
-                again = a[order[1:]][w[order[1:]] == w[order[:-1]]]  # anchors of windows that the document repeats itself
+                ordered = np.sort(w)
+                twice = ordered[1:][ordered[1:] == ordered[:-1]]
                 found.append(values.view(np.int64))
                 ids.append(np.full(len(values), id_, dtype=np.int64))
-                many.append(np.isin(values, again))
+                many.append(np.isin(values, a[np.isin(w, twice)]) if len(twice) else np.zeros(len(values), dtype=bool))  # anchors of windows that the document repeats itself
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (found, ids, many)], names=["anchor", "id", "many"])
 
@@ -166,7 +169,7 @@ def _segment_rows(window: int, with_text: bool):
             out: list[tuple] = []
             for id_, key, text, wanted in zip(*(_ids(batch, n) for n in ("id", "key", "text", "anchors")), strict=True):
                 data = text.encode()
-                w, a = windows_of(data, window)
+                w, a = windows_of(data, window, not with_text)
                 words = data.split() if with_text else []
                 for s, e in _picked(a, wanted):
                     anchor = int(a[s].view(np.int64))
@@ -220,30 +223,34 @@ def _passage_rows(window: int):
     return rows
 
 
-def _runs_of(coded: str, automaton, first: dict[str, tuple[int, int]], window: int) -> list[tuple[int, int, tuple[int, int]]]:
-    """Known windows of a segment, as runs (first, last, first place of the first) whose places follow each other."""
-    runs: list[tuple[int, int, tuple[int, int]]] = []
-    after = 0
-    for end, _ in automaton.iter(coded):
+def _known_windows(coded: str, automaton, first: dict[str, tuple[int, int]], window: int) -> tuple[list[tuple[int, int]], set[int], list]:
+    """Known windows of a segment as runs (first, last), the documents of their first places, and the place of each window."""
+    n = len(coded) // LETTERS - window + 1
+    places: list[tuple[int, int] | None] = [None] * n
+    get, after, size = first.get, 0, window * LETTERS
+    for last, _ in automaton.iter(coded):
         # Windows that hold this phrase and weren't compared for one before it.
-        for at in range(max(after, end - window + 1), min(end - GRAM + 1, len(coded) - window) + 1):
-            after = at + 1
-            place = first.get(coded[at : at + window])
-            if place is None:
-                continue
-            if runs and runs[-1][1] == at - 1:
-                i, _, (id_, start) = runs[-1]
-                if place == (id_, start + at - i):
-                    runs[-1] = (i, at, (id_, start))
-                    continue
-            runs.append((at, at, place))
-    return runs
+        end = last // LETTERS
+        low, high = max(after, end - window + 1), min(end - GRAM + 2, n)
+        if high > low:
+            places[low:high] = [get(coded[i : i + size]) for i in range(low * LETTERS, high * LETTERS, LETTERS)]
+            after = high
+    return _known_runs(places), {x[0] for x in places if x}, places
+
+
+def _known_runs(places: list) -> list[tuple[int, int]]:
+    """Runs (first, last) of entries that are not None."""
+    if None not in places:
+        return [(0, len(places) - 1)] if places else []
+    at = [i for i, x in enumerate(places) if x is not None]
+    edges = [k for k in range(1, len(at)) if at[k] != at[k - 1] + 1]
+    return [(at[a], at[b - 1]) for a, b in zip([0, *edges], [*edges, len(at)], strict=True)] if at else []
 
 
 def _locate(window: int):
     """One shard: passages come first and their anchor phrases are compiled, then segments stream through the automaton.
 
-    Words are letters of the shard's own alphabet. Around each phrase that the automaton finds, the windows that hold
+    Words are numbered within the shard and written with ``LETTERS`` letters. Around each phrase that the automaton finds, the windows that hold
     it are compared with the passages' windows as strings, which confirms all of their words.
     """
     import ahocorasick
@@ -252,15 +259,15 @@ def _locate(window: int):
         symbol: dict[bytes, str] = {}
         first: dict[str, tuple[int, int]] = {}
         phrases: set[str] = set()
-        known: dict[bytes, list[tuple[int, int, tuple[int, int]]]] = {}
-        automaton = None
+        known: dict[bytes, tuple[list[tuple[int, int]], set[int], list]] = {}
+        automaton, unknown = None, "\0" * LETTERS
 
         def letter(word: bytes) -> str:
             if word not in symbol:
                 n = len(symbol) + 1
-                if n >= 0x10FFFF - 0x800:
-                    raise ValueError("a shard has more words than an automaton's alphabet; raise the number of shards")
-                symbol[word] = chr(n if n < 0xD800 else n + 0x800)
+                if n >= DIGITS**LETTERS:
+                    raise ValueError("a shard has more words than its alphabet can tell apart; raise the number of shards")
+                symbol[word] = "".join([chr(1 + k * DIGITS + n // DIGITS**k % DIGITS) for k in range(LETTERS)])
             return symbol[word]
 
         for batch in batches:
@@ -268,9 +275,9 @@ def _locate(window: int):
             for kind, id_, key, start, words, gram in zip(*(_ids(batch, n) for n in ("kind", "id", "key", "start", "words", "gram")), strict=True):
                 if kind == 0:
                     coded = "".join(map(letter, words.split()))
-                    phrases.add(coded[gram : gram + GRAM])
-                    for i in range(len(coded) - window + 1):
-                        piece, place = coded[i : i + window], (id_, start + i)
+                    phrases.add(coded[gram * LETTERS : (gram + GRAM) * LETTERS])
+                    for i in range(len(coded) // LETTERS - window + 1):
+                        piece, place = coded[i * LETTERS : (i + window) * LETTERS], (id_, start + i)
                         if piece not in first or place < first[piece]:
                             first[piece] = place
                     continue
@@ -282,14 +289,16 @@ def _locate(window: int):
                         automaton.make_automaton()
                 if not phrases:
                     continue
-                runs = known.get(words)
-                if runs is None:
+                held = known.get(words)
+                if held is None:
                     if len(known) >= KNOWN_SEGMENTS:
                         known.clear()
-                    runs = known[words] = _runs_of("".join([symbol.get(w, "\0") for w in words.split()]), automaton, first, window)
-                for i, j, place in runs:
-                    if place != (id_, start + i):
-                        out.append((id_, key, start + i, start + j + window))
+                    held = known[words] = _known_windows("".join([symbol.get(w, unknown) for w in words.split()]), automaton, first, window)
+                runs, homes, places = held
+                if id_ in homes:  # windows at their own first place stay
+                    runs = _known_runs([None if x == (id_, start + i) else x for i, x in enumerate(places)])
+                for i, j in runs:
+                    out.append((id_, key, start + i, start + j + window))
             if out:
                 c = list(zip(*out, strict=True))
                 yield _emit({"id": (c[0], pa.int64()), "key": (c[1], pa.binary()), "a": (c[2], pa.int64()), "b": (c[3], pa.int64())})
