@@ -52,29 +52,35 @@ _BYTES = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BYTES[_SPACE] = 0
-_powers = np.array([1], dtype=np.uint64)
+_INSIDE = ~_SPACE
+#: Powers of the base and of its inverse are kept for texts up to so many bytes, and made anew for longer ones.
+KEPT_POWERS = 1 << 18
 
 
-def _power_table(n: int) -> np.ndarray:
-    global _powers
-    if len(_powers) < n:
-        size = max(64, n)
-        _powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(size, _BASE | 1, dtype=np.uint64)]), dtype=np.uint64)
-    return _powers
+def _powers(base: int, n: int) -> np.ndarray:
+    factors = np.full(n, base % _M, dtype=np.uint64)
+    factors[:1] = 1
+    return np.multiply.accumulate(factors)
+
+
+_UP, _DOWN = _powers(_BASE, KEPT_POWERS), _powers(pow(_BASE, -1, _M), KEPT_POWERS)
 
 
 def word_hashes(data: bytes) -> np.ndarray:
-    """One 64-bit hash for each word of ``data`` (words end at ASCII white space)."""
+    """One 64-bit hash for each word of ``data`` (words end at ASCII white space).
+
+    Letters are weighted by their place in the text; the inverse power of a word's start makes its hash independent of it.
+    """
     raw = np.frombuffer(data, dtype=np.uint8)
-    inside = ~_SPACE[raw]
-    starts = np.flatnonzero(inside & np.concatenate([[True], ~inside[:-1]]))
+    inside = _INSIDE[raw]
+    edge = inside.copy()
+    edge[1:] &= ~inside[:-1]
+    starts = np.flatnonzero(edge)
     if not len(starts):
         return np.zeros(0, dtype=np.uint64)
-    raw = raw[starts[0] :]
-    starts = starts - starts[0]
-    widths = np.diff(np.append(starts, len(raw)))
-    place = np.arange(len(raw)) - np.repeat(starts, widths)
-    h = np.add.reduceat(_BYTES[raw] * _power_table(int(widths.max()))[place], starts)
+    n = len(raw)
+    up, down = (_UP[:n], _DOWN) if n <= KEPT_POWERS else (_powers(_BASE, n), _powers(pow(_BASE, -1, _M), n))
+    h = np.add.reduceat(_BYTES[raw] * up, starts) * down[starts]
     h ^= h >> np.uint64(29)
     h *= _MIX
     return h ^ (h >> np.uint64(32))
