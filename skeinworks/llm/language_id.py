@@ -16,7 +16,6 @@ ignored by training and prediction.
 from __future__ import annotations
 
 import re
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -98,21 +97,11 @@ class SuffixAutomaton:
 
 
 class CrossParser:
-    _made: dict[str, CrossParser] = {}
-
     def __init__(self, words: dict[str, list[str]]):
         self.langs = list(words)
         self.automata = [SuffixAutomaton(words[x]) for x in self.langs]
         self.memo: dict[str, tuple[int, ...]] = {}
 
-    @classmethod
-    def of(cls, key: str, shared) -> CrossParser:
-        """One for each Python worker and broadcast."""
-        if key not in cls._made:
-            cls._made.clear()
-            cls._made[key] = cls(shared.value)
-        return cls._made[key]
-
     def predict(self, text: str | None) -> tuple[str, float, float]:
         """Language, score from 0 to 1, and phrases a character of the language."""
         words = _WORD.findall(text.lower()) if text else []
@@ -159,10 +148,8 @@ def sample_words(docs: DataFrame, training: Column, docs_a_language: int = DOCS_
 
 
 def _predict(shared, at: int):
-    key = uuid.uuid4().hex
-
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parser = CrossParser.of(key, shared)
+        parser = CrossParser(shared.value)  # for one task: a worker that is used again mustn't keep it
         for batch in batches:
             out = [parser.predict(t) for t in batch.column(at).to_pylist()]
             langs, scores, rates = zip(*out, strict=True) if out else ((), (), ())
