@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skeinworks.llm import best_fit_packing, language_id, secret_scan, simhash, wu_manber
-from skeinworks.llm.common import Scratch, table
+from skeinworks.llm.common import Scratch, small_batches, table
 
 #: SQL has no cross-parsing, no Markov models and no tokenizer; tests hold the stages against brute force.
 ORACLE_SQL = None
@@ -26,6 +26,7 @@ def _held(docs: DataFrame) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     words = language_id.sample_words(docs, F.lit(True))
     found = language_id.identify(_held(docs), words, ["_row", "text"])
     return found.where(F.col("lang_pred") != language_id.UNKNOWN).select("_row.*")
@@ -33,21 +34,25 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The least id of each group stays; of rows that repeat it with the same text, one. Rows without an id stay unless their group has one."""
+    small_batches(spark)
     groups = simhash.near_duplicates(docs)
     stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
     return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["doc_id", "text"])
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     found = wu_manber.decontaminate(_held(docs), table(spark, sf_dir, "benchmark"), ["_row", "text"])
     return found.where("not contaminated").select("_row.*")
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return secret_scan.redact(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return best_fit_packing.pack(docs)
 
 

@@ -35,6 +35,16 @@ def shuffle_cleanup(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(CLEANUP, before)
 
 
+#: Rows and bytes that one Arrow batch may hold: whole texts travel in them, and each Python worker keeps its largest.
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches, which by default hold 10,000 rows of any length."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 class Scratch:
     """Tables written to the shared folder: they cut lineage and survive lost executors."""
 
