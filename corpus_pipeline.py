@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeinworks.llm import best_fit_packing, language_id, secret_scan, simhash, wu_manber
+from skeinworks.llm import best_fit_packing, language_id, secret_scan, shingle_join, wu_manber
 from skeinworks.llm.common import Scratch, small_batches, table
 
 #: SQL has no cross-parsing, no Markov models and no tokenizer; tests hold the stages against brute force.
@@ -35,7 +35,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The least id of each group stays; of rows that repeat it with the same text, one. Rows without an id stay unless their group has one."""
     small_batches(spark)
-    groups = simhash.near_duplicates(docs)
+    groups = shingle_join.near_duplicates(docs)
     stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
     return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["doc_id", "text"])
 

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from skeinworks.llm import best_fit_packing, cotraining, language_id, secret_scan, simhash, substring_dedup, syncmers, token_rollup, toxicity, wu_manber
+from skeinworks.llm import best_fit_packing, cotraining, language_id, secret_scan, shingle_join, simhash, substring_dedup, syncmers, token_rollup, toxicity, wu_manber
 from skeinworks.llm.tokens import Encoder, default_tokenizer
 
 FORM = "doc_id long, text string, lang string, source string, n_chars long, words string, id string, key string"
@@ -270,3 +270,33 @@ def test_pipeline(spark, tmp_path):
     assert kept == [[0, 1, 3, 4, 6], [0, 3, 4, 6], [0, 3, 6], [0, 3, 6]]
     assert not docs.where(F.col("text").contains(tok)).count()
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(d)).collect()} == {0, 3, 6}
+
+
+def test_near_dedup_stage_links_all_texts_alike_by_0_8(spark, monkeypatch):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(3)
+    base = [[f"w{x}" for x in rng.integers(0, 5000, 40 + 20 * i)] for i in range(12)]
+    texts = list(AWKWARD)
+    for w in base:
+        for n in range(6):  # up to five words replaced: indices on both sides of 0.8
+            v = list(w)
+            for p in rng.integers(0, len(v), n):
+                v[p] = f"z{rng.integers(0, 9999)}"
+            texts.append(" ".join(v) + " this line of a licence stands in all of these texts")
+
+    def shingles(t):
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    sets, up = [shingles(t) for t in texts], list(range(len(texts)))
+    for i, j in ((i, j) for i in up for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])):
+        a, b = up[i], up[j]
+        up = [min(a, b) if x in (a, b) else x for x in up]
+    df = documents(spark, texts)
+    assert len(set(up)) < len(texts) - 20 and any(up[i] != up[i - i % 6] for i in range(len(AWKWARD), len(texts)))
+    for pivots in (shingle_join.PIVOTS, 1):
+        monkeypatch.setattr(shingle_join, "PIVOTS", pivots)
+        assert {r.doc_id: r.component_id for r in shingle_join.near_duplicates(df).collect()} == dict(enumerate(up))
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup_stage(spark, df, "").collect()) == sorted(set(up))
+    assert shingle_join.near_duplicates(documents(spark, [])).count() == 0
