@@ -50,11 +50,12 @@ def tokens(text: str | None) -> list[str]:
 class LexiconAutomaton:
     """``find(token)``: "exact", "stem", "fuzzy" or None."""
 
-    def __init__(self, words: list[str], stems: list[str]):
+    def __init__(self, words: list[str], stems: list[str], covered: list[str] | None = None):
+        """``covered``: words that begin with a stem; as they are they count as the stem, misspelled as fuzzy."""
         self.children: list[dict[str, int]] = [{}]
         self.word: dict[int, int] = {}
         self.stem: set[int] = set()
-        for entry in words:
+        for entry in [*words, *(covered or [])]:
             self.word[self._add(entry)] = len(entry)
         for entry in stems:
             self.stem.add(self._add(entry))
@@ -156,11 +157,10 @@ def features(text: str | None, automaton: LexiconAutomaton) -> list[float]:
         if k is None:
             continue
         counts[k] += 1
-        if k != "fuzzy":
-            before, after = low[max(0, m.start() - CONTEXT) : m.start()], low[m.end() : m.end() + CONTEXT]
-            inside = any(before.count(o) % 2 == 1 if o == c else before.rfind(o) > before.rfind(c) for o, c in zip(_OPEN, _CLOSE, strict=True)) and any(c in after for c in _CLOSE)
-            quoted += inside
-            abuse += not inside
+        before, after = low[max(0, m.start() - CONTEXT) : m.start()], low[m.end() : m.end() + CONTEXT]
+        inside = any(before.count(o) % 2 == 1 if o == c else before.rfind(o) > before.rfind(c) for o, c in zip(_OPEN, _CLOSE, strict=True)) and any(c in after for c in _CLOSE)
+        quoted += inside
+        abuse += not inside
     log = np.log1p
     return [float(x) for x in (log(counts["exact"]), log(counts["stem"]), log(counts["fuzzy"]), abuse > 0, log(abuse), log(quoted), counts["fuzzy"] > 0, 100 * (quoted + abuse) / len(words))]
 
@@ -186,15 +186,15 @@ def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Model:
-    def __init__(self, words: list[str], stems: list[str], fit: Logistic | None, base: float):
-        self.words, self.stems, self.fit, self.base = words, stems, fit, base
+    def __init__(self, words: list[str], stems: list[str], fit: Logistic | None, base: float, covered: list[str] | None = None):
+        self.words, self.stems, self.fit, self.base, self.covered = words, stems, fit, base, covered
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "automaton"}
 
     def ready(self) -> LexiconAutomaton:
         if "automaton" not in self.__dict__:
-            self.automaton = LexiconAutomaton(self.words, self.stems)
+            self.automaton = LexiconAutomaton(self.words, self.stems, self.covered)
         return self.automaton
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
@@ -254,7 +254,8 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, sample: int = SA
     found = {r.entry: r.toxic for r in good.orderBy(F.desc("toxic"), "entry").limit(8 * ENTRIES).collect()}
     least = max(LEAST_DOCS, LEAST_SHARE * (picked.where("label = 1").count()))
     words, stems = lexicon(found, least)
-    model = Model(words, stems, None, 0.0)
+    covered = [e for e in found if e[0] != "^" and e.startswith(tuple(stems))]
+    model = Model(words, stems, None, 0.0, covered)
     sampled = labelled.mapInArrow(_features_of(model), "f array<double>, label int").toPandas()
     y = sampled["label"].to_numpy(dtype=float) if len(sampled) else np.zeros(0)
     model.base = float(y.mean()) if len(y) else 0.0

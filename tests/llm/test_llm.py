@@ -300,3 +300,14 @@ def test_near_dedup_stage_links_all_texts_alike_by_0_8(spark, monkeypatch):
         assert {r.doc_id: r.component_id for r in shingle_join.near_duplicates(df).collect()} == dict(enumerate(up))
     assert sorted(r.doc_id for r in corpus_pipeline.near_dedup_stage(spark, df, "").collect()) == sorted(set(up))
     assert shingle_join.near_duplicates(documents(spark, [])).count() == 0
+
+
+def test_misspelled_words_of_a_stem_are_caught_in_context(spark):
+    calm = [f"you are a fine person{i} today again" for i in range(40)]
+    bad = [f"you are {w} person{i} today again" for i in range(10) for w in ("idiot", "idiots", "idiotic", "idiocy")]
+    labels = spark.createDataFrame([(i, int(i >= 40)) for i in range(80)], "doc_id long, toxic int")
+    model = toxicity.train(documents(spark, [*calm, *bad]), labels, F.lit(True))
+    a = model.ready()
+    assert model.stems and [a.find(w) for w in ("idiot", "idiotic", "idiit", "idiotc", "ideots", "day")] == ["stem", "stem", "fuzzy", "stem", "fuzzy", None]
+    quoted, abuse = toxicity.features('they said "idiit" today', a), toxicity.features("they said idiit today", a)
+    assert abuse[3] == 1 and abuse[4] > 0 == abuse[5] and quoted[3] == 0 and quoted[5] > 0
