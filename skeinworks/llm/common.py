@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -16,11 +17,14 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see, from ``spark.checkpoint.dir``.
 
-    Where that setting is absent (local tests) a temporary folder is made and set.
+    Where that setting is absent a temporary folder is made and set, but only under a local master, whose executors see it.
     """
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="skeinworks-"))
+        told = spark.conf.get("spark.checkpoint.dir", None)
+        if not told and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(told or tempfile.mkdtemp(prefix="skeinworks-"))
     return sc.getCheckpointDir()
 
 
@@ -50,10 +54,13 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        #: Tables that were written and not dropped.
+        self.names: set[str] = set()
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         with shuffle_cleanup(self.spark):
             df.write.mode("overwrite").parquet(f"{self.root}/{name}")
+        self.names.add(name)
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
     def read(self, name: str) -> DataFrame:
@@ -64,6 +71,7 @@ class Scratch:
         for name in names:
             path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self.names.discard(name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -9,24 +9,26 @@ The steps, each a DataFrame stage written to the shared folder:
 1. Every window is represented by its *anchor*, the smallest hash among its inner five-word grams. Equal windows
    have equal anchors, so only anchors that recur can hold repeated windows. Anchors are counted with map-side
    combining; texts never travel here.
-2. Documents with recurring anchors are cut into *segments* (runs of windows with one anchor). Equal segments
-   collapse to their first occurrence, are expanded into windows, and windows counted: this confirms the
-   recurring ones and their first place.
-3. The first places are read back as text passages, dealt into shards by anchor (an anchor with many segments is
-   spread over several shards, which all get its passages), and each shard compiles one Aho-Corasick automaton
-   of its passages' anchor phrases (five words each) over an alphabet of words.
-4. All documents with candidates are streamed through the shards segment by segment. Around each phrase found, the
-   20-word windows are compared exactly with the passages' windows; unless it is the first place, a window's words
-   are removed.
+2. Documents with recurring anchors are cut into *segments* (runs of windows with one anchor). Equal segments collapse
+   to their first place and their number, with map-side combining, so a passage that a third of all documents hold is
+   one row. Where an anchor has more than ``SEGMENTS_A_GROUP`` different segments, these are cut further at the next
+   smallest gram hash, again and again until no group is larger: no group is copied, capped or held by one task.
+3. Segments are dealt into shards by anchor. A shard *confirms* recurring passages by comparing words: the windows that
+   stand at several places. It *compiles* these into an Aho-Corasick automaton over an alphabet of words, and *streams*
+   all its segments through it. Each match is an occurrence and brings the passage's first place; unless it is that
+   place, the words are removed.
+4. What was found in a segment holds for all its places, which get it by a join on the segment.
 
 Defined cases: a null text has no words; a null id sorts after all others; rows with the same text collapse before
 step 1 (later ids lose every word that a window covers); rows that repeat an id and a text are kept alike, as
-neither is earlier. Extra columns are ignored.
+neither is earlier; rows that share an id but not a text are told apart by a window's starting word alone (at the same
+word neither is earlier). Extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,13 +40,10 @@ from skeinworks.llm.common import Scratch
 
 WINDOW, GRAM = 20, 5
 LAST = (1 << 63) - 1
-#: Segments of one anchor that one shard takes, and passages that one shard's automaton is planned for.
-SEGMENTS_A_SHARD, PASSAGES_A_SHARD = 4000, 15000
-#: Equal segments of a shard are searched once; so many are remembered.
-KNOWN_SEGMENTS = 50_000
-#: A word is so many letters, each from an alphabet of its place: a node of the automaton then has few children to search
-#: (it searches them one by one), and no phrase is found inside a word.
-LETTERS, DIGITS = 4, 63
+#: Different segments of one anchor that stay together, and segments from which on one automaton is compiled for them.
+SEGMENTS_A_GROUP, SEGMENTS_AN_AUTOMATON = 20_000, 4000
+#: Segments whose words a task remembers to have written.
+WRITTEN = 200_000
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _BASE = 0x9E3779B97F4A7C15
 _M = 1 << 64
@@ -134,10 +133,6 @@ def _ids(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
 
-def _emit(columns: dict[str, tuple[list, pa.DataType]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(v, type=t) for v, t in columns.values()], names=list(columns))
-
-
 def _anchor_rows(window: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,164 +162,176 @@ def _picked(a: np.ndarray, wanted: list[int]) -> Iterator[tuple[int, int]]:
     yield from zip(starts[keep].tolist(), ends[keep].tolist(), strict=True)
 
 
-def _segment_rows(window: int, with_text: bool):
-    """Segments of candidate documents: either with their windows' hashes, or with their words."""
+def _digest(words: bytes) -> bytes:
+    return hashlib.blake2b(words, digest_size=16).digest()
+
+
+PIECES = {"anchor": pa.int64(), "segment": pa.binary(), "id": pa.int64(), "key": pa.binary(), "start": pa.int64(), "words": pa.binary()}
+_PIECES = "anchor long, segment binary, id long, key binary, start long, words binary"
+
+
+def _batch(out: list[tuple], form: dict[str, pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), form.values(), strict=True)], names=list(form))
+
+
+def _segment_rows(window: int):
+    """Segments of candidate documents; a task writes the words of each once."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        written: set[bytes] = set()
         for batch in batches:
             out: list[tuple] = []
             for id_, key, text, wanted in zip(*(_ids(batch, n) for n in ("id", "key", "text", "anchors")), strict=True):
                 data = text.encode()
-                w, a = windows_of(data, window, not with_text)
-                words = data.split() if with_text else []
+                _, a = windows_of(data, window, False)
+                words = data.split()
                 for s, e in _picked(a, wanted):
-                    anchor = int(a[s].view(np.int64))
-                    if with_text:
-                        out.append((anchor, id_, key, s, b" ".join(words[s : e + window - 1]), None))
+                    piece = b" ".join(words[s : e + window - 1])
+                    digest = _digest(piece)
+                    if digest in written:
+                        piece = None
                     else:
-                        hashes = w[s:e].view(np.int64)
-                        digest = hashlib.blake2b(hashes.tobytes(), digest_size=8).digest()
-                        out.append((anchor, int.from_bytes(digest, "little", signed=True), id_, s, hashes.tolist()))
+                        if len(written) >= WRITTEN:
+                            written.clear()
+                        written.add(digest)
+                    out.append((int(a[s].view(np.int64)), digest, id_, key, s, piece))
                 if len(out) > 20000:
-                    yield _batch(out, with_text)
+                    yield _batch(out, PIECES)
                     out = []
             if out:
-                yield _batch(out, with_text)
+                yield _batch(out, PIECES)
 
     return rows
 
 
-def _batch(out: list[tuple], with_text: bool) -> pa.RecordBatch:
-    cols = list(zip(*out, strict=True))
-    i64 = pa.int64()
-    if with_text:
-        names, types = ("anchor", "id", "key", "start", "words", "gram"), (i64, i64, pa.binary(), i64, pa.binary(), i64)
-    else:
-        names, types = ("anchor", "segment", "id", "start", "windows"), (i64, i64, i64, i64, pa.list_(i64))
-    return _emit({n: (c, t) for n, c, t in zip(names, cols, types, strict=True)})
+def _nth_least(grams: np.ndarray, width: int, level: int) -> np.ndarray:
+    """Of each ``width`` neighbours the least ``level`` values, mixed to one."""
+    least = np.sort(np.lib.stride_tricks.sliding_window_view(grams, width), axis=1)[:, :level]
+    return _rolled(least.ravel(), level)[::level] if level > 1 else least[:, 0]
 
 
-def _passage_rows(window: int):
-    """Texts of the confirmed windows at their first places: one passage for each run with one anchor."""
+CHILDREN = {"segment": pa.binary(), "anchor": pa.int64(), "child": pa.binary(), "place": pa.int64(), "words": pa.binary()}
+_CHILDREN = "segment binary, anchor long, child binary, place long, words binary"
+
+
+def _narrower(window: int, level: int):
+    """Segments of a hot anchor cut into runs of windows that agree in their ``level`` least gram hashes."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for id_, text, starts in zip(*(_ids(batch, n) for n in ("id", "text", "starts")), strict=True):
-                words, at, i = text.encode().split(), sorted((x["start"], x["anchor"]) for x in starts), 0
-                grams = _grams(word_hashes(text.encode())).view(np.int64)
-                while i < len(at):
-                    j = i
-                    while j + 1 < len(at) and at[j + 1] == (at[j][0] + 1, at[i][1]):
-                        j += 1
-                    s, anchor = at[i]
-                    piece = words[s : at[j][0] + window]
-                    found = np.flatnonzero(grams[s : s + window - GRAM + 1] == anchor)
-                    if len(piece) >= window and len(found):
-                        out.append((anchor, id_, None, s, b" ".join(piece), int(found[0])))
-                    i = j + 1
+            out: list[tuple] = []
+            for segment, data in zip(_ids(batch, "segment"), _ids(batch, "words"), strict=True):
+                words, a = data.split(), _nth_least(_grams(word_hashes(data)), window - GRAM + 1, level)
+                for s, e in zip(*(x.tolist() for x in _runs(a)), strict=True):
+                    piece = b" ".join(words[s : e + window - 1])
+                    out.append((segment, int(a[s].view(np.int64)), _digest(piece), s, piece))
             if out:
-                yield _batch(out, True)
+                yield _batch(out, CHILDREN)
 
     return rows
 
 
-def _known_windows(coded: str, automaton, first: dict[str, tuple[int, int]], window: int) -> tuple[list[tuple[int, int]], set[int], list]:
-    """Known windows of a segment as runs (first, last), the documents of their first places, and the place of each window."""
-    n = len(coded) // LETTERS - window + 1
-    places: list[tuple[int, int] | None] = [None] * n
-    get, after, size = first.get, 0, window * LETTERS
-    for last, _ in automaton.iter(coded):
-        # Windows that hold this phrase and weren't compared for one before it.
-        end = last // LETTERS
-        low, high = max(after, end - window + 1), min(end - GRAM + 2, n)
-        if high > low:
-            places[low:high] = [get(coded[i : i + size]) for i in range(low * LETTERS, high * LETTERS, LETTERS)]
-            after = high
-    return _known_runs(places), {x[0] for x in places if x}, places
+def _flat_runs(at: list[int]) -> list[int]:
+    """First and last of each run of ascending numbers, flat."""
+    out: list[int] = []
+    for i in at:
+        if out and out[-1] == i - 1:
+            out[-1] = i
+        else:
+            out += (i, i)
+    return out
 
 
-def _known_runs(places: list) -> list[tuple[int, int]]:
-    """Runs (first, last) of entries that are not None."""
-    if None not in places:
-        return [(0, len(places) - 1)] if places else []
-    at = [i for i, x in enumerate(places) if x is not None]
-    edges = [k for k in range(1, len(at)) if at[k] != at[k - 1] + 1]
-    return [(at[a], at[b - 1]) for a, b in zip([0, *edges], [*edges, len(at)], strict=True)] if at else []
+def _located(held: list[tuple], window: int) -> Iterator[tuple]:
+    """Confirms, compiles and streams the segments of some whole groups."""
+    import ahocorasick
 
+    numbers: dict[bytes, int] = {}
+    lines = [[numbers.setdefault(w, len(numbers)) for w in words.split()] for *_, words in held]
+    # A word is two letters from alphabets of their own: a node then has few children to search (it searches them one by one), and no passage is found inside a word.
+    base = math.isqrt(len(numbers)) + 1
+    letters = [chr(1 + n // base) + chr(1 + base + n % base) for n in range(len(numbers))]
+    coded = ["".join([letters[n] for n in line]) for line in lines]
+    first: dict[str, tuple[int, int]] = {}
+    recurring: set[str] = set()
+    size = 2 * window
+    for (_, id_, _, start, n, _), line in zip(held, coded, strict=True):
+        for i in range(len(line) // 2 - window + 1):
+            passage, place = line[2 * i : 2 * i + size], (id_, start + i)
+            known = first.get(passage)
+            if known is None:
+                first[passage] = place
+                if n > 1:
+                    recurring.add(passage)
+            else:
+                recurring.add(passage)
+                if place < known:
+                    first[passage] = place
+    if not recurring:
+        return
+    automaton = ahocorasick.Automaton()
+    for passage in recurring:
+        automaton.add_word(passage, first[passage])
+    automaton.make_automaton()
+    for (segment, id_, key, start, n, _), line in zip(held, coded, strict=True):
+        found = [((end + 1) // 2 - window, place) for end, place in automaton.iter(line)]
+        if found:
+            later = [i for i, place in found if place != (id_, start + i)]
+            yield segment, id_, key, start, n, _flat_runs([i for i, _ in found]), _flat_runs(later)
+
+
+LOCATED = {"segment": pa.binary(), "id": pa.int64(), "key": pa.binary(), "start": pa.int64(), "n": pa.int64(), "all": pa.list_(pa.int32()), "later": pa.list_(pa.int32())}
+_LOCATED = "segment binary, id long, key binary, start long, n long, all array<int>, later array<int>"
 
-def _locate(window: int):
-    """One shard: passages come first and their anchor phrases are compiled, then segments stream through the automaton.
 
-    Words are numbered within the shard and written with ``LETTERS`` letters. Around each phrase that the automaton finds, the windows that hold
-    it are compared with the passages' windows as strings, which confirms all of their words.
-    """
-    import ahocorasick
+def _locate(window: int):
+    """Segments arrive sorted by anchor. ``all``: runs of windows that recur; ``later``: those not at their first place."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbol: dict[bytes, str] = {}
-        first: dict[str, tuple[int, int]] = {}
-        phrases: set[str] = set()
-        known: dict[bytes, tuple[list[tuple[int, int]], set[int], list]] = {}
-        automaton, unknown = None, "\0" * LETTERS
-
-        def letter(word: bytes) -> str:
-            if word not in symbol:
-                n = len(symbol) + 1
-                if n >= DIGITS**LETTERS:
-                    raise ValueError("a shard has more words than its alphabet can tell apart; raise the number of shards")
-                symbol[word] = "".join([chr(1 + k * DIGITS + n // DIGITS**k % DIGITS) for k in range(LETTERS)])
-            return symbol[word]
+        held: list[tuple] = []
+        group: list[tuple] = []
+        now = None
+
+        def settle() -> None:
+            # A segment of its own recurs only within itself, and then repeats words.
+            if len(group) > 1 or group and (group[0][4] > 1 or len(set(words := group[0][5].split())) < len(words)):
+                held.extend(group)
+            group.clear()
 
         for batch in batches:
-            out = []
-            for kind, id_, key, start, words, gram in zip(*(_ids(batch, n) for n in ("kind", "id", "key", "start", "words", "gram")), strict=True):
-                if kind == 0:
-                    coded = "".join(map(letter, words.split()))
-                    phrases.add(coded[gram * LETTERS : (gram + GRAM) * LETTERS])
-                    for i in range(len(coded) // LETTERS - window + 1):
-                        piece, place = coded[i * LETTERS : (i + window) * LETTERS], (id_, start + i)
-                        if piece not in first or place < first[piece]:
-                            first[piece] = place
-                    continue
-                if automaton is None:
-                    automaton = ahocorasick.Automaton()
-                    for phrase in phrases:
-                        automaton.add_word(phrase, True)
-                    if phrases:
-                        automaton.make_automaton()
-                if not phrases:
-                    continue
-                held = known.get(words)
-                if held is None:
-                    if len(known) >= KNOWN_SEGMENTS:
-                        known.clear()
-                    held = known[words] = _known_windows("".join([symbol.get(w, unknown) for w in words.split()]), automaton, first, window)
-                runs, homes, places = held
-                if id_ in homes:  # windows at their own first place stay
-                    runs = _known_runs([None if x == (id_, start + i) else x for i, x in enumerate(places)])
-                for i, j in runs:
-                    out.append((id_, key, start + i, start + j + window))
-            if out:
-                c = list(zip(*out, strict=True))
-                yield _emit({"id": (c[0], pa.int64()), "key": (c[1], pa.binary()), "a": (c[2], pa.int64()), "b": (c[3], pa.int64())})
+            for anchor, *rest in zip(*(_ids(batch, n) for n in ("anchor", "segment", "id", "key", "start", "n", "words")), strict=True):
+                if anchor != now:
+                    settle()
+                    now = anchor
+                    if len(held) >= SEGMENTS_AN_AUTOMATON:
+                        if out := list(_located(held, window)):
+                            yield _batch(out, LOCATED)
+                        held = []
+                group.append(tuple(rest))
+        settle()
+        if out := list(_located(held, window)):
+            yield _batch(out, LOCATED)
 
     return rows
 
 
-def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for id_, key, text, spans in zip(*(_ids(batch, n) for n in ("id", "key", "text", "spans")), strict=True):
-            words = text.encode().split()
-            keep = np.ones(len(words), dtype=bool)
-            for x in spans:
-                keep[x["a"] : x["b"]] = False
-            kept = b" ".join([w for w, k in zip(words, keep.tolist(), strict=True) if k])
-            out.append((id_, key, int(len(words) - keep.sum()), kept.decode()))
-        c = list(zip(*out, strict=True))
-        if out:
-            yield _emit({"id": (c[0], pa.int64()), "key": (c[1], pa.binary()), "n_cut": (c[2], pa.int64()), "cut_text": (c[3], pa.string())})
+def _kept(window: int):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for id_, key, text, spans in zip(*(_ids(batch, n) for n in ("id", "key", "text", "spans")), strict=True):
+                words = text.encode().split()
+                keep = np.ones(len(words), dtype=bool)
+                for x in spans:
+                    at, runs = x["start"], x["runs"]
+                    for a, b in zip(runs[::2], runs[1::2], strict=True):
+                        keep[at + a : at + b + window] = False
+                kept = b" ".join([w for w, k in zip(words, keep.tolist(), strict=True) if k])
+                out.append((id_, key, int(len(words) - keep.sum()), kept.decode()))
+            if out:
+                yield _batch(out, {"id": pa.int64(), "key": pa.binary(), "n_cut": pa.int64(), "cut_text": pa.string()})
+
+    return rows
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -343,7 +350,8 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def find_repeats(docs: DataFrame, scratch: Scratch, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """Candidate documents ``(id, key, text, anchors)`` and spans to remove ``(id, key, a, b)`` in words."""
+    """Candidate documents ``(id, key, text, anchors)`` and the windows to remove ``(id, key, start, runs)``: first and last of each run, from ``start``."""
+    spark = docs.sparkSession
     source = _keyed(docs.select("doc_id", "text"))
     firsts = scratch.write(source.groupBy("key").agg(F.min("id").alias("id")), "firsts")
     anchors = scratch.write(source.select("id", "text").mapInArrow(_anchor_rows(window), "anchor long, id long, many boolean"), "anchors")
@@ -357,28 +365,34 @@ def find_repeats(docs: DataFrame, scratch: Scratch, window: int = WINDOW) -> tup
     candidates = scratch.write(texts, "candidates")
     scratch.drop("wanted")
 
-    segments = candidates.mapInArrow(_segment_rows(window, False), "anchor long, segment long, id long, start long, windows array<long>")
-    place = F.min(F.struct("id", "start")).alias("place")
-    distinct = segments.groupBy("anchor", "segment").agg(place, F.count("*").alias("n"), F.first("windows").alias("windows"))
-    one = distinct.select("anchor", "place", "n", F.posexplode("windows").alias("i", "window"))
-    one = one.select("anchor", "window", F.col("place.id").alias("id"), (F.col("place.start") + F.col("i")).alias("start"), "n")
-    found = one.groupBy("anchor", "window").agg(place, F.sum("n").alias("n")).where("n > 1")
-    starts = F.collect_list(F.struct(F.col("place.start").alias("start"), "anchor")).alias("starts")
-    confirmed = scratch.write(found.groupBy(F.col("place.id").alias("id")).agg(starts), "confirmed")
-    form = "anchor long, id long, key binary, start long, words binary, gram long"
-    passages = scratch.write(candidates.select("id", "text").join(confirmed, "id").mapInArrow(_passage_rows(window), form), "passages")
-    scratch.drop("confirmed")
-
-    pieces = scratch.write(candidates.mapInArrow(_segment_rows(window, True), form), "pieces")
-    # An anchor with many segments is spread over shards, each of which has all of its passages.
-    shards = scratch.write(pieces.groupBy("anchor").agg(F.ceil(F.count("*") / F.lit(SEGMENTS_A_SHARD)).alias("parts")).where("parts > 1"), "shards")
-    salted = pieces.join(shards, "anchor", "left").withColumn("salt", F.when(F.col("parts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("id", "start"), F.col("parts"))).cast("long"))
-    copied = passages.join(shards, "anchor", "left").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), (F.coalesce("parts", F.lit(1)) - 1).cast("long"))))
-    both = copied.withColumn("kind", F.lit(0)).unionByName(salted.withColumn("kind", F.lit(1))).drop("parts")
-    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), passages.count() // PASSAGES_A_SHARD)
-    dealt = both.repartition(n, "anchor", "salt").sortWithinPartitions("kind")
-    spans = scratch.write(dealt.mapInArrow(_locate(window), "id long, key binary, a long, b long"), "spans")
-    scratch.drop("pieces", "passages", "shards")
+    pieces = scratch.write(candidates.mapInArrow(_segment_rows(window), _PIECES), "pieces1")
+    spans, level = None, 0
+    while True:
+        level += 1
+        place = F.min(F.struct("id", "start", "key")).alias("place")
+        distinct = pieces.groupBy("segment").agg(place, F.first("anchor").alias("anchor"), F.count("*").alias("n"), F.max("words").alias("words"))
+        distinct = scratch.write(distinct.select("anchor", "segment", "place.id", "place.key", "place.start", "n", "words"), f"distinct{level}")
+        # Windows that agree in all gram hashes are equal, so that the last level has no large group.
+        hot = distinct.groupBy("anchor").count().where(F.col("count") > SEGMENTS_A_GROUP).select("anchor")
+        hot = scratch.write(hot if level < window - GRAM + 1 else hot.limit(0), f"hot{level}")
+        narrow = hot.isEmpty()
+        rest = distinct if narrow else distinct.join(hot, "anchor", "left_anti")
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), distinct.count() // (4 * SEGMENTS_AN_AUTOMATON))
+        located = scratch.write(rest.repartition(parts, "anchor").sortWithinPartitions("anchor").mapInArrow(_locate(window), _LOCATED), f"located{level}")
+        own = located.where("size(later) > 0").select("id", "key", "start", F.col("later").alias("runs"))
+        others = located.where("n > 1").select("segment", F.struct("id", "start", "key").alias("place"), F.col("all").alias("runs"))
+        shared = pieces.select("segment", "id", "key", "start").join(others, "segment").where(F.struct("id", "start", "key") != F.col("place"))
+        found = own.unionByName(shared.select("id", "key", "start", "runs"))
+        spans = found if spans is None else spans.unionByName(found)
+        if narrow:
+            break
+        wide = distinct.join(hot, "anchor", "left_semi").select("segment", "words")
+        children = scratch.write(wide.mapInArrow(_narrower(window, level + 1), _CHILDREN), f"children{level}")
+        # A child's words go with the first place of its segment alone.
+        owners = distinct.select("segment", F.struct("id", "start", "key").alias("owner"))
+        moved = pieces.select("segment", "id", "key", "start").join(children, "segment").join(owners, "segment")
+        words = F.when(F.struct("id", "start", "key") == F.col("owner"), F.col("words"))
+        pieces = scratch.write(moved.select("anchor", F.col("child").alias("segment"), "id", "key", (F.col("start") + F.col("place")).alias("start"), words.alias("words")), f"pieces{level + 1}")
     return candidates, spans
 
 
@@ -386,13 +400,12 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_removed, kept_sha256 of what stays, and cut_text (null if unchanged)."""
     if window < GRAM + 1:
         raise ValueError(f"window must be over {GRAM}")
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "substring-dedup")
+    scratch = Scratch(docs.sparkSession, "substring-dedup")
     candidates, spans = find_repeats(docs, scratch, window)
-    by_doc = spans.groupBy("id", "key").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    by_doc = spans.groupBy("id", "key").agg(F.collect_list(F.struct("start", "runs")).alias("spans"))
     cut = candidates.select("id", "key", "text").join(by_doc, ["id", "key"])
-    cut = scratch.write(cut.mapInArrow(_kept, "id long, key binary, n_cut long, cut_text string"), "cut")
-    scratch.drop("candidates", "spans")
+    cut = scratch.write(cut.mapInArrow(_kept(window), "id long, key binary, n_cut long, cut_text string"), "cut")
+    scratch.drop(*scratch.names - {"firsts", "cut"})
     firsts = scratch.read("firsts").withColumnRenamed("id", "first_id")
     counted = _keyed(docs.select("doc_id", "text")).mapInArrow(_counts, "doc_id long, id long, key binary, n_words long, all_sha256 string")
     rows = counted.join(firsts, "key", "left").join(cut, ["id", "key"], "left")
