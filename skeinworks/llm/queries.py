@@ -20,8 +20,7 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held = table(spark, sf_dir, "documents"), language_id.held_out(5, 0)
-    words = language_id.sample_words(docs, ~held)
-    found = language_id.identify(docs, words, ["doc_id", "text"])
+    found = language_id.identify(docs, language_id.train(docs, ~held), ["doc_id", "text"])
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
