@@ -13,6 +13,7 @@ one full piece; repeated rows are packed like any other; an empty table gives no
 
 from __future__ import annotations
 
+import bisect
 import zlib
 from collections.abc import Iterator
 
@@ -77,29 +78,35 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
+def _by_length(items: list[int], lengths: list[int]) -> dict[int, list[int]]:
+    out: dict[int, list[int]] = {}
+    for i in items:
+        out.setdefault(lengths[i], []).append(i)
+    return out
+
+
 def _best_step(small: list[int], fill: int, others: dict[int, list[int]], fills: dict[int, int], lengths: list[int], capacity: int):
-    """The step out of ``small`` into another underfull bin that raises the squared fills most: (gain, bin, given, taken)."""
+    """The step out of ``small`` into another underfull bin that raises the squared fills most: (gain, bin, given, taken).
+
+    Pieces of one length are alike. A bin has less than the root of twice its capacity of different lengths, so all its pairs are few, however
+    many pieces it holds.
+    """
     best = None
-    pairs = sorted((lengths[x] + lengths[y], x, y) for k, x in enumerate(small) for y in small[:k]) if len(small) <= 64 else []
-    singles = sorted((lengths[x], x) for x in small)
+    mine = _by_length(small, lengths)
+    own = sorted(mine)
+    pairs = {x + y: (mine[x][0], mine[y][-1]) for k, x in enumerate(own) for y in own[: k + 1] if x != y or len(mine[x]) > 1}
+    singles, doubles = [(n, (mine[n][0],)) for n in own], sorted(pairs.items())
     for b, items in others.items():
         room, f = capacity - fills[b], fills[b]
-        for got in (None, *items):
-            base = lengths[got] if got is not None else 0
-            for options in (singles, pairs if got is not None else []):
-                lo, hi = 0, len(options)
-                while lo < hi:  # the largest that fits
-                    mid = (lo + hi) // 2
-                    if options[mid][0] <= base + room:
-                        lo = mid + 1
-                    else:
-                        hi = mid
-                if not lo:
+        for base, got in ((0, None), *((n, x[0]) for n, x in _by_length(items, lengths).items())):
+            for options in (singles, doubles if got is not None else []):
+                at = bisect.bisect_right(options, base + room, key=lambda x: x[0])  # after the largest that fits
+                if not at:
                     continue
-                d = options[lo - 1][0] - base
+                d = options[at - 1][0] - base
                 gain = 2 * d * (f - fill + d)
                 if d > 0 and gain > 0 and (best is None or gain > best[0]):
-                    best = (gain, b, options[lo - 1][1:], got)
+                    best = (gain, b, options[at - 1][1], got)
     return best
 
 
