@@ -8,13 +8,18 @@ from pyspark.sql import functions as F
 from skeinworks.llm.common import Scratch
 
 
-def _stars(edges: DataFrame, large: bool) -> DataFrame:
-    """One step on edges (u, v): each node's greater (large) or lesser (small) neighbours are tied to its least one."""
+def _stars(edges: DataFrame, large: bool, scratch: Scratch, name: str) -> DataFrame:
+    """One step on edges (u, v): each node's greater (large) or lesser (small) neighbours are tied to its least one.
+
+    The least neighbours are a table of their own, so that both sides of the join come straight from an exchange and Spark can split the
+    partition of a node with very many neighbours.
+    """
     back = edges.select(F.col("v").alias("u"), F.col("u").alias("v"))
     sides = edges.union(back)
     if not large:
         sides = sides.where("v < u")
     least = sides.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    least = scratch.write(least, f"least-{name}")
     tied = sides.join(least, "u")
     if large:
         out = tied.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -32,11 +37,11 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     k, before = 0, None
     while True:
         k += 1
-        big = scratch.write(_stars(at, True), f"large{k}")
-        at = scratch.write(_stars(big, False), f"edges{k}")
+        big = scratch.write(_stars(at, True, scratch, f"large{k}"), f"large{k}")
+        at = scratch.write(_stars(big, False, scratch, f"edges{k}"), f"edges{k}")
         # All trees are stars, and stay so, when the same edges come back.
         mark = tuple(at.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
-        scratch.drop(f"large{k}", f"edges{k - 1}")
+        scratch.drop(f"large{k}", f"edges{k - 1}", f"least-large{k}", f"least-edges{k}")
         if mark == before:
             break
         before = mark

@@ -1,14 +1,15 @@
 """SimHash fingerprints, linked within a Hamming distance by sharded vantage-point trees.
 
 Fingerprints of equal texts coincide, so only distinct fingerprints are searched. They are partitioned by their Hamming
-distances from a vantage point, taken over ``MASKS`` disjoint groups of bits: the vector of these distances is a
+distances from a vantage point, taken over several disjoint groups of bits: the vector of these distances is a
 fingerprint's shard. By the triangle inequality a pair within distance r has vectors whose differences sum to r at
 most, so each fingerprint is also sent as a query to the shards whose boundary it overlaps so far, and to no others.
 A shard builds a vantage-point tree over its own and visiting fingerprints: each node splits at the median distance
 from its vantage point, and a branch pair is pruned when the triangle bound excludes it; leaves compare exactly. A
 shard returns a spanning set of its links, never all pairs of a clump, and components are found on executors.
 
-The number of masks, and with it of shards, follows the number of distinct fingerprints.
+The number of groups follows the number of distinct fingerprints, so that a shard has some ``OWN`` of its own at any number of them. A shard
+that still has more than ``SHARD`` is split by its members' distances from a further vantage point, each member visiting the ``r`` parts after its own.
 
 Defined cases: a null text is an empty one; a text without words has fingerprint zero and is linked like any other;
 fewer than three words make one shingle; repeated rows share a component; a null id never becomes a component's id
@@ -18,6 +19,7 @@ unless all its ids are null; an empty table gives no rows; extra columns are ign
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,9 +33,21 @@ from skeinworks.llm.components import components
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
 LEAF = 192
+#: Own fingerprints that a shard is planned for, members from which on it is split, and the vantage points for that.
+OWN, SHARD, FURTHER = 256, 200_000, (0x3333333333333333, 0x0F0F0F0F0F0F0F0F, 0x00FF00FF00FF00FF)
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
+def majority(hashes: bytes) -> int:
+    """Of 64-bit hashes (big-endian, on end) the bits that are set in over half."""
+    n = len(hashes) // 8
+    total = np.zeros(64, dtype=np.int64)
+    for i in range(0, n, 65536):
+        bits = np.unpackbits(np.frombuffer(hashes, dtype=np.uint8, offset=8 * i, count=8 * min(65536, n - i)).reshape(-1, 8), axis=1)
+        total += bits.sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(total * 2 > n).tobytes(), "big")
+
+
 def fingerprint(text: str | None, k: int = SHINGLE) -> int:
     """Bit b is set if it is set in over half the hashes of the text's k-word shingles, repeats included."""
     words = text.encode().translate(_LOWER).split() if text else []
@@ -45,13 +59,7 @@ def fingerprint(text: str | None, k: int = SHINGLE) -> int:
     ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     digest = xxhash.xxh64_digest
-    raw = b"".join([digest(line[a:b], SEED) for a, b in zip(starts.tolist(), ends[k - 1 :].tolist(), strict=False)])
-    n = len(raw) // 8
-    total = np.zeros(64, dtype=np.int64)
-    for i in range(0, n, 65536):
-        bits = np.unpackbits(np.frombuffer(raw, dtype=np.uint8, offset=8 * i, count=8 * min(65536, n - i)).reshape(-1, 8), axis=1)
-        total += bits.sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(total * 2 > n).tobytes(), "big")
+    return majority(b"".join([digest(line[a:b], SEED) for a, b in zip(starts.tolist(), ends[k - 1 :].tolist(), strict=False)]))
 
 
 def _prints(k: int):
@@ -143,22 +151,37 @@ def _steps(masks: int, r: int) -> list[tuple[int, ...]]:
     return sorted(set(out))
 
 
+def _widths(masks: int) -> list[int]:
+    """64 bits in even groups."""
+    return [64 * (i + 1) // masks - 64 * i // masks for i in range(masks)]
+
+
+def masks_for(n: int) -> int:
+    """The least number of groups whose distance vectors deal ``n`` even fingerprints into shards of some ``OWN``."""
+    for masks in range(1, 33):
+        shares = [[math.comb(w, d) / 2**w for d in range(w + 1)] for w in _widths(masks)]
+        if n <= OWN * 2 ** -sum(p * math.log2(p) for x in shares for p in x):
+            return masks
+    return 32
+
+
 def _shards(masks: int, r: int):
     """Each fingerprint to its own shard, and as a visitor to those that its boundary overlaps."""
-    width = 64 // masks
+    widths = np.array(_widths(masks), dtype=np.int64)
+    starts = np.cumsum(widths) - widths
     steps = np.array(_steps(masks, r), dtype=np.int64)
-    weights = np.array([(width + 1) ** i for i in range(masks)], dtype=np.int64)
-    groups = np.array([((1 << width) - 1) << (width * i) for i in range(masks)], dtype=np.uint64)
+    weights = np.cumprod(np.concatenate([[1], widths[:-1] + 1]))
+    groups = np.array([((1 << int(w)) - 1) << int(a) for a, w in zip(starts, widths, strict=True)], dtype=np.uint64)
     vantage = np.uint64(0x5555555555555555)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            for i in range(0, len(prints), 4096):
-                p = prints[i : i + 4096]
+            for i in range(0, len(prints), 2048):
+                p = prints[i : i + 2048]
                 d = np.bitwise_count((p[:, None] ^ vantage) & groups).astype(np.int64)
                 near = d[:, None, :] + steps
-                ok = ((near >= 0) & (near <= width)).all(axis=2)
+                ok = ((near >= 0) & (near <= widths)).all(axis=2)
                 who, which = np.nonzero(ok)
                 shard = np.concatenate([d @ weights, near[who, which] @ weights])
                 yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(np.concatenate([p, p[who]]).view(np.int64)), pa.array(np.concatenate([np.ones(len(p), dtype=bool), np.zeros(len(who), dtype=bool)]))], names=["shard", "print", "own"])
@@ -166,6 +189,21 @@ def _shards(masks: int, r: int):
     return rows
 
 
+def _parted(vantage: int, r: int):
+    """Members of large shards to the part of their distance from the vantage point and to the ``r`` parts after it: the closer of a pair meets the other there."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shard, prints = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            d = np.bitwise_count(prints.view(np.uint64) ^ np.uint64(vantage)).astype(np.int64)
+            for step in range(r + 1):
+                # Parts that happen to get one number are searched together, which loses nothing.
+                part = (shard * 67 + d + step).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                yield pa.RecordBatch.from_arrays([pa.array(part.view(np.int64)), *(batch.column(i) for i in (1, 2))], names=["shard", "print", "own"])
+
+    return rows
+
+
 def _link_shards(r: int):
     """Shards arrive sorted; each is searched when it is whole. Only shards with members of their own can hold links."""
 
@@ -204,10 +242,15 @@ def _link_shards(r: int):
 def link_prints(prints: DataFrame, scratch: Scratch, r: int = RADIUS) -> DataFrame:
     """Links (u, v) that span every clump of the distinct ``print`` values within distance r."""
     n = prints.count()
-    # Shards hold some hundreds each: four masks of 16 bits make some 5,000 even shards, eight some 1,800,000.
-    masks = 2 if n < 20_000 else 4 if n < 2_000_000 else 8
+    form = "shard long, print long, own boolean"
+    dealt = prints.select("print").mapInArrow(_shards(masks_for(n), r), form)
     parts = max(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // 20_000)
-    dealt = prints.select("print").mapInArrow(_shards(masks, r), "shard long, print long, own boolean")
+    for k, vantage in enumerate(FURTHER if n > SHARD else ()):  # a shard holds a fingerprint once
+        big = dealt.groupBy("shard").count().where(F.col("count") > SHARD).select("shard")
+        big = scratch.write(big, f"big{k}")
+        if big.isEmpty():
+            break
+        dealt = dealt.join(big, "shard", "left_anti").unionByName(dealt.join(big, "shard", "left_semi").mapInArrow(_parted(vantage, r), form))
     return dealt.repartition(parts, "shard").sortWithinPartitions("shard").mapInArrow(_link_shards(r), "u long, v long")
 
 
@@ -222,7 +265,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, r: int = RADIUS) ->
     found = components(links, scratch)
     # Components are named by their least fingerprint; the least document of all their fingerprints is what is asked for.
     joined = distinct.join(found, distinct["print"] == found["node"], "left").select("print", "first_id", F.coalesce("root", "print").alias("root"))
-    named = joined.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    joined = scratch.write(joined, "joined")
+    named = scratch.write(joined.groupBy("root").agg(F.min("first_id").alias("component_id")), "roots")
     named = scratch.write(joined.select("print", "root").join(named, "root").select("print", "component_id"), "named")
     out = prints.join(named, "print")
     return out.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
