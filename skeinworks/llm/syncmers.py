@@ -1,25 +1,34 @@
 """Document fingerprints from closed syncmers, in DataFrame functions only.
 
-A text's symbols are its words. Of its k-mers (``K`` words) those are chosen whose least inner s-mer (``S`` words) by hash
-lies at the first or last place: a closed syncmer. The choice needs no context, so equal passages choose equal k-mers
-wherever they stand. ``anchors`` gives the chosen k-mers with their places for positional matching; a fingerprint is the
-``SKETCH`` least distinct hashes of them, and likeness is the share of the least hashes of both that both have
-(an estimate of the Jaccard index).
-
-Defined cases: a null text is empty; a text without words has the empty fingerprint; texts with fewer than K words, or
-none of whose k-mers is chosen, have the hash of all their words; two empty fingerprints are alike (1), an empty and
+A text's symbols are its words in pieces of three characters (the last may be shorter); characters of scripts that
+set no space between words are symbols by themselves. Of its k-mers (``K`` symbols) those are chosen whose least inner s-mer (``S``
+symbols) by hash lies at the first or last place: a closed syncmer. The choice needs no context, so equal passages choose equal k-mers
+wherever they stand. ``anchors`` gives the chosen k-mers with their places. They are matched by position: a text's *elements* are its
+anchors, each together with the distance to the next one, which is the same wherever the passage stands. Likeness is the Jaccard
+index of all elements of both texts; the printed fingerprint holds the ``PRINTED`` least of them.
+
+Defined cases: a null text is empty; a text without symbols has the empty fingerprint; texts with fewer than K symbols, or
+none of whose k-mers is chosen, have the hash of all their symbols; two empty fingerprints are alike (1), an empty and
 another aren't (0); rows that repeat an id follow each other by text; a null id comes after all others; the next
-document of a single row is itself; extra columns are ignored.
+document of a single row is itself; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-K, S, SKETCH = 6, 2, 32
-#: Ranges of ids into which documents are dealt to find each one's next: for each shuffle partition, and at most.
-RANGES_A_PARTITION, MOST_RANGES = 2, 4096
+K, S, PRINTED = 6, 2, 32
+#: Ranges of ids into which documents are dealt to find each one's next: bytes of text in each, and for each shuffle partition at least.
+RANGE_BYTES, RANGES_A_PARTITION = 64 << 20, 2
+#: Up to so many ranges are cut in one step.
+ONE_STEP = 256
+#: Scripts without spaces between words, by Unicode name.
+_UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}"
+_SYMBOL = rf"[{_UNSPACED}]|[^\s{_UNSPACED}]{{1,3}}"
+_PLACE = 1 << 31
 
 
 def _let(value: Column, f) -> Column:
@@ -27,81 +36,111 @@ def _let(value: Column, f) -> Column:
     return F.transform(F.array(value), f)[0]
 
 
-def _words(text: Column) -> Column:
-    return F.filter(F.split(text, r"\s+"), lambda w: w != "")
+def symbols(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(_SYMBOL), F.lit(0))
 
 
-def _inner(words: Column) -> Column:
-    """Hashes of the s-mers of two words."""
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
+def _inner(symbols_: Column) -> Column:
+    """Hashes of the s-mers of two symbols."""
+    hashes = F.transform(symbols_, lambda w: F.xxhash64(w))
     return _let(hashes, lambda h: F.zip_with(F.slice(h, 1, F.greatest(F.size(h) - 1, F.lit(0))), F.slice(h, 2, F.greatest(F.size(h) - 1, F.lit(0))), lambda a, b: F.xxhash64(a, b)))
 
 
+def _short(hash_: Column) -> Column:
+    return F.shiftrightunsigned(hash_, 32)
+
+
 def _chosen(g: Column) -> Column:
-    """A hash for each closed syncmer at its place, null elsewhere. The s-mers at 0, 2 and 4 hold all six words."""
+    """Each closed syncmer as hash and place in one number. The s-mers at 0, 2 and 4 hold all six symbols."""
     span = K - S
     starts = F.slice(g, 1, F.greatest(F.size(g) - span, F.lit(0)))
 
     def one(x: Column, i: Column) -> Column:
         last = F.get(g, i + span)
         middle = F.least(*(F.get(g, i + j) for j in range(1, span)))
-        return F.when((x <= F.least(middle, last)) | (last <= F.least(middle, x)), F.shiftrightunsigned(F.xxhash64(x, F.get(g, i + 2), last), 32))
+        return F.when((x <= F.least(middle, last)) | (last <= F.least(middle, x)), _short(F.xxhash64(x, F.get(g, i + 2), last)) * F.lit(_PLACE) + i)
 
-    return F.transform(starts, one)
+    return F.filter(F.transform(starts, one), lambda x: x.isNotNull())
 
 
 def anchors(text: Column) -> Column:
-    """array<struct<place, hash>>: the closed syncmers and the words at which they start (from 0)."""
-    found = _let(_inner(_words(F.coalesce(text, F.lit("")))), _chosen)
-    return F.filter(F.transform(found, lambda x, i: F.struct(i.alias("place"), x.alias("hash"))), lambda x: x["hash"].isNotNull())
+    """array<struct<place, hash>>: the closed syncmers and the symbols at which they start (from 0)."""
+    found = _let(_inner(symbols(F.coalesce(text, F.lit("")))), _chosen)
+    return F.transform(found, lambda x: F.struct((x % _PLACE).cast("int").alias("place"), F.shiftright(x, 31).alias("hash")))
+
 
+def elements(text: Column) -> Column:
+    """The text's anchors, each with the distance to the next (0 after the last), as distinct numbers of 32 bits."""
 
-def sketch(text: Column) -> Column:
-    """The least distinct hashes of the text's closed syncmers, ascending."""
+    def tied(a: Column) -> Column:
+        def gap(x: Column, i: Column) -> Column:
+            return F.coalesce(F.get(a, i + 1) % _PLACE - x % _PLACE, F.lit(0))
 
-    def of(words: Column) -> Column:
-        chosen = F.filter(_let(_inner(words), _chosen), lambda x: x.isNotNull())
-        whole = F.array(F.shiftrightunsigned(F.xxhash64(F.array_join(words, " ")), 32))
-        return _let(chosen, lambda c: F.when(F.size(words) == 0, F.array().cast("array<bigint>")).when(F.size(c) == 0, whole).otherwise(F.slice(F.sort_array(F.array_distinct(c)), 1, SKETCH)))
+        return F.array_distinct(F.transform(a, lambda x, i: _short(F.xxhash64(F.shiftright(x, 31), gap(x, i)))))
 
-    return _let(_words(text), of)
+    def of(found: Column) -> Column:
+        whole = F.array(_short(F.xxhash64(F.array_join(found, "\n"))))
+        return _let(_let(_inner(found), _chosen), lambda c: F.when(F.size(found) == 0, F.array().cast("array<bigint>")).when(F.size(c) == 0, whole).otherwise(tied(c)))
+
+    return _let(symbols(text), of)
 
 
 def likeness(a: Column, b: Column) -> Column:
-    both = F.slice(F.sort_array(F.array_union(a, b)), 1, SKETCH)
-    return _let(both, lambda u: F.when(F.size(u) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(F.array_intersect(u, a), b)) / F.size(u)))
+    both = F.size(F.array_intersect(a, b))
+    return _let(both, lambda n: F.when(F.size(a) + F.size(b) == 0, F.lit(1.0)).otherwise(n / (F.size(a) + F.size(b) - n)))
+
 
+def told(found: Column) -> Column:
+    return F.lower(F.array_join(F.transform(F.slice(F.sort_array(found), 1, PRINTED), lambda x: F.lpad(F.hex(x), 8, "0")), ""))
 
-def told(s: Column) -> Column:
-    return F.lower(F.array_join(F.transform(s, lambda x: F.lpad(F.hex(x), 8, "0")), ""))
 
+def _below(cuts: Column, key: Column) -> Column:
+    return F.size(F.filter(cuts, lambda c: c <= key))
 
-def with_next(rows: DataFrame, key: str, carried: list[str]) -> DataFrame:
-    """Adds ``next_<column>`` of the row with the next lower key (of the first row after the last), without a global sort.
 
-    Rows are dealt into ranges of keys; each range also gets a copy of the first row of the range below it.
+def in_ranges(rows: DataFrame, key: str, text: str) -> DataFrame:
+    """Adds ``_range``, a number that rises with the key; ranges hold some ``RANGE_BYTES`` of text each.
+
+    Many ranges are cut in two steps, the square root of their number in each, so that no list of cuts grows with the table.
+    """
+    k = F.col(key)
+    size = rows.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    n = max(RANGES_A_PARTITION * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES))
+    first = n if n <= ONE_STEP else math.isqrt(n) + 1
+    cuts = sorted({int(x) for x in rows.select(k.cast("double").alias(key)).approxQuantile(key, [i / first for i in range(1, first)], 0.2 / first)})
+    coarse = rows.withColumn("_range", _below(F.array(*map(F.lit, cuts)).cast("array<bigint>"), k).cast("long") if cuts else F.lit(0).cast("long"))
+    if first == n:
+        return coarse
+    shares = F.array(*(F.lit(i / first) for i in range(1, first)))
+    fine = coarse.groupBy("_range").agg(F.percentile_approx(key, shares, 20 * first).alias("_cuts"))
+    fine = F.broadcast(fine.select(F.col("_range").alias("_coarse"), "_cuts"))  # isqrt(n) + 1 rows of as many numbers
+    return coarse.join(fine, F.col("_range") == F.col("_coarse")).withColumn("_range", F.col("_range") * (first + 1) + _below(F.col("_cuts"), k)).drop("_coarse", "_cuts")
+
+
+def with_next(rows: DataFrame, key: str, text: str, more: dict[str, Column]) -> DataFrame:
+    """Adds the columns ``more`` of each row, and of text and them ``next_<column>`` of the row with the next lower key (of the first row after the
+    last), without a global sort: rows are dealt into ranges of keys, and each range also gets a copy of the first row of the range below it.
+    Texts travel once; ``more`` is computed where they arrive.
     """
-    n = min(MOST_RANGES, RANGES_A_PARTITION * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    cuts = sorted({int(x) for x in rows.select(F.col(key).cast("double").alias(key)).approxQuantile(key, [i / n for i in range(1, n)], 0.2 / n)})
-    ranged = rows.withColumn("_range", F.size(F.filter(F.array(*map(F.lit, cuts)).cast("array<bigint>"), lambda c: c <= F.col(key))) if cuts else F.lit(0))
-    tops = {r["_range"]: r["top"] for r in ranged.groupBy("_range").agg(F.max(key).alias("top")).collect()}  # a row a range
-    order = sorted(tops)
-    above = {low: high for low, high in zip(order, [*order[1:], order[0]], strict=True)} if order else {}
-    heads = ranged.where(F.col(key).isin(list(tops.values()))).groupBy("_range").agg(F.max(F.struct(key, *carried)).alias("h"))
-    to = F.create_map(*(F.lit(x) for pair in above.items() for x in pair))[F.col("_range")] if above else F.lit(0)
-    copies = heads.select(to.alias("_range"), F.lit(1).alias("_copy"), "h.*")
-    dealt = ranged.withColumn("_copy", F.lit(0)).unionByName(copies, allowMissingColumns=True)
-    w = Window.partitionBy("_range").orderBy("_copy", F.desc(key), *(F.desc(c) for c in carried))
-    return dealt.withColumns({f"next_{c}": F.lead(c).over(w) for c in carried}).where("_copy = 0").drop("_range", "_copy")
+    dealt = in_ranges(rows, key, text)
+    tops = dealt.groupBy("_range").agg(F.max(key).alias("_top"))
+    # A row a range: few, whatever the size of the table.
+    order = Window.orderBy("_range")
+    tops = tops.select("_range", "_top", F.coalesce(F.lead("_range").over(order), F.first("_range").over(order)).alias("_to"))
+    heads = dealt.join(tops.withColumnRenamed("_range", "_from"), (F.col("_range") == F.col("_from")) & (F.col(key) == F.col("_top")))
+    heads = heads.groupBy("_from", "_to").agg(F.max(F.struct(key, text)).alias("h")).select(F.col("_to").alias("_range"), F.lit(1).alias("_copy"), f"h.{key}", f"h.{text}")
+    both = dealt.withColumn("_copy", F.lit(0)).unionByName(heads, allowMissingColumns=True)
+    w = Window.partitionBy("_range").orderBy("_copy", F.desc(key), F.desc(text))
+    computed = both.repartition("_range").withColumns(more)
+    return computed.withColumns({f"next_{c}": F.lead(c).over(w) for c in (text, *more)}).where("_copy = 0").drop("_range", "_copy")
 
 
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
     """Each document's fingerprint, that of its text with the second half taken from the next document, and their likeness."""
     rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("k"), F.coalesce("text", F.lit("")).alias("t"))
-    rows = rows.withColumn("s", sketch(F.col("t")))
-    out = with_next(rows, "k", ["t", "s"])
+    out = with_next(rows, "k", "t", {"s": elements(F.col("t"))})
     half = F.floor(F.length("t") / 2).cast("int")
     out = out.withColumn("n_chars", F.length("t").cast("long"))
     out = out.withColumn("e", F.concat(F.expr("left(t, length(t) - cast(floor(length(t) / 2) as int))"), F.substring(F.col("next_t"), F.lit(1), half)))
-    out = out.select("doc_id", "n_chars", F.sha2(F.col("e").cast("binary"), 256).alias("edited_sha256"), "s", "next_s", sketch(F.col("e")).alias("es"))
+    out = out.select("doc_id", "n_chars", F.sha2(F.col("e").cast("binary"), 256).alias("edited_sha256"), "s", "next_s", elements(F.col("e")).alias("es"))
     return out.select("doc_id", "n_chars", "edited_sha256", told(F.col("s")).alias("fingerprint"), told(F.col("es")).alias("edited_fingerprint"), likeness(F.col("s"), F.col("es")).cast("double").alias("near_edited"), likeness(F.col("s"), F.col("next_s")).cast("double").alias("near_next"))
