@@ -2,7 +2,7 @@
 
 The benchmark's windows (13 consecutive words; an item with fewer words is one window) are grouped by length. For each
 length a shift table over blocks of two words says how far a scan may jump without missing a window; where the shift
-is nought, the windows that end in that block are looked up by their suffix hash and compared word by word. Documents
+is nought, the bucket of the windows that end in that block (and of these, those that begin with the right one) is compared word by word. Documents
 stream through; nothing about them is gathered. Windows are broadcast in shards of a bounded number of words, and a
 benchmark of several shards is scanned shard by shard, so no broadcast grows with the benchmark.
 
@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
+from operator import eq
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,12 +41,13 @@ class WuManber:
         self.m, self.b, self.windows = m, min(2, m), windows
         self.most = m - self.b + 1
         self.shift: dict = {}
-        self.buckets: dict = defaultdict(list)
+        #: Windows by their last block, then by their first.
+        self.buckets: dict = defaultdict(lambda: defaultdict(list))
         for w in windows:
             for end in range(self.b, m + 1):
                 block = self._block(w, end)
                 self.shift[block] = min(self.shift.get(block, self.most), m - end)
-            self.buckets[self._block(w, m)].append(w)
+            self.buckets[self._block(w, m)][self._block(w, self.b)].append(w)
 
     def _block(self, words, end: int):
         return words[end - 1] if self.b == 1 else (words[end - 2], words[end - 1])
@@ -60,12 +62,10 @@ class WuManber:
             if jump:
                 end += jump
                 continue
-            bucket = self.buckets[block]
-            if len(bucket) == 1:
-                if words[end - m : end] == list(bucket[0]):
-                    yield end - m, self.windows[bucket[0]]
-            elif (found := self.windows.get(tuple(words[end - m : end]))) is not None:
-                yield end - m, found
+            for w in self.buckets[block].get(self._block(words, end - m + self.b), ()):
+                if all(map(eq, w, words[end - m : end])):
+                    yield end - m, self.windows[w]
+                    break
             end += 1
 
 
