@@ -1,39 +1,47 @@
 """Secret scan by rules and character Markov models.
 
 Three rules find assignments, access keys and long hexadecimal runs. The method adds to them: two character Markov
-models (first order), one of random strings and one of ordinary identifiers, score every token of a secret's alphabet;
-tokens of letters and digits whose mean log-likelihood ratio is over a threshold are secrets too. Both models are trained from labelled
-samples: values that the rules found in a bounded sample of texts (with strings drawn evenly from the same alphabets,
-so that few finds suffice) against the other tokens of that sample.
+models (first order, backed off to single characters), one of random strings and one of ordinary identifiers, score every
+token of a secret's alphabet from ``SHORTEST`` characters on by its log-likelihood ratio. The ratio is a sum over the token, so a
+short one must be stranger than a long one; what its letters are doesn't matter otherwise.
+
+Both models are trained from labelled samples: the values that the rules found in a bounded sample of different texts (``SAMPLE_DOCS``
+expected) against the other tokens there (different ones, ``TOKENS`` expected). A quarter of the labelled tokens is
+held back to fit the threshold: the least ratio that so few ordinary tokens exceed (``FALSE_SHARE``), and at least the odds against
+a secret in the sample. The share of held-back secrets that pass it (rules off), and what share of all that pass are
+secrets, stand in ``MarkovPair.report``. Without labelled secrets nothing is added.
 
 Offsets are code points, ends exclusive. Defined cases: a null text is empty; an empty text has no spans; repeated
-rows are scanned alike; extra columns are ignored. Added spans never replace a rule's span, and none is added that
-overlaps one.
+rows are scanned alike; extra columns are ignored; of equal tokens with both labels the secret counts. Added spans never replace a
+rule's span, and none is added that overlaps one. A table without texts adds nothing.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
-import random
 import re
+import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skeinworks.llm.common import Scratch
+
 KINDS = ("assign", "access", "hex", "markov")
-#: Texts of the training sample, and the length from which a token is scored.
-SAMPLE_DOCS, SHORTEST = 2000, 16
-THRESHOLD = 0.9
+#: Bounds of the training sample (texts and ordinary tokens, both expected), the length from which a token is scored, and the share of ordinary tokens that may pass.
+SAMPLE_DOCS, TOKENS, SHORTEST, FALSE_SHARE = 2000, 200_000, 10, 1e-4
+#: Scores that a task remembers.
+MEMO = 100_000
 _ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+")
 _TOKEN = re.compile(rf"[A-Za-z0-9+/_=-]{{{SHORTEST},}}")
 _HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-_ALPHABETS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghijklmnopqrstuvwxyz0123456789", "0123456789abcdef")
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -62,65 +70,100 @@ def rule_spans(text: str | None) -> list[tuple[int, int, str]]:
 
 
 class MarkovPair:
-    """log P(string | random) - log P(string | ordinary), a character, by two first-order models with smoothing."""
-
-    SIZE = 67
-
-    def __init__(self, random_: list[str], ordinary: list[str]):
-        (p1, s1), (p0, s0) = self._counts(random_), self._counts(ordinary)
-        n = self.SIZE
-        alphabet = sorted({c for g in p1.keys() | p0.keys() for c in g})
-        self.ratio = {c + d: math.log((p1[c + d] + 0.5) / (s1[c] + 0.5 * n)) - math.log((p0[c + d] + 0.5) / (s0[c] + 0.5 * n)) for c in alphabet for d in alphabet}
+    """log P(token | random) - log P(token | ordinary) by two first-order models, and the threshold from which a token is a secret."""
+
+    #: Characters of a secret's alphabet, and the weight of single characters against pairs.
+    SIZE, BACK = 67, 8.0
+
+    def __init__(self, secrets: list[str], ordinary: list[str]):
+        self.threshold, self.report = math.inf, {"secrets": len(secrets), "ordinary": len(ordinary), "recall": 0.0, "precision": 0.0}
+        fit, held = zip(*(self._halves(x) for x in (secrets, ordinary)), strict=True)
+        if not fit[0] or not held[0]:
+            self.ratio: dict[str, float] = {}
+            return
+        p1, p0 = (self._model(x) for x in fit)
+        alphabet = sorted({c for x in fit for s in x for c in s})
+        self.ratio = {c + d: math.log(p1(c, d)) - math.log(p0(c, d)) for c in ["^", *alphabet] for d in alphabet}
+        good, bad = ([self.score(t) for t in x] for x in held)
+        bad.sort()
+        odds = math.log(max(len(ordinary), 1) / len(secrets))
+        place = math.ceil((1 - FALSE_SHARE) * len(bad)) - 1
+        self.threshold = max(odds, bad[place] if bad else 0.0, 0.0)
+        caught, wrong = sum(x > self.threshold for x in good), sum(x > self.threshold for x in bad)
+        self.report |= {"recall": caught / len(good), "precision": caught / max(caught + wrong, 1)}
 
     @staticmethod
-    def _counts(strings: list[str]) -> tuple[Counter, Counter]:
-        pairs = Counter(x for s in strings for x in map("".join, zip(f"^{s}", s, strict=False)))
-        singles: Counter = Counter()
+    def _halves(tokens: list[str]) -> tuple[list[str], list[str]]:
+        """Three quarters to fit the models, and a quarter held back."""
+        return [t for t in tokens if zlib.crc32(t.encode()) % 4], [t for t in tokens if not zlib.crc32(t.encode()) % 4]
+
+    @classmethod
+    def _model(cls, tokens: list[str]):
+        pairs = Counter(x for t in tokens for x in map("".join, zip(f"^{t}", t, strict=False)))
+        before, single = Counter(), Counter()
         for g, k in pairs.items():
-            singles[g[0]] += k
-        return pairs, singles
+            before[g[0]] += k
+            single[g[1]] += k
+        total = sum(single.values())
+
+        def chance(c: str, d: str) -> float:
+            alone = (single[d] + 1) / (total + cls.SIZE)
+            return (pairs[c + d] + cls.BACK * alone) / (before[c] + cls.BACK)
+
+        return chance
 
     def score(self, token: str) -> float:
         get = self.ratio.get
-        return sum(get(c + d, 0.0) for c, d in zip(f"^{token}", token, strict=False)) / len(token)
-
-
-def train(docs: DataFrame, sample: int = SAMPLE_DOCS) -> MarkovPair:
-    """Both models from a hash sample of at most ``sample`` texts, labelled by the rules."""
-    texts = docs.select("text").where("text is not null")
-    n = texts.count()
-    rate = min(1.0, sample / max(n, 1))
-    place = F.pmod(F.xxhash64("text"), F.lit(1_000_000_007)) / F.lit(1_000_000_007.0)
-    picked = texts.where(place < rate).select(F.substring("text", 1, 20_000).alias("text")).orderBy(F.xxhash64("text")).limit(2 * sample)
-    secrets, ordinary = [], []
-    for r in picked.toLocalIterator():
-        spans = rule_spans(r.text)
-        for a, b, kind in spans:
-            m = _ASSIGN.match(r.text, a) if kind == "assign" else None
-            secrets.append(m[1] if m else r.text[a:b])
-        for m in re.finditer(r"[A-Za-z0-9+/_=-]{4,}", r.text):
-            if not any(a < m.end() and m.start() < b for a, b, _ in spans) and len(ordinary) < 400_000:
-                ordinary.append(m[0])
-    draw = random.Random(9)
-    secrets += ["".join(draw.choices(a, k=draw.randint(SHORTEST, 48))) for a in _ALPHABETS for _ in range(1500)]
-    return MarkovPair(secrets, ordinary)
-
-
-def markov_spans(text: str | None, model: MarkovPair, taken: list[tuple[int, int, str]], threshold: float = THRESHOLD) -> list[tuple[int, int, str]]:
+        return sum(get(c + d, 0.0) for c, d in zip(f"^{token}", token, strict=False))
+
+    def secret(self, token: str) -> bool:
+        return self.score(token) > self.threshold
+
+
+def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tokens of each text: the values that the rules found (1) and all others (0)."""
+    for batch in batches:
+        out: dict[str, int] = {}
+        for text in batch.column(0).to_pylist():
+            spans = rule_spans(text)
+            for a, b, kind in spans:
+                m = _ASSIGN.match(text, a) if kind == "assign" else None
+                out[m[1] if m else text[a:b]] = 1
+            for m in _TOKEN.finditer(text):
+                if not any(a < m.end() and m.start() < b for a, b, _ in spans):
+                    out.setdefault(m[0], 0)
+        yield pa.RecordBatch.from_arrays([pa.array(out.keys(), pa.string()), pa.array(out.values(), pa.int32())], names=["token", "label"])
+
+
+def train(docs: DataFrame, sample: int = SAMPLE_DOCS, tokens: int = TOKENS) -> MarkovPair:
+    """Both models and the threshold, from a bounded hash sample of different texts, read whole and labelled by the rules."""
+    texts = docs.select("text").where("length(text) > 0").withColumn("hash", F.xxhash64("text"))
+    rate = min(1.0, sample / max(texts.agg(F.approx_count_distinct("hash")).first()[0], 1))
+    place = F.pmod(F.xxhash64("hash"), F.lit(1_000_000_007)) / F.lit(1_000_000_007.0)
+    picked = texts.where(place < rate).groupBy("hash").agg(F.min("text").alias("text")).select("text")
+    found = picked.mapInArrow(_labelled, "token string, label int").groupBy("token").agg(F.max("label").alias("label"))
+    found = Scratch(docs.sparkSession, "secrets").write(found, "tokens")
+    share = min(1.0, tokens / max(found.count(), 1))
+    kept = found.where(F.pmod(F.xxhash64("token"), F.lit(1_000_000_007)) / F.lit(1_000_000_007.0) < share).select("label", "token")
+    rows = sorted((r.token, r.label) for r in kept.toLocalIterator())
+    return MarkovPair([t for t, x in rows if x], [t for t, x in rows if not x])
+
+
+def markov_spans(text: str | None, secret: Callable[[str], bool], taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     if not text or not _long_tokens(text, SHORTEST):
         return []
-    out = []
-    for m in _TOKEN.finditer(text):
-        t = m[0]
-        if any(c.isdigit() for c in t) and not t.isdigit() and model.score(t) > threshold and not any(a < m.end() and m.start() < b for a, b, _ in taken):
-            out.append((m.start(), m.end(), "markov"))
-    return out
+    return [(m.start(), m.end(), "markov") for m in _TOKEN.finditer(text) if secret(m[0]) and not any(a < m.end() and m.start() < b for a, b, _ in taken)]
+
+
+def finder(model: MarkovPair) -> Callable[[str | None], list[tuple[int, int, str]]]:
+    """All spans of a text by start, then kind as listed; tokens are scored once as long as they are remembered."""
+    secret = functools.lru_cache(MEMO)(model.secret)
 
+    def find(text: str | None) -> list[tuple[int, int, str]]:
+        found = rule_spans(text)
+        return sorted(found + markov_spans(text, secret, found), key=lambda x: (x[0], KINDS.index(x[2])))
 
-def find_secrets(text: str | None, model: MarkovPair) -> list[tuple[int, int, str]]:
-    """All spans of a text by start, then kind as listed."""
-    found = rule_spans(text)
-    return sorted(found + markov_spans(text, model, found), key=lambda x: (x[0], KINDS.index(x[2])))
+    return find
 
 
 def _told(spans) -> str:
@@ -129,11 +172,11 @@ def _told(spans) -> str:
 
 def _scan(shared):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        find = finder(shared.value)
         for batch in batches:
             out = []
             for text in batch.column(1).to_pylist():
-                spans = find_secrets(text, model)
+                spans = find(text)
                 base = [x for x in spans if x[2] != "markov"]
                 n = Counter(x[2] for x in base)
                 out.append((n["assign"], n["access"], n["hex"], hashlib.sha256(_told(base).encode()).hexdigest(), _told(spans)))
@@ -168,8 +211,9 @@ def redact(docs: DataFrame, model: MarkovPair | None = None) -> DataFrame:
     at = docs.columns.index("text")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = finder(shared.value)
         for batch in batches:
-            texts = [redacted(t, find_secrets(t, shared.value)) for t in batch.column(at).to_pylist()]
+            texts = [redacted(t, find(t)) for t in batch.column(at).to_pylist()]
             cols = [pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(batch.num_columns)]
             yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names)
 
