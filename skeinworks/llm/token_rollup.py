@@ -5,11 +5,14 @@ changes: an insert adds a document's count, a delete takes it away, a revision t
 new one. A batch is counted on executors, summed by key (with map-side combining, so a source with most rows is no hot
 task) and committed once by its batch id: its deltas are written to a folder of their own, of which the success marker
 is the commit. Committing an id again changes nothing, and a batch that died half-way is overwritten.
-Totals are the sum of the committed deltas.
+
+Totals are maintained: ``compact`` adds the batches since the last snapshot to its totals and writes a new snapshot, whose
+success marker is its commit and which also holds the ids that it contains. A reader takes the newest whole snapshot and the batches that it
+doesn't contain, so that a compaction that died leaves nothing counted twice; the folders that a snapshot replaces are removed after it.
 
 Defined cases: null texts have no tokens but count as documents; null sources and languages are keys of their own;
 repeated rows count each; keys whose documents and tokens sum to nought are left out of the totals; extra columns are
-ignored; a row whose sign is null is ignored.
+ignored; a row whose sign is null is ignored; an empty batch is committed and changes nothing.
 """
 
 from __future__ import annotations
@@ -22,11 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeinworks.llm.common import shared_dir
+from skeinworks.llm.common import Scratch, shared_dir
 from skeinworks.llm.tokens import Encoder, default_tokenizer
 
 KEY = ["source", "lang", "tokenizer"]
 FORM = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
+SNAPSHOT_COLUMNS = [*KEY, "n_docs", "n_tokens", "batch"]
+#: A snapshot's rows are totals (no batch) or the ids of the batches in them.
+SNAPSHOT = f"{FORM}, batch string"
 WORDS = "words-1"
 BPE = "byte-bpe-50k-1"
 
@@ -62,12 +68,24 @@ class TokenRollup:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
         return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def committed(self) -> list[str]:
+    def _whole(self, kind: str) -> list[str]:
+        """What follows ``kind=`` in the names of the folders that have their success marker."""
         path, fs = self._path("")
         if not fs.exists(path):
             return []
         names = [s.getPath().getName() for s in fs.listStatus(path)]
-        return sorted(n.removeprefix("batch=") for n in names if n.startswith("batch=") and fs.exists(self._path(f"{n}/_SUCCESS")[0]))
+        return sorted(n.removeprefix(f"{kind}=") for n in names if n.startswith(f"{kind}=") and fs.exists(self._path(f"{n}/_SUCCESS")[0]))
+
+    def _snapshot(self) -> tuple[str | None, set[str]]:
+        """The newest snapshot and the batch ids that it contains."""
+        found = self._whole("snapshot")
+        if not found:
+            return None, set()
+        rows = self.spark.read.schema(SNAPSHOT).parquet(f"{self.root}/snapshot={found[-1]}").where("batch is not null").select("batch")
+        return found[-1], {r.batch for r in rows.collect()}  # an id a batch
+
+    def committed(self) -> list[str]:
+        return sorted(self._snapshot()[1] | set(self._whole("batch")))
 
     def commit(self, batch_id: str, changes: DataFrame, versions: dict[str, str | None]) -> bool:
         """Apply a batch of signed rows; False if that id is committed already."""
@@ -75,18 +93,34 @@ class TokenRollup:
             raise ValueError(f"not a batch id: {batch_id!r}")
         if batch_id in self.committed():
             return False
-        deltas(changes, versions).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/batch={batch_id}")
+        deltas(changes, versions).write.mode("overwrite").parquet(f"{self.root}/batch={batch_id}")
         return True
 
-    def _sum(self, batches: list[str]) -> DataFrame:
-        if not batches:
-            return self.spark.createDataFrame([], FORM)
-        rows = self.spark.read.schema(FORM).parquet(*(f"{self.root}/batch={b}" for b in batches))
+    def _sum(self, snapshot: str | None, batches: list[str]) -> DataFrame:
+        paths = [f"{self.root}/batch={b}" for b in batches]
+        rows = self.spark.read.schema(FORM).parquet(*paths) if paths else self.spark.createDataFrame([], FORM)
+        if snapshot:
+            rows = rows.unionByName(self.spark.read.schema(SNAPSHOT).parquet(f"{self.root}/snapshot={snapshot}").where("batch is null").drop("batch"))
         out = rows.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
         return out.where("n_docs <> 0 or n_tokens <> 0")
 
     def totals(self) -> DataFrame:
-        return self._sum(self.committed())
+        snapshot, held = self._snapshot()
+        return self._sum(snapshot, [b for b in self._whole("batch") if b not in held])
+
+    def compact(self) -> None:
+        """A new snapshot of the totals and of all batch ids; the older snapshots and the batches in it are removed."""
+        snapshot, held = self._snapshot()
+        batches = self._whole("batch")
+        if not batches:
+            return
+        ids = self.spark.createDataFrame([(b,) for b in sorted(held | set(batches))], "batch string")
+        rows = self._sum(snapshot, [b for b in batches if b not in held]).unionByName(ids, allowMissingColumns=True)
+        name = f"{int(snapshot or 0) + 1:012d}"
+        rows.select(*SNAPSHOT_COLUMNS).write.mode("overwrite").parquet(f"{self.root}/snapshot={name}")
+        for old in [f"snapshot={x}" for x in self._whole("snapshot") if x < name] + [f"batch={b}" for b in batches]:
+            path, fs = self._path(old)
+            fs.delete(path, True)
 
 
 def inserts(docs: DataFrame, sign: int = 1) -> DataFrame:
@@ -99,13 +133,25 @@ def revisions(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def rollup_documents(docs: DataFrame, root: str | None = None, tokenizer: str | None = None) -> DataFrame:
-    """Totals after three batches over the whole table: all documents under word counts and a byte-pair tokenizer, a
-    replay of that batch, and a revision that puts every lang in lower case and trims it."""
+    """The token counts of all documents under word counts and a byte-pair tokenizer, maintained through a whole life:
+
+    all documents are inserted as drafts (white space collapsed), the same batch is replayed, all counts are revised to the final texts, later
+    copies of a text are deleted and, as they belong to the table, inserted again. Between the batches the totals are compacted. The end
+    is the counts of the table as it is. ``root`` holds the rollup; without one each call keeps its own, as another call may see other rows.
+    """
     spark = docs.sparkSession
     rollup = TokenRollup(spark, root or f"{shared_dir(spark)}/token-rollup-{uuid.uuid4().hex}")
     versions = {WORDS: None, BPE: tokenizer or default_tokenizer()}
-    rollup.commit("inserts", inserts(docs), versions)
-    rollup.commit("inserts", inserts(docs), versions)
-    untidy = docs.where(~F.col("lang").eqNullSafe(F.lower(F.trim("lang"))))
-    rollup.commit("tidy-lang", revisions(untidy, untidy.withColumn("lang", F.lower(F.trim("lang")))), versions)
+    rows = docs.select("doc_id", "text", "source", "lang")
+    drafts = rows.withColumn("text", F.trim(F.regexp_replace("text", r"\s+", " ")))
+    rollup.commit("drafts", inserts(drafts), versions)
+    rollup.commit("drafts", inserts(drafts), versions)
+    rollup.compact()
+    rollup.commit("final", revisions(drafts, rows), versions)
+    hashed = rows.withColumn("hash", F.unhex(F.md5(F.col("text").cast("binary"))))
+    first = hashed.where("hash is not null").groupBy("hash").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    copies = Scratch(spark, "copies").write(hashed.join(first, "hash").where("doc_id > first").select("text", "source", "lang"), "copies")
+    rollup.commit("copies", inserts(copies, -1), versions)
+    rollup.compact()
+    rollup.commit("copies-again", inserts(copies), versions)
     return rollup.totals()
