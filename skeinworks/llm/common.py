@@ -8,7 +8,9 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -52,10 +54,15 @@ def small_batches(spark: SparkSession) -> None:
 class Scratch:
     """Tables written to the shared folder: they cut lineage and survive lost executors."""
 
+    #: Those made since ``dropped_scratch`` began.
+    made: list[Scratch] | None = None
+
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         #: Tables that were written and not dropped.
         self.names: set[str] = set()
+        if Scratch.made is not None:
+            Scratch.made.append(self)
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         with shuffle_cleanup(self.spark):
@@ -74,6 +81,34 @@ class Scratch:
             self.names.discard(name)
 
 
+@contextlib.contextmanager
+def dropped_scratch() -> Iterator[None]:
+    """At the end, the tables that operators wrote inside go; what they returned must be written by then."""
+    before, Scratch.made = Scratch.made, []
+    try:
+        yield
+    finally:
+        for scratch in Scratch.made:
+            scratch.drop(*scratch.names)
+        Scratch.made = before
+
+
+def numbered(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """Whole rows in ``_row`` (so that no name of theirs clashes), each with a place of its own: _file and _line.
+
+    A table's rows have their place in its files; other rows are written first.
+    """
+
+    def placed(df: DataFrame) -> DataFrame:
+        told = df.metadataColumn("_metadata")
+        return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"), F.unhex(F.md5(told["file_path"].cast("binary"))).alias("_file"), told["row_index"].alias("_line"))
+
+    try:
+        return placed(docs)
+    except AnalysisException:
+        return placed(scratch.write(docs, "rows"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

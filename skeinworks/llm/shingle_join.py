@@ -1,6 +1,8 @@
-"""Near copies by an exact similarity join: texts whose sets of five-word shingles have a Jaccard index of 0.8 or more.
+"""Near copies by SimHash, and by an exact similarity join for the rest: texts whose sets of five-word shingles have a Jaccard index of 0.8 or more.
 
-Texts with the same set of shingles are one class, and only classes are compared. Every shingle's classes are counted.
+Texts with the same set of shingles are one class, and only classes are compared. Vantage-point trees over the classes' SimHash fingerprints
+first give the pairs within ``RADIUS`` bits, of which those with the index asked for are links: they join most near copies cheaply. Two sets
+with that index often differ in more bits, so an exact join finds the pairs that are not in one component yet. Every shingle's classes are counted.
 A class can have a partner only if others hold at least ``SIMILAR`` of its shingles, and such a pair shares one of
 the rarest shingles of both (prefix filter), so all pairs are found; each is confirmed on the whole sets. Shingles travel
 packed by hash, so texts with common lines meet only where these are among their rarest. Of the classes
@@ -8,8 +10,8 @@ that share a rare shingle the first few are compared with all others; where that
 rounds compare more of them, but no two of one component: a clump costs its size, not the square of it.
 
 Defined cases: a null text is an empty one; texts without words are one class; fewer than five words make one shingle;
-repeated rows share a component; a null id never becomes a component's id unless all its ids are null; an empty table
-gives no rows; extra columns are ignored.
+repeated rows share a component; a null id never becomes a component's id unless all its ids are null; rows that agree in all
+columns to keep are either all a component's first or none; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,9 +24,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from skeinworks.llm.common import Scratch
 from skeinworks.llm.components import components
+from skeinworks.llm.simhash import RADIUS, link_prints, majority
 
 #: Words of a shingle, and the least Jaccard index as a fraction.
 SHINGLE, SIMILAR, SEED = 5, (4, 5), 42
@@ -49,11 +53,13 @@ def shingles(text: str | None, k: int = SHINGLE) -> np.ndarray:
 
 
 def _sets(k: int):
+    """The row itself, its class, the class's size, fingerprint and shingles."""
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(i, TEXTS) for b in batches for i in range(0, len(b), TEXTS)):
             found = [shingles(t, k) for t in batch.column(1).to_pylist()]
-            keys = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in found], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys), pa.array([len(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["doc_id", "key", "n", "shingles"])
+            keys, prints = (np.array(x, dtype=np.uint64).view(np.int64) for x in ([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in found], [majority(s.byteswap().tobytes()) for s in found]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys), pa.array([len(s) for s in found], pa.int64()), pa.array(prints), pa.array([s.tobytes() for s in found], pa.binary())], names=["row", "key", "n", "print", "shingles"])
 
     return rows
 
@@ -194,19 +200,30 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and component_id (least doc_id reachable) of each row."""
+def _print_pairs(classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """Pairs (u, v) of classes that vantage-point trees find within ``RADIUS`` bits: a spanning set of them."""
+    one = scratch.write(classes.groupBy("print").agg(F.min("key").alias("least")), "prints")
+    same = classes.join(one, "print").where("key <> least").select(F.col("least").alias("u"), F.col("key").alias("v"))
+    links = scratch.write(link_prints(one, scratch, RADIUS), "print-links")
+    ends = links.join(one.select(F.col("print").alias("u"), F.col("least").alias("a")), "u").join(one.select(F.col("print").alias("v"), F.col("least").alias("b")), "v")
+    return same.unionByName(ends.select(F.col("a").alias("u"), F.col("b").alias("v")))
+
+
+def near_duplicates(docs: DataFrame, keep: list[str] | None = None, shingle: int = SHINGLE) -> DataFrame:
+    """The columns ``keep`` (doc_id first) of each row, component_id (least doc_id reachable), and first: whether it is the one row of its
+    component with the least id and then the least further columns."""
+    keep = keep or ["doc_id"]
     spark = docs.sparkSession
     scratch = Scratch(spark, "shingle-join")
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    sets = scratch.write(rows.mapInArrow(_sets(shingle), "doc_id long, key long, n long, shingles binary"), "sets")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"), F.col("text").cast("string"))
+    sets = scratch.write(rows.mapInArrow(_sets(shingle), StructType([rows.schema["row"], *StructType.fromDDL("key long, n long, print long, shingles binary").fields])), "sets")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (sets.agg(F.sum("n")).first()[0] or 0) // (PASSES * PART))
 
     def dealt(packed: DataFrame) -> DataFrame:
         return packed.repartition(parts, "part").sortWithinPartitions("part")
 
-    sized = sets.select("key", "n").distinct().mapInArrow(_by_class(parts), f"{PACKED}, c binary")
-    packs = sized
+    classes = scratch.write(sets.select("key", "n", "print").distinct(), "classes")
+    packs = classes.select("key", "n").mapInArrow(_by_class(parts), f"{PACKED}, c binary")
     for share in range(PASSES):
         dealt_out = dealt(sets.select("key", "n", "shingles").mapInArrow(_by_shingle(parts, share), PACKED))
         packs = packs.union(scratch.write(dealt_out.mapInArrow(_each_part(_shared(parts)), f"{PACKED}, c binary"), f"shared{share}"))
@@ -214,27 +231,31 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     scratch.drop(*(f"shared{share}" for share in range(PASSES)))
     alive = scratch.write(postings.select("key").distinct(), "alive")  # its size on disk tells Spark how to join
     held = scratch.write(sets.join(alive, "key", "left_semi").groupBy("key").agg(F.first("shingles").alias("shingles")), "held")
-    ids = scratch.write(sets.select("doc_id", "key"), "ids")
+    ids = scratch.write(sets.select("row", "key"), "ids")
     scratch.drop("sets")
-    links, low, high, found = None, 0, PIVOTS, None
-    labelled = postings.withColumn("root", F.col("key"))
-    while True:
-        ordered = labelled.select("shingle", "key", "n", "root").repartition("shingle").sortWithinPartitions("shingle", "key")
-        pairs = scratch.write(ordered.mapInArrow(_pairs(low, high), "u long, v long").distinct(), f"pairs{low}")
+
+    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
         both = pairs.join(held.select(F.col("key").alias("u"), F.col("shingles").alias("x")), "u").join(held.select(F.col("key").alias("v"), F.col("shingles").alias("y")), "v")
-        new = scratch.write(both.select("u", "v", "x", "y").mapInArrow(_similar, "u long, v long"), f"links{low}")
-        links = new if links is None else links.union(new)
-        round_ = Scratch(spark, "shingle-join-round")
-        found = components(links, round_)
-        # Shingles with more classes than were compared, if these are of several components.
+        return scratch.write(both.select("u", "v", "x", "y").mapInArrow(_similar, "u long, v long"), name)
+
+    links, low, high, open_ = confirmed(_print_pairs(classes, scratch), "links"), 0, PIVOTS, None
+    while True:
+        found = components(links, Scratch(spark, "shingle-join-round"))
         labelled = postings.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-        open_ = labelled.groupBy("shingle").agg(F.count("*").alias("size"), F.min("root").alias("a"), F.max("root").alias("b")).where((F.col("size") > high + 1) & (F.col("a") < F.col("b")))
-        open_ = scratch.write(open_.select("shingle"), f"open{low}")
+        # Shingles whose classes are of several components, and more than were compared.
+        sizes = labelled.groupBy("shingle").agg(F.count("*").alias("size"), F.min("root").alias("a"), F.max("root").alias("b"))
+        open_ = scratch.write(sizes.where((F.col("size") > (low + 1)) & (F.col("a") < F.col("b"))).select("shingle"), f"open{low}")
         if open_.isEmpty():
             break
-        labelled = labelled.join(open_, "shingle", "left_semi")
+        ordered = labelled.join(open_, "shingle", "left_semi").select("shingle", "key", "n", "root").repartition("shingle").sortWithinPartitions("shingle", "key")
+        pairs = scratch.write(ordered.mapInArrow(_pairs(low, high), "u long, v long").distinct(), f"pairs{low}")
+        links = links.unionByName(confirmed(pairs, f"links{low}"))
         low, high = high, 8 * high
-    joined = ids.groupBy("key").agg(F.min("doc_id").alias("first_id")).join(found, F.col("key") == F.col("node"), "left").select("key", "first_id", F.coalesce("root", "key").alias("root"))
-    named = joined.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = scratch.write(joined.join(named, "root").select("key", "component_id"), "named")
-    return ids.join(named, "key").select("doc_id", "component_id")
+    # Rows by id, those without one last, then by the other columns.
+    order = F.struct(F.col("row.doc_id").isNull(), "row")
+    joined = ids.groupBy("key").agg(F.min(order).alias("least")).join(found, F.col("key") == F.col("node"), "left").select("key", "least", F.coalesce("root", "key").alias("root"))
+    joined = scratch.write(joined, "joined")
+    named = scratch.write(joined.groupBy("root").agg(F.min("least").alias("one")), "named")
+    named = scratch.write(joined.join(named, "root").select("key", "one"), "ones")
+    out = ids.join(named, "key")
+    return out.select("row.*", F.col("one.row.doc_id").alias("component_id"), order.eqNullSafe(F.col("one")).alias("first"))
