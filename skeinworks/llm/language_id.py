@@ -1,9 +1,9 @@
 """Language identification by cross-parsing entropy.
 
 Each language's labelled running text (letters in lower case, every run of other characters one space) forms a suffix
-automaton. A text is parsed greedily into longest matches of each automaton; a match is a phrase. A phrase points into
-a sample of n characters and so costs log2(n) bits, which makes samples of different sizes comparable; a letter that
-the sample lacks costs a character code besides. The language whose normalised phrases need the fewest bits wins.
+automaton. A text is parsed greedily into longest matches of each automaton; a match is a phrase. A phrase points to
+one of the automaton's n states and so costs log2(n) bits, which makes samples of different sizes comparable (a sample that repeats
+itself has no more states for it); a letter that the sample lacks costs a character code besides. The language whose normalised phrases need the fewest bits wins.
 
 Automata are built once, packed into arrays (rows of transitions displaced into one table) and broadcast. A batch of
 texts is cut into chunks of ``CHUNK`` characters, and all chunks advance together, a character at a time, in numpy.
@@ -109,7 +109,7 @@ class SuffixAutomaton:
 class PackedAutomaton:
     """An automaton's transitions in one table: that of state s by symbol c stands at ``base[s] + c`` if ``check`` says s there."""
 
-    def __init__(self, automaton: SuffixAutomaton, symbols: int, size: int):
+    def __init__(self, automaton: SuffixAutomaton, symbols: int):
         nxt = automaton.next
         total = sum(map(len, nxt))
         slots = 1 << (2 * total + symbols).bit_length()
@@ -121,7 +121,7 @@ class PackedAutomaton:
             base[s] = b
             for c, x in nxt[s].items():
                 check[b + c & mask], to[b + c & mask] = s, x
-        self.mask, self.bits = mask, math.log2(size + 1)
+        self.mask, self.bits = mask, math.log2(len(nxt) + 1)
         self.base, self.check, self.to = (np.array(x, dtype=np.int32) for x in (base, check, to))
         self.root = np.full(symbols, -1, dtype=np.int32)
         self.root[list(nxt[0])] = list(nxt[0].values())
@@ -153,7 +153,7 @@ class CrossParser:
         self.langs = list(pieces)
         known = np.unique(np.concatenate([np.array([_SPACE], dtype=np.uint32), *(q for p in pieces.values() for q in p)]))
         self.codes = known
-        self.automata = [PackedAutomaton(SuffixAutomaton([np.searchsorted(known, q).tolist() for q in p]), len(known) + 1, sum(map(len, p))) for p in pieces.values()]
+        self.automata = [PackedAutomaton(SuffixAutomaton([np.searchsorted(known, q).tolist() for q in p]), len(known) + 1) for p in pieces.values()]
 
     def symbols(self, text: str) -> np.ndarray:
         """Places of the text's characters in the alphabet; its length stands for all letters beyond."""
@@ -216,8 +216,8 @@ def train(docs: DataFrame, training: Column, chars: int = CHARS_A_LANGUAGE, in_a
     share = min(chars, max(1, in_all // len(found)))
     rates = docs.sparkSession.createDataFrame([(r.lang, min(1.0, share / r["size"])) for r in found], "lang string, rate double")
     places = F.filter(F.sequence(F.lit(0), F.floor((F.length("text") - 1) / PIECE).cast("int")), lambda k: F.pmod(F.xxhash64("doc_id", k), F.lit(_RANDOM)) / _RANDOM < F.col("rate"))
-    # A piece goes with one character on either side, which tells whether it begins and ends inside a word.
-    pieces = rows.join(rates, "lang").select("lang", "doc_id", "text", F.explode(places).alias("k"))
+    # The rates are a row a language, and were collected above. A piece goes with one character on either side, which tells whether it begins and ends inside a word.
+    pieces = rows.join(F.broadcast(rates), "lang").select("lang", "doc_id", "text", F.explode(places).alias("k"))
     start = F.col("k") * PIECE
     pieces = pieces.select("lang", "doc_id", "k", F.substring(F.col("text"), F.greatest(start, F.lit(1)), F.when(F.col("k") > 0, PIECE + 2).otherwise(PIECE + 1)).alias("piece"))
     sample: dict[str, list[np.ndarray]] = {r.lang: [] for r in found}

@@ -60,5 +60,32 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
+#: Words of op1 and op7, windows as joined words; both hold whole tables.
+_OP1 = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (SELECT doc_id, r, i, array_to_string(ws[i : i + 19], ' ') AS win FROM d, unnest(range(1, len(ws) - 18)) AS t(i)),
+f AS (SELECT doc_id, r, i, rank() OVER (PARTITION BY win ORDER BY doc_id, i) AS nth FROM w),
+c AS (SELECT DISTINCT r, i + k AS p FROM f, unnest(range(0, 20)) AS t(k) WHERE nth > 1),
+l AS (SELECT r, p, ws[p] AS word FROM d, unnest(range(1, len(ws) + 1)) AS t(p)),
+k AS (SELECT l.r, count(*) AS n, string_agg(word, ' ' ORDER BY l.p) AS kept FROM l ANTI JOIN c ON l.r = c.r AND l.p = c.p GROUP BY l.r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON d.r = k.r
+"""
+_OP7 = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+m AS (SELECT item_id, ws, least(13, len(ws)) AS m FROM b WHERE len(ws) > 0),
+x AS (SELECT DISTINCT item_id, m, array_to_string(ws[i : i + m - 1], ' ') AS win FROM m, unnest(range(1, len(ws) - m + 2)) AS t(i)),
+w AS (SELECT r, i, s.m, array_to_string(ws[i : i + s.m - 1], ' ') AS win FROM d, (SELECT DISTINCT m FROM x) AS s, unnest(range(1, len(ws) - s.m + 2)) AS t(i)),
+h AS (SELECT w.r, w.i, w.m, x.item_id FROM w JOIN x ON w.m = x.m AND w.win = x.win),
+p AS (SELECT r, count(DISTINCT i + k) AS n_hit FROM h, unnest(range(0, m)) AS t(k) GROUP BY r),
+n AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(ws), FALSE) AS contaminated
+FROM d LEFT JOIN p ON d.r = p.r LEFT JOIN n ON d.r = n.r
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL has no fingerprints, models or tokenizers for the others; tests hold these against brute force."""
+    return {"op1_substring_dedup": _OP1, "op7_benchmark_decontamination": _OP7}

@@ -184,6 +184,8 @@ def _segment_rows(window: int):
             for id_, key, text, wanted in zip(*(_ids(batch, n) for n in ("id", "key", "text", "anchors")), strict=True):
                 data = text.encode()
                 _, a = windows_of(data, window, False)
+                if not len(a):  # another row with this id has windows
+                    continue
                 words = data.split()
                 for s, e in _picked(a, wanted):
                     piece = b" ".join(words[s : e + window - 1])
@@ -355,8 +357,8 @@ def find_repeats(docs: DataFrame, scratch: Scratch, window: int = WINDOW) -> tup
     source = _keyed(docs.select("doc_id", "text"))
     firsts = scratch.write(source.groupBy("key").agg(F.min("id").alias("id")), "firsts")
     anchors = scratch.write(source.select("id", "text").mapInArrow(_anchor_rows(window), "anchor long, id long, many boolean"), "anchors")
-    seen = anchors.groupBy("anchor").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.max("many").alias("many"))
-    recurring = scratch.write(seen.where("x <> y or many").select("anchor"), "recurring")
+    seen = anchors.groupBy("anchor").agg(F.count("*").alias("n"), F.max("many").alias("many"))
+    recurring = scratch.write(seen.where("n > 1 or many").select("anchor"), "recurring")
     wanted = anchors.join(recurring, "anchor").join(firsts.select("id"), "id", "left_semi")
     wanted = scratch.write(wanted.groupBy("id").agg(F.collect_set("anchor").alias("anchors")), "wanted")
     scratch.drop("anchors", "recurring")
