@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skeinworks.llm import best_fit_packing, language_id, secret_scan, shingle_join, wu_manber
-from skeinworks.llm.common import Scratch, small_batches, table
+from skeinworks.llm.common import Scratch, dropped_scratch, numbered, small_batches, table
 
 #: SQL has no cross-parsing, no Markov models and no tokenizer; tests hold the stages against brute force.
 ORACLE_SQL = None
@@ -27,17 +27,20 @@ def _held(docs: DataFrame) -> DataFrame:
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    words = language_id.sample_words(docs, F.lit(True))
-    found = language_id.identify(_held(docs), words, ["_row", "text"])
+    found = language_id.identify(_held(docs), language_id.train(docs, F.lit(True)), ["_row", "text"])
     return found.where(F.col("lang_pred") != language_id.UNKNOWN).select("_row.*")
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The least id of each group stays; of rows that repeat it with the same text, one. Rows without an id stay unless their group has one."""
+    """One row of each group stays: that with the least id (rows without one come last), and of several such rows the first in the files.
+
+    Rows are told apart by their places in the files, so repeated and null ids are rows like any other, and a text travels once.
+    """
     small_batches(spark)
-    groups = shingle_join.near_duplicates(docs)
-    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["doc_id", "text"])
+    rows = numbered(docs, Scratch(spark, "near-dedup"))
+    places = rows.select("_row.doc_id", "_row.text", "_file", "_line")
+    stay = shingle_join.near_duplicates(places, ["doc_id", "_file", "_line"]).where("first").select("_file", "_line")
+    return rows.join(stay, ["_file", "_line"], "left_semi").select("_row.*")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,8 +69,11 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written as Parquet and read again as the next one's input."""
+    """All stages over ``documents``; each result is written as Parquet and read again as the next one's input, and goes once that is written."""
     scratch, docs = Scratch(spark, "pipeline"), table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = scratch.write(stage(spark, docs, sf_dir), name)
+        before = set(scratch.names)
+        with dropped_scratch():
+            docs = scratch.write(stage(spark, docs, sf_dir), name)
+        scratch.drop(*before)
     return docs
