@@ -9,9 +9,11 @@ from zoneinfo import ZoneInfo
 def resolve_on_dates(raw: str, tz: str = "America/New_York", now: datetime | None = None) -> list[date]:
     """Sorted distinct dates of a comma list of ``today``, ``tomorrow``, ISO dates and ``dd.mm.yyyy``.
 
-    Raises ValueError for an empty list or an unknown token.
+    A ``now`` with a time zone is moved to ``tz``; one without is taken as that zone's. Raises ValueError for an empty list or an unknown token.
     """
-    today = (now or datetime.now(ZoneInfo(tz))).date()
+    zone = ZoneInfo(tz)
+    clock = now or datetime.now(zone)
+    today = (clock.astimezone(zone) if clock.tzinfo else clock).date()
     found = set()
     for token in filter(None, (x.strip() for x in raw.split(","))):
         word = token.lower()

@@ -239,3 +239,23 @@ def html_text(html: Column) -> Column:
 def info_boxes(html: Column) -> Column:
     """map<label, text> of a profile page."""
     return _series(lambda t: {k: text_of(v) for k, v in labelled_boxes(t).items()}, "map<string,string>")(html)
+
+
+def entity_links(html: Column) -> Column:
+    """array<struct<section, nr, text>> of links to entities, in order."""
+
+    def found(t: Node) -> list[dict]:
+        hits = ((re.match(r"\?id=(\d+)&nr=(\d+)", a.get("href") or ""), a) for a in t.select("a"))
+        return [{"section": m[1], "nr": m[2], "text": a.joined()} for m, a in hits if m]
+
+    return _series(found, "array<struct<section:string,nr:string,text:string>>")(html)
+
+
+def link_texts(html: Column) -> Column:
+    """array<string>: the strings in links, distinct in order."""
+    return _series(lambda t: list(dict.fromkeys(x for a in t.select("a") for x in (c.strip() for c in a.children if isinstance(c, str)) if x)), "array<string>")(html)
+
+
+def og_image(html: Column) -> Column:
+    """The address in the page's ``og:image``, as it is there."""
+    return _series(lambda t: (m.get("content") if (m := t.first('meta[property="og:image"]')) else None), "string")(html)

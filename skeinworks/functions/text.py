@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import unicodedata
+from urllib.parse import urljoin
 
 import pandas as pd
 from pyspark.sql import Column
@@ -109,11 +110,14 @@ def normalize_date(c: Column) -> Column:
 
 
 def active_years(c: Column) -> Column:
-    """struct<start, end> of ``a-b``, ``a-`` (still open) or ``a`` (one year)."""
+    """struct<start, end> of ``a-b``, ``a-`` (still open) or ``a`` (one year); what isn't all digits is null."""
     t = trim_wide(c)
-    first, second = F.split_part(t, F.lit("-"), F.lit(1)), F.split_part(t, F.lit("-"), F.lit(2))
-    alone = ~t.contains("-")
-    return F.struct(try_int(first).alias("start"), F.when(alone, try_int(first)).otherwise(try_int(second)).alias("end"))
+    first, second = F.regexp_extract(t, r"^([^-]*)", 1), first_match(t, r"^[^-]*-([\s\S]*)$")
+
+    def year(x: Column) -> Column:
+        return F.when(trim_wide(x).rlike(r"^\d+$"), try_int(x))
+
+    return F.struct(year(first).alias("start"), F.when(t.contains("-"), year(second)).otherwise(year(first)).alias("end"))
 
 
 def date_range(c: Column) -> Column:
@@ -125,21 +129,23 @@ def date_range(c: Column) -> Column:
 
 
 def role_entries(c: Column) -> Column:
-    """array<struct<role, date_ranges>> of ``role (range, range)`` lines."""
+    """array<struct<role, date_ranges>> of ``role (range, range)`` lines; the first parenthesis begins the ranges, if the line ends with one."""
     lines = F.filter(F.transform(F.split(c, r"\n"), trim_wide), lambda x: x != "")
 
     def entry(x: Column) -> Column:
-        inner = F.regexp_extract(x, r"\(([^()]*)\)\s*$", 1)
-        return F.struct(trim_wide(F.regexp_replace(x, r"\s*\([^()]*\)\s*$", "")).alias("role"), F.transform(comma_list(inner), date_range).alias("date_ranges"))
+        inner = F.regexp_extract(x, r"^[^(]*\((.+)\)$", 1)
+        ranges = F.when(inner != "", F.transform(F.split(inner, ","), date_range)).otherwise(F.array().cast("array<struct<from_date:string,to_date:string>>"))
+        return F.struct(trim_wide(F.when(inner != "", F.regexp_extract(x, r"^([^(]*)", 1)).otherwise(x)).alias("role"), ranges.alias("date_ranges"))
 
     return F.transform(lines, entry)
 
 
 def born(c: Column) -> Column:
-    """struct<date, age> of ``date (age N)``; other text is the date."""
+    """struct<date, age> of ``date (age N)`` and nothing after it; other text is the date."""
     t = clean_text(c)
-    age = first_match(t, r"(?i)\(age\s+(\d+)\)").try_cast("int")
-    return F.struct(F.when(age.isNotNull(), empty_to_null(F.trim(F.regexp_replace(t, r"(?i)\s*\(age\s+\d+\).*$", "")))).otherwise(t).alias("date"), age.alias("age"))
+    pattern = r"(?i)^(.+?)\s*\(age\s+(\d+)\)$"
+    age = first_match(t, pattern, 2).try_cast("int")
+    return F.struct(F.when(age.isNotNull(), clean_text(first_match(t, pattern))).otherwise(t).alias("date"), age.alias("age"))
 
 
 def duration_days(c: Column) -> Column:
@@ -149,8 +155,8 @@ def duration_days(c: Column) -> Column:
 def name_history_line(c: Column) -> Column:
     """struct<name, from_date, to_date> of ``name (from - to)``; null for other lines."""
     t = trim_wide(c)
-    pattern = r"^(.*?)\s*\((.*?)\s+-\s+(.*?)\)$"
-    end = F.regexp_extract(t, pattern, 3)
+    pattern = r"^(.*?)\s*\((.*?)\s*-\s*(.*?)\)$"
+    end = trim_wide(F.regexp_extract(t, pattern, 3))
     return F.when(t.rlike(pattern), F.struct(F.regexp_extract(t, pattern, 1).alias("name"), empty_to_null(F.regexp_extract(t, pattern, 2)).alias("from_date"), F.when(F.lower(end) != "today", empty_to_null(end)).alias("to_date")))
 
 
@@ -194,19 +200,10 @@ def br_list(c: Column) -> Column:
     return F.filter(F.transform(F.split(joined, "\u0001"), trim_wide), lambda x: x != "")
 
 
+#: Fixed value: a link to an entity by its section and number.
 LINK = r'<a\b[^>]*?href="\?id=(\d+)&amp;nr=(\d+)[^"]*"[^>]*>(.*?)</a>'
 
 
-def entity_links(c: Column) -> Column:
-    """array<struct<section, nr, text>> of links to entities, in order."""
-    parts = F.arrays_zip(*(F.regexp_extract_all(c, F.lit(LINK), F.lit(g)).alias(n) for g, n in ((1, "section"), (2, "nr"), (3, "text"))))
-    return F.transform(parts, lambda x: F.struct(x["0"].alias("section"), x["1"].alias("nr"), F.regexp_replace(x["2"], "<[^>]+>", "").alias("text")))
-
-
-def link_texts(c: Column) -> Column:
-    return F.array_distinct(F.filter(F.transform(F.regexp_extract_all(c, F.lit(r"(?is)<a\b[^>]*>(.*?)</a>"), F.lit(1)), lambda x: trim_wide(F.regexp_replace(x, "<[^>]+>", ""))), lambda x: x != ""))
-
-
 def match_type(c: Column) -> Column:
     """struct<title_id, title_name, match_type>: the first title link, and the text without its name's first occurrence."""
     name = first_match(c, LINK, 3)
@@ -217,19 +214,19 @@ def match_type(c: Column) -> Column:
 
 
 def match_rating(c: Column) -> Column:
-    """struct<rating, votes> of ``… Rating: 6.45 based on 21 votes.``"""
-    pattern = r"(\d+(?:\.\d+)?)\s+based on\s+(\d+)\s+vote"
+    """struct<rating, votes> of ``Matchguide Rating: 6.45 based on 21 votes``; other ratings don't count."""
+    pattern = r"Matchguide Rating:\s*([\d.]+)\s*based on\s*(\d+)\s*votes"
     return F.struct(first_match(c, pattern, 1).try_cast("double").alias("rating"), first_match(c, pattern, 2).try_cast("int").alias("votes"))
 
 
-def og_image(c: Column) -> Column:
-    return F.coalesce(first_match(c, r'(?is)<meta[^>]+property="og:image"[^>]+content="([^"]*)"'), first_match(c, r'(?is)<meta[^>]+content="([^"]*)"[^>]+property="og:image"'))
+def absolute_url(c: Column, base: str) -> Column:
+    """The address that a link means on a page of ``base``; null and blank links stay null."""
 
+    @F.pandas_udf(StringType())
+    def joined(values: pd.Series) -> pd.Series:
+        return values.map(lambda x: urljoin(base, x), na_action="ignore")
 
-def absolute_url(c: Column, base: str) -> Column:
-    """Absolute links stay, rooted and relative ones are put after the site's address."""
-    site = base.rstrip("/")
-    return F.when(c.rlike(r"^[a-z][a-z0-9+.-]*:"), c).when(c.startswith("//"), F.concat(F.lit(site.split(":")[0] + ":"), c)).when(c.startswith("/"), F.concat(F.lit("/".join(site.split("/")[:3])), c)).otherwise(F.concat(F.lit(site + "/"), c))
+    return joined(clean_text(c))
 
 
 def slug_after(c: Column, section: str) -> Column:
@@ -238,8 +235,8 @@ def slug_after(c: Column, section: str) -> Column:
 
 
 def title_path(c: Column, section: str) -> Column:
-    """The two path parts after ``/<section>/`` as ``promotion/slug``."""
-    return first_match(c, rf"/{section}/([^/?#]+/[^/?#]+)")
+    """The two path parts after ``/<section>/`` as ``promotion/slug``; the address must end there."""
+    return first_match(c, rf"/{section}/([^/]+/[^/#?]+)/?$")
 
 
 def next_page_offset(rows: Column, offset: Column, page: int = 100) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skeinworks.functions.text import fuzzy_key, norm_name, parse_dmy, parse_mdy
@@ -53,11 +53,17 @@ def labelled(pairs: DataFrame, labels: list[tuple[str, float, str]]) -> DataFram
 
 
 def mutual_best(pairs: DataFrame, left: str = "a_id", right: str = "b_id", score: str = "confidence") -> DataFrame:
-    """Pairs that are each other's first by score, ties by the other's id; a loser of its best partner stays alone."""
-    by_left = Window.partitionBy(left).orderBy(F.desc(score), right)
-    by_right = Window.partitionBy(right).orderBy(F.desc(score), left)
-    ranked = pairs.withColumns({"_l": F.row_number().over(by_left), "_r": F.row_number().over(by_right)})
-    return ranked.where("_l = 1 and _r = 1").drop("_l", "_r")
+    """Pairs that are each other's first by score, ties by the other's id; a loser of its best partner stays alone.
+
+    Each side's first pair is an aggregate with map-side combining, so that only one pair a key travels on, never all pairs of a block.
+    """
+    pair = F.struct(*pairs.columns)
+    firsts = []
+    for mine, other in ((left, right), (right, left)):
+        # Null scores come last, as in a descending order.
+        best = pairs.groupBy(mine).agg(F.min_by(pair, F.struct(F.col(score).isNull(), -F.col(score), F.col(other))).alias("_best"))
+        firsts.append(best.select("_best.*"))
+    return firsts[0].join(firsts[1].select(left, right), [left, right], "left_semi").select(*pairs.columns)
 
 
 def person_crosswalk(a_names: DataFrame, b_names: DataFrame, a_days: DataFrame, b_days: DataFrame) -> DataFrame:
@@ -69,9 +75,9 @@ def person_crosswalk(a_names: DataFrame, b_names: DataFrame, a_days: DataFrame,
 
 
 def title_keys(df: DataFrame) -> DataFrame:
-    """Adds nkey and fkey to rows with a name."""
-    keyed = df.withColumn("nkey", norm_name(F.col("name")))
-    return keyed.withColumn("fkey", fuzzy_key(F.col("nkey")))
+    """Adds nkey and fkey to rows; each distinct name is normalised once. Rows without a name have null keys."""
+    keys = df.select("name").where("name is not null").distinct().withColumn("nkey", norm_name(F.col("name")))
+    return df.join(keys.withColumn("fkey", fuzzy_key(F.col("nkey"))), "name", "left")
 
 
 def or_join(left: DataFrame, right: DataFrame, block: str, exact: str, loose: str, left_id: str = "a_id", right_id: str = "b_id", least: int = 2) -> DataFrame:
@@ -87,7 +93,7 @@ def or_join(left: DataFrame, right: DataFrame, block: str, exact: str, loose: st
 
 def title_crosswalk(a_titles: DataFrame, b_titles: DataFrame, promotions: DataFrame) -> DataFrame:
     """(a_id, b_id, match_method, confidence). A: (id, name, promotion); B: (id ``slug/name``, name); promotions: (promotion, slug)."""
-    a = title_keys(a_titles.join(F.broadcast(promotions), "promotion")).withColumnRenamed("id", "a_id")  # an inline relation of a few rows
+    a = title_keys(a_titles.join(promotions, "promotion")).withColumnRenamed("id", "a_id")
     b = title_keys(b_titles.withColumn("slug", F.split_part("id", F.lit("/"), F.lit(1)))).withColumnRenamed("id", "b_id")
     return mutual_best(labelled(or_join(a, b, "slug", "nkey", "fkey"), TITLE_LABELS)).select("a_id", "b_id", "match_method", "confidence")
 

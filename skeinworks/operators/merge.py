@@ -48,15 +48,13 @@ class KeyViolation(ValueError):
 
 
 def validate_keys(df: DataFrame, keys: list[str], parent: DataFrame | None = None, foreign: str | None = None, parent_key: str = "id") -> dict[str, int]:
-    """Counts of null keys, repeated keys and orphans."""
+    """Counts of null keys (rows), repeated keys and orphans; keys are counted in one pass."""
     null = F.lit(False)
     for k in keys:
         null = null | F.col(k).isNull()
-    out = {
-        "null": df.where(null).count(),
-        "repeated": df.where(~null).groupBy(*keys).count().where("count > 1").count(),
-        "orphans": 0,
-    }
+    counted = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    r = counted.agg(F.sum(F.when(null, F.col("_n"))).alias("null"), F.count(F.when(~null & (F.col("_n") > 1), 1)).alias("repeated")).first()
+    out = {"null": r["null"] or 0, "repeated": r["repeated"], "orphans": 0}
     if parent is not None and foreign:
         out["orphans"] = df.where(F.col(foreign).isNotNull()).join(parent.select(F.col(parent_key).alias(foreign)), foreign, "left_anti").count()
     return out
@@ -82,10 +80,10 @@ BIG_EVENTS = ["Pay Per View", "Premium Live Event"]
 
 
 def skip_event(day: Column, has_results: Column, event_type: Column, today: datetime.date | Column, refresh_days: int = 1, far_days: int = 30) -> Column:
-    """No date: skip what has results. Far ahead: skip all but big events. Near today: never. Else: skip what has results."""
+    """No date: skip what has results. Far ahead: skip all but big events. From ``refresh_days`` back up to there: never. Before: skip what has results."""
     ahead = F.datediff(day, today if isinstance(today, Column) else F.lit(today))
     big = F.coalesce(event_type.isin(BIG_EVENTS), F.lit(False))
-    return F.when(day.isNull(), has_results).when(ahead > far_days, ~big).when(F.abs(ahead) <= refresh_days, F.lit(False)).otherwise(has_results)
+    return F.when(day.isNull(), has_results).when(ahead > far_days, ~big).when(ahead >= -refresh_days, F.lit(False)).otherwise(has_results)
 
 
 def skip_title(listed_status: Column, stored_status: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from skeinworks.operators.nested import eav, explode_child, normalised_sides, participants, synthetic_key
 from skeinworks.plans.schemas import TABLES
 
-#: Attribute names by the list that they come from.
+#: Attribute names by the list that they come from, and lists that are tables.
 A_ATTRIBUTES = {"sport_background": "background_in_sports", "alter_ego": "alter_egos", "nickname": "nicknames", "signature_move": "signature_moves", "wrestling_style": "wrestling_style", "trainer": "trainers", "active_role": "active_roles", "website": "websites"}
 B_ATTRIBUTES = {"nickname": "nicknames", "finisher": "finishers"}
 B_CHILDREN = ["name_history", "promotions", "roles", "alignments", "images", "career_awards", "hall_of_fames", "title_wins"]
@@ -56,7 +56,9 @@ def titles(raw: DataFrame) -> dict[str, DataFrame]:
 
 
 def matches(raw: DataFrame) -> dict[str, DataFrame]:
-    m = raw.select(F.col("id").alias("event_id"), F.explode("matches").alias("m")).select("event_id", "m.*").withColumn("id", synthetic_key("event_id", "match_index"))
+    # Of bouts with one index the first counts; its children then have keys of their own.
+    once = F.filter("matches", lambda x, i: ~F.exists(F.slice("matches", F.lit(1), i), lambda y: y["match_index"].eqNullSafe(x["match_index"])))
+    m = raw.select(F.col("id").alias("event_id"), F.explode(once).alias("m")).select("event_id", "m.*").withColumn("id", synthetic_key("event_id", "match_index"))
     s = m.select(F.col("id").alias("match_id"), F.explode(normalised_sides(F.col("winners"), F.col("losers"), F.col("sides"))).alias("s"))
     s = s.select("match_id", F.col("s.role").alias("side_role"), F.col("s.idx").alias("side_index"), F.col("s.side").alias("side"))
     s = s.withColumns({"id": synthetic_key("match_id", "side_role", "side_index"), "is_champion": F.col("side.is_champion")})

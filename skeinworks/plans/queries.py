@@ -35,10 +35,14 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from skeinworks.plans import page_queries  # noqa: F401  registers its queries
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from skeinworks.plans import page_queries  # noqa: F401
+
     return dict(_SQL)
 
 
@@ -176,28 +180,28 @@ def case_label_score(t):
     return linkage.labelled(t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus"), labels).select("o_orderkey", "match_method", "confidence")
 
 
-@query("""SELECT a.p_partkey AS a_id, b.p_partkey AS b_id, bool_or(a.p_type = b.p_type) AS exact FROM part a JOIN part b
-ON a.p_brand = b.p_brand AND (a.p_type = b.p_type OR (split_part(a.p_name, ' ', 1) = split_part(b.p_name, ' ', 1) AND length(split_part(a.p_name, ' ', 1)) > 1)) GROUP BY ALL""")
+@query("""SELECT a.o_orderkey AS a_id, b.o_orderkey AS b_id, bool_or(a.o_orderpriority = b.o_orderpriority) AS exact FROM orders a JOIN orders b
+ON a.o_custkey = b.o_custkey AND (a.o_orderpriority = b.o_orderpriority OR strftime(a.o_orderdate, '%Y-%m') = strftime(b.o_orderdate, '%Y-%m')) GROUP BY ALL""")
 def or_residual_join(t):
-    p = t.part.select("p_partkey", F.col("p_brand").alias("slug"), F.col("p_type").alias("nkey"), F.split_part("p_name", F.lit(" "), F.lit(1)).alias("fkey"))
-    return linkage.or_join(p.withColumnRenamed("p_partkey", "a_id"), p.withColumnRenamed("p_partkey", "b_id"), "slug", "nkey", "fkey")
+    o = t.orders.select("o_orderkey", F.col("o_custkey").alias("slug"), F.col("o_orderpriority").alias("nkey"), F.date_format("o_orderdate", "yyyy-MM").alias("fkey"))
+    return linkage.or_join(o.withColumnRenamed("o_orderkey", "a_id"), o.withColumnRenamed("o_orderkey", "b_id"), "slug", "nkey", "fkey")
 
 
-_PAIRS = "SELECT c_custkey AS a_id, s_suppkey AS b_id, round(1.0 / (1 + abs(c_acctbal - s_acctbal)), 6)::DOUBLE AS confidence FROM customer JOIN supplier ON c_nationkey = s_nationkey"
+_PAIRS = "SELECT o_custkey AS a_id, l_suppkey AS b_id, sum(l_quantity::BIGINT)::DOUBLE AS confidence FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL"
 
 
 @query(f"""SELECT a_id, b_id, confidence FROM (SELECT *, row_number() OVER (PARTITION BY a_id ORDER BY confidence DESC, b_id) AS l, row_number() OVER (PARTITION BY b_id ORDER BY confidence DESC, a_id) AS r
 FROM ({_PAIRS})) WHERE l = 1 AND r = 1""")
 def mutual_best(t):
-    j = t.customer.join(t.supplier, F.col("c_nationkey") == F.col("s_nationkey"))
-    return linkage.mutual_best(j.select(F.col("c_custkey").alias("a_id"), F.col("s_suppkey").alias("b_id"), F.round(1.0 / (1 + F.abs(F.col("c_acctbal") - F.col("s_acctbal"))), 6).alias("confidence")))
+    j = t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey")).groupBy(F.col("o_custkey").alias("a_id"), F.col("l_suppkey").alias("b_id"))
+    return linkage.mutual_best(j.agg(F.sum(F.col("l_quantity").cast("long")).cast("double").alias("confidence")))
 
 
 # Customers and suppliers as two sources of people: A has a name with a point, an alias and a day with points, B other spellings.
 _CROSS = f"""WITH a AS (SELECT c_custkey::VARCHAR AS id, 'Person.' || (c_custkey % 700) AS name, strftime(DATE '1970-01-01' + (c_custkey % 700)::INT, '%d.%m.%Y') AS day FROM customer),
 b AS (SELECT s_suppkey::VARCHAR AS id, 'PÉRSON  ' || (s_suppkey * 7 % 700) || ' / Alias ' || s_suppkey AS name, strftime(DATE '1970-01-01' + ((s_suppkey * 7 + s_suppkey % 2) % 700)::INT, '%B %d, %Y') AS day FROM supplier),
 an AS (SELECT id, {_NORM.format("name")} AS k, true AS p FROM a UNION SELECT id, {_NORM.format("'Alias ' || id")}, false FROM a),
-bn AS (SELECT id, {_NORM.format("name")} AS k, true AS p FROM b UNION SELECT id, {_NORM.format("unnest(string_split(name, '/'))")}, false FROM b),
+bn AS (SELECT id, {_NORM.format("name")} AS k, true AS p FROM b UNION SELECT id, {_NORM.format("unnest(string_split(name, '/'))")}, true FROM b),
 p AS (SELECT an.id AS a_id, bn.id AS b_id, bool_or(an.p AND bn.p) AS pm FROM an JOIN bn ON an.k = bn.k AND length(an.k) > 1 GROUP BY ALL),
 e AS (SELECT p.*, try_strptime(a.day, '%d.%m.%Y')::DATE AS ad, try_strptime(b.day, '%B %d, %Y')::DATE AS bd FROM p LEFT JOIN a ON a.id = a_id LEFT JOIN b ON b.id = b_id),
 f AS (SELECT *, ad IS NOT NULL AND bd IS NOT NULL AND ad = bd AS same, ad IS NOT NULL AND bd IS NOT NULL AND ad <> bd AS diff FROM e),
@@ -215,7 +219,7 @@ def _people(t):
 def _crosswalk(t):
     a, b = _people(t)
     a_names = linkage.names(a, "id", "name", True).unionByName(a.select("id", F.concat(F.lit("Alias "), "id").alias("name"), F.lit(False).alias("is_primary")))
-    parts = b.select("id", F.explode(F.split("name", "/")).alias("name"), F.lit(False).alias("is_primary")).where(F.trim("name") != "")
+    parts = b.select("id", F.explode(F.split("name", "/")).alias("name"), F.lit(True).alias("is_primary")).where(F.trim("name") != "")
     return linkage.person_crosswalk(a_names, linkage.names(b, "id", "name", True).unionByName(parts), a.select("id", "day"), b.select("id", "day"))
 
 
@@ -328,7 +332,7 @@ def validate_keys(t):
 
 
 @query("""SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN o_totalprice > 100000 WHEN o_orderdate::DATE - DATE '1996-06-01' > 30 THEN o_orderpriority NOT IN ('1-URGENT', '2-HIGH')
-WHEN abs(o_orderdate::DATE - DATE '1996-06-01') <= 1 THEN false ELSE o_totalprice > 100000 END AS skip FROM orders""")
+WHEN o_orderdate::DATE - DATE '1996-06-01' >= -1 THEN false ELSE o_totalprice > 100000 END AS skip FROM orders""")
 def refresh_policy(t):
     o = t.orders
     kind = F.when(F.col("o_orderpriority") == "1-URGENT", merge.BIG_EVENTS[0]).when(F.col("o_orderpriority") == "2-HIGH", merge.BIG_EVENTS[1]).otherwise("TV")

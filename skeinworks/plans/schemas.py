@@ -5,7 +5,7 @@ Sources and tables of the second site are marked ``b_``. Every list element is e
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 _DATED = "from_date:string,to_date:string"
 _REF = "array<struct<id:string,name:string>>"
@@ -34,14 +34,14 @@ SOURCES = {
 
 @dataclass(frozen=True)
 class Table:
-    """``path``: parent tables from the source's parent down to this table's, as (table, key, parent key)."""
+    """``parent``: the table whose ``id`` the column ``foreign`` holds. ``strict``: a null or repeated key among new rows is an error."""
 
     ddl: str
     key: list[str]
     source: str | None = None
     parent: str | None = None
     foreign: str | None = None
-    path: list[str] = field(default_factory=list)
+    strict: bool = False
 
 
 def _child(parent: str, source: str, columns: str, key: str = "seq", foreign: str | None = None) -> Table:
@@ -60,7 +60,7 @@ TABLES = {
     "wrestler_roles": Table("id long, wrestler_id string, seq int, role string", ["id"], "wrestlers", "wrestlers", "wrestler_id"),
     "wrestler_role_date_ranges": Table("wrestler_role_id long, seq int, from_date string, to_date string", ["wrestler_role_id", "seq"], "wrestlers", "wrestler_roles", "wrestler_role_id"),
     "titles": Table("id string, name string, promotion string", ["id"], "titles"),
-    "title_reigns": Table("id string, title_id string, reign_number int, from_date string, to_date string, duration_days int, location string, team_id string, team_name string, team_reign_count int", ["id"], "titles", "titles", "title_id"),
+    "title_reigns": Table("id string, title_id string, reign_number int, from_date string, to_date string, duration_days int, location string, team_id string, team_name string, team_reign_count int", ["id"], "titles", "titles", "title_id", True),
     "title_reign_champions": Table("title_reign_id string, seq int, wrestler_id string, wrestler_name string, reign_count int", ["title_reign_id", "seq"], "titles", "title_reigns", "title_reign_id"),
     "events": Table("id string, name string, profile_url string, promotion string, date string, location string, event_rating double, event_votes int, event_type string, arena string, broadcast_type string, broadcast_date string, tv_network string", ["id"], "matches"),
     "event_commentators": Table("event_id string, seq int, wrestler_id string, wrestler_name string", ["event_id", "seq"], "matches", "events", "event_id"),

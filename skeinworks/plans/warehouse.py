@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from skeinworks.operators import linkage
-from skeinworks.operators.merge import delete_children, insert_ignore, upsert
+from skeinworks.operators.merge import delete_children, insert_ignore, require_keys, upsert
 from skeinworks.plans.flatten import flatten
 from skeinworks.plans.schemas import SOURCES, TABLES, UNMANAGED
 from skeinworks.sources.landing import latest_lines, path_exists, read_lines
@@ -51,6 +52,7 @@ class Warehouse:
 
     def table(self, name: str, versions: dict[str, str] | None = None) -> DataFrame:
         folder, schema = (self._versions() if versions is None else versions).get(name), StructType.fromDDL(TABLES[name].ddl)
+        # Files from before a column was added give null there.
         return self.spark.read.schema(schema).parquet(f"{self.root}/{folder}") if folder else self.spark.createDataFrame([], schema)
 
     def tables(self) -> dict[str, DataFrame]:
@@ -73,7 +75,8 @@ class Warehouse:
     def load(self, source: str, path: str) -> int:
         """Load one source's file: newest line of each id, parents upserted, all children of the file's ids replaced.
 
-        Returns the number of records; a missing file loads nothing.
+        Returns the number of records; a missing file loads nothing. Children of strict tables with a null or repeated key raise ``KeyViolation``
+        before anything is visible; other children have their list place in the key, and of those that repeat one the first counts.
         """
         if not path_exists(self.spark, path):
             return 0
@@ -84,6 +87,8 @@ class Warehouse:
             if spec.parent is None:
                 changed[name] = upsert(old[name], new, spec.key)
             else:
+                if spec.strict:
+                    require_keys(new, spec.key)
                 gone = descend(old, name, ids).select(*spec.key)
                 changed[name] = insert_ignore(old[name].join(gone, spec.key, "left_anti"), new, spec.key)
         self.replace(changed)
@@ -94,7 +99,7 @@ class Warehouse:
         """Rebuild both crosswalks; returns their sizes."""
         t = self.tables()
         alter = t["wrestler_attributes"].where("attr_type = 'alter_ego'").select(F.col("wrestler_id").alias("id"), F.col("value").alias("name"), F.lit(False).alias("is_primary"))
-        rings = t["b_wrestlers"].where(F.col("name").contains("/")).select("id", F.explode(F.split("name", "/")).alias("name")).where(F.trim("name") != "").withColumn("is_primary", F.lit(False))
+        rings = t["b_wrestlers"].where(F.col("name").contains("/")).select("id", F.explode(F.split("name", "/")).alias("name")).where(F.trim("name") != "").withColumn("is_primary", F.lit(True))  # each part is a name in its own right
         past = t["b_wrestler_name_history"].select(F.col("wrestler_id").alias("id"), "name", F.lit(False).alias("is_primary"))
         people = linkage.person_crosswalk(
             linkage.names(t["wrestlers"], "id", "name", True).unionByName(alter),
@@ -117,11 +122,7 @@ class Warehouse:
 
     def counts(self) -> DataFrame:
         """(table, n) of every table in one job."""
-        out = None
-        for name, df in self.tables().items():
-            one = df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table"), "n")
-            out = one if out is None else out.unionByName(one)
-        return out
+        return counted(self.tables())
 
     def export(self, folder: str, one_file: bool = False) -> list[str]:
         """Every managed table as Parquet."""
@@ -140,27 +141,61 @@ class Warehouse:
         return {r.table: r.n for r in target.counts().collect() if r.table in names}
 
     def mirror_changes(self, target: Warehouse, changes: dict[str, DataFrame]) -> dict[str, int]:
-        """Only the subtrees of the changed ids (``id`` by source), and the crosswalks of changed kinds in full."""
-        mine, theirs, out, moved = self.tables(), target.tables(), {}, {}
+        """Only the subtrees of the changed ids (``id`` by source), and the crosswalks of changed kinds in full. The counts come from one job."""
+        mine, theirs, sent, moved = self.tables(), target.tables(), {}, {}
         for source, ids in changes.items():
             for name, spec in TABLES.items():
                 if spec.source == source:
-                    new = descend(mine, name, ids)
+                    sent[name] = descend(mine, name, ids)
                     gone = descend(theirs, name, ids).select(*spec.key)
-                    moved[name] = theirs[name].join(gone, spec.key, "left_anti").unionByName(new)
-                    out[name] = new.count()
+                    moved[name] = theirs[name].join(gone, spec.key, "left_anti").unionByName(sent[name])
         for walk, kinds in CROSSWALKS.items():
             if {*kinds} & {*changes}:
-                moved[walk] = mine[walk]
-                out[walk] = mine[walk].count()
+                sent[walk] = moved[walk] = mine[walk]
+        out = {r.table: r.n for r in counted(sent).collect()} if sent else {}
         if moved:
             target.replace(moved)
         return out
 
-    def write_jdbc(self, url: str, properties: dict[str, str], tables: list[str] | None = None) -> None:
-        """Each table into a staging table of the same name; one transaction over several tables is the database's to make."""
-        for name in tables or [n for n in TABLES if n not in UNMANAGED]:
+    def clear(self, source: str, ids: DataFrame) -> None:
+        """Remove the children of some ids at all levels, deepest tables first; the parents stay."""
+        self.replace(clear_children(self.tables(), source, ids))
+
+    def write_jdbc(self, url: str, properties: dict[str, str], tables: list[str] | None = None, swap: Callable[[list[str]], None] | None = None) -> None:
+        """Each table into a staging table, then ``swap`` with the SQL that puts all staging tables into place, for one transaction of the database's."""
+        names = tables or [n for n in TABLES if n not in UNMANAGED]
+        for name in names:
             self.table(name).write.jdbc(url, f"staging_{name}", mode="overwrite", properties=properties)
+        if swap:
+            swap(swap_statements(names))
+
+    def read_jdbc(self, url: str, properties: dict[str, str], name: str) -> DataFrame:
+        """A table of an attached database in this warehouse's columns and types; what is missing there is null."""
+        return conformed(self.spark.read.jdbc(url, name, properties=properties), name)
+
+
+def swap_statements(names: list[str]) -> list[str]:
+    """SQL that replaces tables by their staging tables: children go first, parents come first."""
+    ordered = [n for n in TABLES if n in names]
+    out = [f"DELETE FROM {n}" for n in reversed(ordered)]
+    for n in ordered:
+        columns = ", ".join(StructType.fromDDL(TABLES[n].ddl).fieldNames())
+        out += [f"INSERT INTO {n} ({columns}) SELECT {columns} FROM staging_{n}", f"DROP TABLE staging_{n}"]
+    return out
+
+
+def conformed(df: DataFrame, name: str) -> DataFrame:
+    """A table's columns and types from rows that may lack columns added since (null) or have others (left out)."""
+    return df.select(*((F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in StructType.fromDDL(TABLES[name].ddl).fields))
+
+
+def counted(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table, n) in one job."""
+    out = None
+    for name, df in tables.items():
+        one = df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table"), "n")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def clear_children(tables: dict[str, DataFrame], source: str, ids: DataFrame) -> dict[str, DataFrame]:

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import json
+import uuid
 from pathlib import Path
+from xml.etree import ElementTree
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DataType, DoubleType, IntegerType, StringType, StructField, StructType
@@ -66,14 +69,16 @@ def latest_lines(lines: DataFrame, schema: StructType, key: str | None = "id") -
     return rows if key is None else latest_per_key(rows, [key], ["_line"])
 
 
-def latest_per_key(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
-    """The last row of each key by ``order``; rows with a null key are all kept."""
-    newest = Window.partitionBy(*keys).orderBy(*(F.desc(c) if isinstance(c, str) else c.desc() for c in order))
+def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The last row of each key by ``order`` (nulls first); rows with a null key are all kept.
+
+    An aggregate, not a sort: each task sends one row a key on, so a key with very many lines is no hot one.
+    """
     whole = F.lit(True)
     for k in keys:
         whole = whole & F.col(k).isNotNull()
-    ranked = df.where(whole).withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
-    return ranked.unionByName(df.where(~whole))
+    newest = df.where(whole).groupBy(*keys).agg(F.max_by(F.struct(*df.columns), F.struct(*order)).alias("_row")).select("_row.*")
+    return newest.unionByName(df.where(~whole))
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
@@ -82,17 +87,34 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str | Column]) ->
     return df.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
 
 
-def ids_in(lines: DataFrame, start_line: int = 0) -> DataFrame:
-    """Distinct ids at or after a line of a single file (counting from 0); blank and broken lines are skipped.
+# A line is what isn't blank, for numbers, counts, digests and ids alike ---------------------------------------------------------
 
-    Only whole-file starts need no numbering; a later start numbers lines within the file.
-    """
-    rows = lines
-    if start_line:
-        rows = rows.withColumn("_n", F.row_number().over(Window.partitionBy("_line.file").orderBy("_line")) - 1).where(F.col("_n") >= start_line)
+
+def numbered_lines(lines: DataFrame) -> DataFrame:
+    """(value, _n): lines in order, counted from 0. Tasks number their own lines, after as many as the tasks before them have."""
+    kept = lines.where(F.col("value").rlike(r"\S"))
+    # Of the ordinal the upper bits are the task's number and the lower ones the line's place there, once blank lines are gone.
+    at = kept.withColumn("_m", F.monotonically_increasing_id()).select("value", "_line", F.shiftright("_m", 33).alias("_task"), F.col("_m").bitwiseAND(F.lit((1 << 33) - 1)).alias("_place"))
+    sizes = at.groupBy("_task").agg(F.count("*").alias("_size"), F.min("_line").alias("_first"))
+    before = F.coalesce(F.sum("_size").over(Window.orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("_task", before.alias("_start"))  # a row a task
+    return at.join(F.broadcast(starts), "_task").select("value", (F.col("_start") + F.col("_place")).alias("_n"))
+
+
+def ids_in(lines: DataFrame, start_line: int = 0) -> DataFrame:
+    """Distinct ids at or after a line (counting from 0); broken lines are skipped."""
+    rows = numbered_lines(lines).where(F.col("_n") >= start_line) if start_line else lines
     return rows.select(F.get_json_object("value", "$.id").alias("id")).where("id is not null").distinct()
 
 
+def line_mark(lines: DataFrame, upto: int | None = None) -> tuple[int, str]:
+    """Count and digest of the lines, or of the first ``upto``; lines that change, move or swap change the digest."""
+    rows = numbered_lines(lines)
+    rows = rows if upto is None else rows.where(F.col("_n") < upto)
+    r = rows.agg(F.count("*").alias("n"), F.sum(F.xxhash64("value", "_n").cast("decimal(20,0)")).alias("digest")).first()
+    return r.n, str(r.digest or 0)
+
+
 def count_lines(spark: SparkSession, path: str) -> int:
     """Lines that aren't blank; 0 for a missing path."""
     return read_lines(spark, path).where(F.col("value").rlike(r"\S")).count()
@@ -111,10 +133,32 @@ def inline(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-def sitemap_locations(df: DataFrame, column: str = "xml", pattern: str | None = None) -> DataFrame:
-    """Distinct ``loc`` addresses of sitemap documents or indexes, with or without a namespace."""
-    found = df.select(F.explode(F.expr(f"xpath({column}, '//*[local-name()=\"loc\"]/text()')")).alias("url")).select(F.trim("url").alias("url"))
-    return (found.where(F.col("url").rlike(pattern)) if pattern else found).distinct()
+@F.pandas_udf(ArrayType(StructType([StructField("parent", StringType()), StructField("loc", StringType())])))
+def sitemap_entries(documents: pd.Series) -> pd.Series:
+    """Addresses of a sitemap document with the element that they stand in, namespaces left out; null for what is no XML."""
+
+    def local(tag: object) -> str:
+        return tag.rpartition("}")[2] if isinstance(tag, str) else ""
+
+    def found(xml: str | None) -> list[dict] | None:
+        try:
+            root = ElementTree.fromstring((xml or "").strip())
+        except ElementTree.ParseError:
+            return None
+        return [{"parent": local(up.tag), "loc": x.text.strip()} for up in root.iter() for x in up if local(x.tag) == "loc" and (x.text or "").strip()]
+
+    return documents.map(found, na_action="ignore")
+
+
+def sitemap_locations(df: DataFrame, column: str = "xml", pattern: str | None = None, parent: str | None = None) -> DataFrame:
+    """Distinct addresses of sitemap documents, with or without a namespace, closing slash removed; malformed documents give none.
+
+    ``parent``: ``sitemap`` for an index's shards, ``url`` for a shard's pages; None takes both.
+    """
+    found = df.select(F.explode(sitemap_entries(F.col(column))).alias("e"))
+    found = found.where(F.col("e.parent") == parent) if parent else found
+    found = found.where(F.col("e.loc").rlike(pattern)) if pattern else found
+    return found.select(F.regexp_replace("e.loc", "/+$", "").alias("url")).distinct()
 
 
 def page_links(df: DataFrame, pattern: str, page: str = "page_id", html: str = "html") -> DataFrame:
@@ -147,26 +191,53 @@ class JsonState:
 
 
 class Cursor(JsonState):
-    """Non-blank line count of each source at its last load."""
+    """Line count and digest of each source at its last load."""
+
+    def changed(self, source: str, mark: tuple[int, str]) -> bool:
+        return self.load().get(source) != list(mark)
+
+    def lines(self, source: str) -> tuple[int, str]:
+        held = self.load().get(source)
+        return (held[0], held[1]) if isinstance(held, list) and len(held) == 2 else (0, "0")
+
+    def tail_start(self, source: str, lines: DataFrame) -> int:
+        """Where the new lines begin; 0 if those that were there aren't there any more as they were."""
+        n, digest = self.lines(source)
+        return n if n and line_mark(lines, n) == (n, digest) else 0
+
+    def set(self, source: str, mark: tuple[int, str]) -> None:
+        self.save(self.load() | {source: list(mark)})
+
+
+class Manifest:
+    """Changed ids by source as a table, gathered until a publication commits; ids never pass through the driver."""
 
-    def changed(self, source: str, lines: int) -> bool:
-        return self.load().get(source) != lines
+    SCHEMA = "source string, id string"
 
-    def tail_start(self, source: str, lines: int) -> int:
-        """Where the new lines begin; 0 if the file shrank."""
-        before = self.load().get(source, 0)
-        return before if lines >= before else 0
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
 
-    def set(self, source: str, lines: int) -> None:
-        self.save(self.load() | {source: lines})
+    def _fs(self, name: str = ""):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
+    def parts(self) -> list[str]:
+        """What was merged and not cleared, whole parts only."""
+        path, fs = self._fs()
+        names = [x.getPath().getName() for x in fs.listStatus(path)] if fs.exists(path) else []
+        return sorted(n for n in names if n.startswith("ids-") and fs.exists(self._fs(f"{n}/_SUCCESS")[0]))
 
-class Manifest(JsonState):
-    """Changed ids by source, gathered until a publication commits."""
+    def merge(self, source: str, ids: DataFrame) -> None:
+        """Adds ids (column ``id``) of a source."""
+        ids.select(F.lit(source).alias("source"), F.col("id").cast("string")).write.parquet(f"{self.root}/ids-{uuid.uuid4().hex}")
 
-    def merge(self, source: str, ids: list[str]) -> None:
-        now = self.load()
-        self.save({k: v for k, v in (now | {source: sorted({*now.get(source, []), *ids})}).items() if v})
+    def load(self, parts: list[str] | None = None) -> DataFrame:
+        """(source, id), distinct."""
+        parts = self.parts() if parts is None else parts
+        return self.spark.read.schema(self.SCHEMA).parquet(*(f"{self.root}/{p}" for p in parts)).distinct() if parts else self.spark.createDataFrame([], self.SCHEMA)
 
-    def clear(self) -> None:
-        self.save({})
+    def clear(self, parts: list[str] | None = None) -> None:
+        """Removes the parts that were published (all without a list); what was merged since stays."""
+        for name in self.parts() if parts is None else parts:
+            path, fs = self._fs(name)
+            fs.delete(path, True)

@@ -1,33 +1,36 @@
-"""Incremental loads: a gate on line counts, and a file stream that loads each new file once."""
+"""Incremental loads: a gate on line counts and digests, and a file stream that loads each new file once."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skeinworks.plans.warehouse import Warehouse
-from skeinworks.sources.landing import Cursor, Manifest, count_lines, ids_in, read_lines
+from skeinworks.sources.landing import Cursor, Manifest, ids_in, line_mark, read_lines
 
 
 def nightly(spark: SparkSession, warehouse: Warehouse, files: dict[str, str], cursor: Cursor, manifest: Manifest) -> dict[str, int]:
-    """Load the sources whose line counts changed, link, and record the ids of the new lines. State is saved last."""
-    changed = {s: n for s, path in files.items() if cursor.changed(s, n := count_lines(spark, path)) and n}
+    """Load the sources whose lines changed, link, and record the ids of the new lines (of all, if old lines changed). State is saved last."""
+    lines = {s: read_lines(spark, path) for s, path in files.items()}
+    changed = {s: mark for s, x in lines.items() if (mark := line_mark(x))[0] and cursor.changed(s, mark)}
     loaded = {s: warehouse.load(s, files[s]) for s in changed}
     if loaded:
         warehouse.link()
-    for s, n in changed.items():
-        rows = ids_in(read_lines(spark, files[s]), cursor.tail_start(s, n))
-        manifest.merge(s, [r.id for r in rows.toLocalIterator()])
-        cursor.set(s, n)
+    for s, mark in changed.items():
+        manifest.merge(s, ids_in(lines[s], cursor.tail_start(s, lines[s])))
+        cursor.set(s, mark)
     return loaded
 
 
 def publish_changes(spark: SparkSession, warehouse: Warehouse, target: Warehouse, manifest: Manifest) -> dict[str, int]:
     """Mirror the recorded ids' subtrees; the record is cleared once they are visible."""
-    pending = manifest.load()
-    if not pending:
+    parts = manifest.parts()
+    if not parts:
         return {}
-    out = warehouse.mirror_changes(target, {s: spark.createDataFrame([(i,) for i in ids], "id string") for s, ids in pending.items()})
-    manifest.clear()
+    pending = manifest.load(parts)
+    sources = [r.source for r in pending.select("source").distinct().collect()]  # at most one a kind of source
+    out = warehouse.mirror_changes(target, {s: pending.where(F.col("source") == s).select("id") for s in sources}) if sources else {}
+    manifest.clear(parts)
     return out
 
 

@@ -3,11 +3,12 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from skeinworks.functions import dates
+from skeinworks.functions import dates, dom
 from skeinworks.functions import text as T
+from skeinworks.functions.settings import Settings
 from skeinworks.operators import linkage, merge
-from skeinworks.plans.schemas import TABLES, UNMANAGED
-from skeinworks.plans.warehouse import Warehouse
+from skeinworks.plans.schemas import SOURCES, TABLES, UNMANAGED
+from skeinworks.plans.warehouse import Warehouse, conformed, swap_statements
 from skeinworks.sources import landing
 from skeinworks.streaming import incremental
 
@@ -71,49 +72,137 @@ def _people(spark, a, b, aliases=(), rings=()):
 
 
 def test_person_links(spark):
-    assert _people(spark, [("1", "CM Punk", "26.10.1978")], [("p", "CM  Púnk", "October 26, 1978")]) == {("1", "p", "name_and_birthday", 1.0)}
-    assert _people(spark, [("1", "Solo", "17.03.1993")], [("s", "Solo", "March 18, 1993")]) == {("1", "s", "name_birthday_mismatch", 0.7)}
-    assert _people(spark, [("1", "X One", "01.01.1990")], [("y", "Y Two", "February 2, 1985")], [("1", "Shared")], [("y", "Shared")]) == set()
-    assert _people(spark, [("1", "X One", "1.1.1990")], [("y", "Y Two", "January 1, 1990")], [("1", "Shared")], [("y", "Shared")]) == {("1", "y", "alias_and_birthday", 0.9)}
-    assert _people(spark, [("1", "Hangman", None)], [("a", "Adam", None)], [("1", "Adam")]) == {("1", "a", "alias", 0.6)}
-    assert _people(spark, [("9", "John Doe", None), ("10", "John Doe", None)], [("j", "John Doe", None)]) == {("10", "j", "name", 0.8)}
+    assert _people(spark, [("1", "Rex Tide", "03.04.1981")], [("r", "Rex  Tídé", "April 3, 1981")]) == {("1", "r", "name_and_birthday", 1.0)}
+    assert _people(spark, [("1", "Lone", "05.06.1983")], [("l", "Lone", "June 7, 1983")]) == {("1", "l", "name_birthday_mismatch", 0.7)}
+    assert _people(spark, [("1", "Una Ray", "08.09.1985")], [("d", "Duo Bay", "March 4, 1979")], [("1", "Both")], [("d", "Both")]) == set()
+    assert _people(spark, [("1", "Una Ray", "8.9.1985")], [("d", "Duo Bay", "September 8, 1985")], [("1", "Both")], [("d", "Both")]) == {("1", "d", "alias_and_birthday", 0.9)}
+    assert _people(spark, [("1", "Dock Hand", None)], [("a", "Abel Moor", None)], [("1", "Abel Moor")]) == {("1", "a", "alias", 0.6)}
+    assert _people(spark, [("9", "Pat Quay", None), ("10", "Pat Quay", None)], [("q", "Pat Quay", None)]) == {("10", "q", "name", 0.8)}
+    assert _people(spark, [("1", "Pat Quay", "01.02.1980"), ("2", "Pat Quay", "03.05.1991")], [("q", "Pat Quay", "May 3, 1991")]) == {("2", "q", "name_and_birthday", 1.0)}
 
 
 def test_title_links(spark):
     slugs = spark.createDataFrame([("1", "wwe"), ("2287", "aew")], "promotion string, slug string")
-    a = spark.createDataFrame([("16", "Tag Team", "1"), ("17", "WWE World  Cup Title", "1"), ("99", "Tag Team", "2287"), ("5", "World Championship", "1")], "id string, name string, promotion string")
-    b = spark.createDataFrame([("wwe/tag", "Tag Team"), ("aew/tag", "Tag Team"), ("wwe/cup", "Cup Championship"), ("aew/w", "World Championship")], "id string, name string")
-    assert {(r.a_id, r.b_id, r.match_method) for r in linkage.title_crosswalk(a, b, slugs).collect()} == {("16", "wwe/tag", "name"), ("99", "aew/tag", "name"), ("17", "wwe/cup", "name_fuzzy")}
+    a = spark.createDataFrame([("61", "Pier Team", "1"), ("62", "WWE World  Mast Title", "1"), ("63", "Pier Team", "2287"), ("64", "World Championship", "1"), ("65", None, "1")], "id string, name string, promotion string")
+    b = spark.createDataFrame([("wwe/pier", "Pier Team"), ("aew/pier", "Pier Team"), ("wwe/mast", "Mast Championship"), ("aew/w", "World Championship")], "id string, name string")
+    assert {(r.a_id, r.b_id, r.match_method) for r in linkage.title_crosswalk(a, b, slugs).collect()} == {("61", "wwe/pier", "name"), ("63", "aew/pier", "name"), ("62", "wwe/mast", "name_fuzzy")}
+
+
+def test_mutual_best_with_ties_and_nulls(spark):
+    rows = [("a", "x", 0.5), ("a", "y", 0.5), ("b", "x", 0.9), ("c", "y", None), ("c", "z", None), ("d", "w", 0.1)]
+    got = linkage.mutual_best(spark.createDataFrame(rows, "a_id string, b_id string, confidence double")).collect()
+    assert {(r.a_id, r.b_id) for r in got} == {("b", "x"), ("d", "w")}
+
+
+def test_parts_of_a_compound_name_are_primary(spark, warehouse, tmp_path):
+    warehouse.load("wrestlers", lines(tmp_path / "w.jsonl", {"id": "1", "name": "Rex Tide", "birthday": "03.04.1981"}))
+    for day, method in (("April 1, 1981", "name_birthday_mismatch"), (None, "name"), ("April 3, 1981", "name_and_birthday")):
+        warehouse.load("b_wrestlers", lines(tmp_path / "b.jsonl", {"id": "rex", "name": "Rex Tide / Old Salt", "birthday": day}))
+        warehouse.link()
+        assert rows(warehouse.table("wrestler_crosswalk"), "a_id", "b_id", "match_method") == [("1", "rex", method)]
 
 
 def test_link_views_and_publication(spark, warehouse, tmp_path):
-    warehouse.load("wrestlers", lines(tmp_path / "w.jsonl", {"id": "1", "name": "CM Punk", "birthday": "26.10.1978"}, {"id": "2", "name": "Other"}))
-    warehouse.load("b_wrestlers", lines(tmp_path / "b.jsonl", {"id": "cm", "name": "Punk / CM Punk", "birthday": "October 26, 1978", "images": [{"label": "l", "image_url": "u"}]}))
+    warehouse.load("wrestlers", lines(tmp_path / "w.jsonl", {"id": "1", "name": "Rex Tide", "birthday": "03.04.1981"}, {"id": "2", "name": "Other"}))
+    warehouse.load("b_wrestlers", lines(tmp_path / "b.jsonl", {"id": "rt", "name": "Tide / Rex Tide", "birthday": "April 3, 1981", "images": [{"label": "l", "image_url": "u"}]}))
     assert warehouse.link() == {"wrestler_crosswalk": 1, "title_crosswalk": 0}
     warehouse.views()
-    assert [(r.a_name, r.match_method) for r in spark.table("v_wrestlers_matched").collect()] == [("CM Punk", "alias_and_birthday")]
+    assert [(r.a_name, r.match_method) for r in spark.table("v_wrestlers_matched").collect()] == [("Rex Tide", "name_and_birthday")]
     target = Warehouse(spark, f"{tmp_path}/t")
     assert warehouse.mirror(target)["wrestlers"] == 2
-    warehouse.load("b_wrestlers", lines(tmp_path / "b2.jsonl", {"id": "cm", "name": "CM Punk", "accomplishments": ["x"]}))
+    warehouse.load("b_wrestlers", lines(tmp_path / "b2.jsonl", {"id": "rt", "name": "Rex Tide", "accomplishments": ["x"]}))
     warehouse.load("wrestlers", lines(tmp_path / "w2.jsonl", {"id": "2", "name": "Unpublished"}))
-    moved = warehouse.mirror_changes(target, {"b_wrestlers": spark.createDataFrame([("cm",)], "id string")})
+    moved = warehouse.mirror_changes(target, {"b_wrestlers": spark.createDataFrame([("rt",)], "id string")})
     assert moved["b_wrestler_accomplishments"] == 1 and moved["b_wrestler_images"] == 0
-    assert target.table("b_wrestler_images").count() == 0 and rows(target.table("wrestlers"), "name") == [("CM Punk",), ("Other",)]
+    assert target.table("b_wrestler_images").count() == 0 and rows(target.table("wrestlers"), "name") == [("Other",), ("Rex Tide",)]
+    warehouse.clear("b_wrestlers", spark.createDataFrame([("rt",)], "id string"))
+    assert warehouse.table("b_wrestler_accomplishments").count() == 0 and warehouse.table("b_wrestlers").count() == 1
+
+
+def test_reigns_with_one_number_are_an_error(warehouse, tmp_path):
+    for numbers in ((1, 1), (1, None)):
+        path = lines(tmp_path / "t.jsonl", {"id": "5", "name": "T", "reigns": [{"reign_number": n} for n in numbers]})
+        with pytest.raises(merge.KeyViolation):
+            warehouse.load("titles", path)
+    assert warehouse.table("titles").count() == 0  # nothing was made visible
+    warehouse.load("titles", lines(tmp_path / "u.jsonl", {"id": "5", "name": "T", "reigns": [{"reign_number": 2, "champions": [{"id": "1", "name": "A"}]}, {"reign_number": 1}]}))
+    assert rows(warehouse.table("title_reigns"), "id") == [("5-1",), ("5-2",)]
+
+
+def test_of_bouts_with_one_index_the_first_counts(warehouse, tmp_path):
+    again = {"match_index": 1, "result": "unknown", "notes": ["later"], "sides": [{}]}
+    warehouse.load("matches", lines(tmp_path / "m.jsonl", {"id": "e", "matches": [MATCH, again, DRAW]}))
+    assert rows(warehouse.table("matches"), "id", "result") == [("e-1", "decisive"), ("e-2", "no_decision")] and rows(warehouse.table("match_notes"), "note") == [("n",)]
+
+
+def test_columns_added_later_are_null_in_older_files(spark, warehouse, tmp_path):
+    warehouse.load("promotions", lines(tmp_path / "p.jsonl", {"id": "1", "name": "P", "votes": 3}))
+    held = warehouse.table("promotions").drop("votes")
+    warehouse.replace({"promotions": held})
+    assert [(r.id, r.votes) for r in warehouse.table("promotions").collect()] == [("1", None)]
+    warehouse.load("promotions", lines(tmp_path / "q.jsonl", {"id": "2", "name": "Q", "votes": 4}))
+    assert {(r.id, r.votes) for r in warehouse.table("promotions").collect()} == {("1", None), ("2", 4)}
+    got = conformed(spark.createDataFrame([("7", "x")], "id string, extra string"), "promotions")
+    assert got.columns == warehouse.table("promotions").columns and got.first().id == "7"
+    sql = swap_statements(["matches", "events", "match_notes"])
+    assert [x.split()[2] for x in sql if x.startswith("DELETE")] == ["match_notes", "matches", "events"] and [x.split()[2] for x in sql if x.startswith("INSERT")] == ["events", "matches", "match_notes"]
 
 
 def test_nightly_gate_and_manifest(spark, warehouse, tmp_path):
-    cursor, manifest = landing.Cursor(f"{tmp_path}/c.json"), landing.Manifest(f"{tmp_path}/m.json")
+    cursor, manifest = landing.Cursor(f"{tmp_path}/c.json"), landing.Manifest(spark, f"{tmp_path}/changes")
     path = tmp_path / "p.jsonl"
+
+    def night():
+        return incremental.nightly(spark, warehouse, {"promotions": str(path), "titles": f"{tmp_path}/none"}, cursor, manifest)
+
     lines(path, {"id": "old", "name": "o"})
-    assert incremental.nightly(spark, warehouse, {"promotions": str(path)}, cursor, manifest) == {"promotions": 1}
-    assert incremental.nightly(spark, warehouse, {"promotions": str(path)}, cursor, manifest) == {}
+    assert night() == {"promotions": 1} and night() == {}
     manifest.clear()
-    lines(path, {"id": "old", "name": "o"}, {"id": "new-1", "name": "n"}, "bad", {"id": "new-2", "name": "n"})
-    incremental.nightly(spark, warehouse, {"promotions": str(path)}, cursor, manifest)
-    assert manifest.load() == {"promotions": ["new-1", "new-2"]}
+    lines(path, {"id": "old", "name": "o"}, "", {"id": "new-1", "name": "n"}, "bad", " ", {"id": "new-2", "name": "n"})
+    night()
+    assert rows(manifest.load(), "source", "id") == [("promotions", "new-1"), ("promotions", "new-2")]
     target = Warehouse(spark, f"{tmp_path}/t")
     assert incremental.publish_changes(spark, warehouse, target, manifest)["promotions"] == 2
-    assert manifest.load() == {} and incremental.publish_changes(spark, warehouse, target, manifest) == {}
+    assert manifest.parts() == [] and incremental.publish_changes(spark, warehouse, target, manifest) == {}
+    lines(path, {"id": "old", "name": "o"}, "", {"id": "new-1", "name": "changed"}, "bad", " ", {"id": "new-2", "name": "n"})  # as many lines
+    assert night() == {"promotions": 3}
+    assert rows(manifest.load(), "id") == [("new-1",), ("new-2",), ("old",)]  # old lines changed, so all ids count
+    assert landing.Cursor(f"{tmp_path}/none.json").lines("x") == (0, "0")
+
+
+def test_lines_are_numbered_over_files_and_tasks(spark, tmp_path):
+    (tmp_path / "l.jsonl").write_text("".join(f'{{"id": "{i}"}}\n' + "\n" * (i % 3) for i in range(200)))
+    df = landing.read_lines(spark, str(tmp_path / "l.jsonl"))
+    got = sorted((r._n, json.loads(r.value)["id"]) for r in landing.numbered_lines(df).collect())
+    assert got == [(i, str(i)) for i in range(200)] and landing.count_lines(spark, str(tmp_path / "l.jsonl")) == 200
+    assert sorted(int(r.id) for r in landing.ids_in(df, 190).collect()) == list(range(190, 200))
+    assert landing.line_mark(df)[0] == 200 and landing.line_mark(df, 5)[0] == 5 and landing.line_mark(df.limit(0)) == (0, "0")
+
+
+def test_written_lines_are_read_again(spark, tmp_path):
+    df = spark.createDataFrame([("1", "a", 5), ("2", None, None)], "id string, name string, votes int")
+    landing.write_lines(df, f"{tmp_path}/out")
+    landing.write_lines(df.where("id = '2'").withColumn("name", F.lit("later")), f"{tmp_path}/out", append=True)
+    got = landing.read_source(spark, f"{tmp_path}/out", SOURCES["promotions"])
+    assert rows(got, "id") == [("1",), ("2",), ("2",)] and rows(landing.existing_ids(got), "id") == [("1",), ("2",)]
+    assert landing.read_source(spark, f"{tmp_path}/none", SOURCES["promotions"]).count() == 0
+
+
+def test_sitemaps(spark):
+    ns = 'xmlns="http://www.sitemaps.org/schemas/sitemap/0.9"'
+    docs = [f"<sitemapindex {ns}><sitemap><loc>https://s/map-1.xml</loc></sitemap></sitemapindex>", f"<?xml version='1.0'?><urlset {ns}><url><loc> https://s/p/a/ </loc></url><url><loc>https://s/p/a</loc></url></urlset>", "<urlset><url><loc>https://s/p/b</loc></url><url><loc/></url></urlset>", "<urlset><loc>", "", None]
+    df = spark.createDataFrame([(d,) for d in docs], "xml string")
+    assert rows(landing.sitemap_locations(df, parent="sitemap"), "url") == [("https://s/map-1.xml",)]
+    assert rows(landing.sitemap_locations(df, pattern="/p/"), "url") == [("https://s/p/a",), ("https://s/p/b",)]
+
+
+def test_settings(tmp_path):
+    (tmp_path / ".env").write_text("# x\nSKEINWORKS_MATCHES_REFRESH_DAYS=3\nSKEINWORKS_PROMOTION_IDS='7, 8'\nOTHER=1\n")
+    s = Settings.load({"SKEINWORKS_MATCHES_REFRESH_DAYS": "5"}, str(tmp_path / ".env"))
+    assert s.matches_refresh_days == 5 and s.promotion_id_list() == ["7", "8"] and s.matches_far_future_days == 30 and s.b_promotion_slug_list() == ["wwe", "aew"]
+    assert Settings.load({"SKEINWORKS_PROMOTION_IDS": ""}).promotion_id_list() is None
+    with pytest.raises(ValueError):
+        Settings.load({"SKEINWORKS_MATCHES_SINCE_YEAR": "soon"})
 
 
 def test_stream_loads_each_file_once(spark, warehouse, tmp_path):
@@ -133,20 +222,26 @@ def one(spark, value, f):
 
 
 def test_scalar_parsers(spark):
-    years = {x: tuple(one(spark, x, T.active_years)) for x in ("1948-", "2002-2023", "1999", "")}
-    assert years == {"1948-": (1948, None), "2002-2023": (2002, 2023), "1999": (1999, 1999), "": (None, None)}
-    assert one(spark, "7.69", T.try_double) == 7.69 and one(spark, "n/a", T.try_double) is None and one(spark, "1950", T.try_int) == 1950
-    assert str(one(spark, "26.03.2020", T.parse_event_date)) == "2020-03-26" and one(spark, "6.3.2020", T.parse_event_date) is None
-    assert tuple(one(spark, "a - today", T.date_range)) == ("a", None) and tuple(one(spark, "x", T.date_range)) == ("x", "x")
-    assert one(spark, "a (b, c - today)\nd", T.role_entries) == [("a", [("b", "b"), ("c", None)]), ("d", [])]
-    assert tuple(one(spark, "May 1, 1990 (age 30)", T.born)) == ("May 1, 1990", 30)
-    assert one(spark, " Present ", T.normalize_date) is None and one(spark, " a \n b", T.clean_text) == "a b"
+    years = {x: tuple(one(spark, x, T.active_years)) for x in ("1951-", "2003-2011", "1987", "", "2000-2005-2010", "-1990", "19x9", " 1970 - 1980 ")}
+    assert years == {"1951-": (1951, None), "2003-2011": (2003, 2011), "1987": (1987, 1987), "": (None, None), "2000-2005-2010": (2000, None), "-1990": (None, 1990), "19x9": (None, None), " 1970 - 1980 ": (1970, 1980)}
+    assert one(spark, "8.25", T.try_double) == 8.25 and one(spark, "n/a", T.try_double) is None and one(spark, "1234", T.try_int) == 1234
+    assert str(one(spark, "17.08.2019", T.parse_event_date)) == "2019-08-17" and one(spark, "7.8.2019", T.parse_event_date) is None and one(spark, "31.02.2019", T.parse_event_date) is None
+    assert tuple(one(spark, "a - today", T.date_range)) == ("a", None) and tuple(one(spark, "x", T.date_range)) == ("x", "x") and tuple(one(spark, "today", T.date_range)) == ("today", None)
+    assert one(spark, "a (b, c - today)\nd\ne (once) (f)", T.role_entries) == [("a", [("b", "b"), ("c", None)]), ("d", []), ("e", [("once) (f", "once) (f")])]
+    assert tuple(one(spark, "June 9, 1991 (age 28)", T.born)) == ("June 9, 1991", 28) and tuple(one(spark, "1991 (age 28) or so", T.born)) == ("1991 (age 28) or so", None)
+    assert one(spark, " Present ", T.normalize_date) is None and one(spark, " a \n b", T.clean_text) == "a b"
     assert one(spark, "100+", T.duration_days) == 100 and one(spark, "1x", T.duration_days) is None
-    assert tuple(one(spark, "Old (1.1.2000 - today)", T.name_history_line)) == ("Old", "1.1.2000", None) and one(spark, "none", T.name_history_line) is None
-    assert one(spark, "<div>a &amp; b<br/> <b>c</b><br></div>", T.br_list) == ["a & b", "c"]
-    kind = one(spark, '<a href="?id=5&amp;nr=20">Some Title</a> Singles Match', T.match_type)
-    assert tuple(kind) == ("20", "Some Title", "Singles Match")
-    assert tuple(one(spark, "Rating: 6.45 based on 21 votes.", T.match_rating)) == (6.45, 21)
+    past = {x: one(spark, x, T.name_history_line) for x in ("Old (1.1.2000 - today)", "Old (1.1.2000-today)", "Old (1.1.2000 - 2001)", "none")}
+    assert [tuple(v) if v else None for v in past.values()] == [("Old", "1.1.2000", None), ("Old", "1.1.2000", None), ("Old", "1.1.2000", "2001"), None]
+    assert one(spark, "<div>a &amp; b<br/> <b>c</b><br></div>", T.br_list) == ["a & b", "c"] and one(spark, " <b>x &lt; y</b> ", T.strip_tags) == "x < y"
+    kind = one(spark, '<a href="?id=5&amp;nr=31">Pier Title</a> Tag Match', T.match_type)
+    assert tuple(kind) == ("31", "Pier Title", "Tag Match")
+    assert tuple(one(spark, "Matchguide Rating: 7.25 based on 18 votes", T.match_rating)) == (7.25, 18) and tuple(one(spark, "Rating: 7.25 based on 18 votes", T.match_rating)) == (None, None)
+    assert one(spark, "https://s/title-history/wwe/x/", lambda c: T.title_path(c, "title-history")) == "wwe/x" and one(spark, "https://s/title-history/wwe/x/extra", lambda c: T.title_path(c, "title-history")) is None
+    links = {x: one(spark, x, lambda c: T.absolute_url(c, "https://s.example/a/b")) for x in ("../c/d", "/e", "//t/f", "http://u/g", "h?i#j", " ")}
+    assert links == {"../c/d": "https://s.example/c/d", "/e": "https://s.example/e", "//t/f": "https://t/f", "http://u/g": "http://u/g", "h?i#j": "https://s.example/a/h?i#j", " ": None}
+    found = one(spark, '<a class=x href="?id=2&amp;nr=3&amp;n">A &amp; <b>B</b></a><a href="/x">C</a><a>C</a>', dom.entity_links)
+    assert [tuple(x) for x in found] == [("2", "3", "A & B")] and one(spark, "<a> C </a><a>C</a><a>D</a>", dom.link_texts) == ["C", "D"]
 
 
 def test_dates_and_policies(spark):
@@ -154,11 +249,15 @@ def test_dates_and_policies(spark):
 
     now = datetime(2026, 7, 19, 12)
     assert dates.resolve_on_dates("tomorrow, 2026-07-19,today,20.07.2026", now=now) == [date(2026, 7, 19), date(2026, 7, 20)]
+    from zoneinfo import ZoneInfo
+
+    late = datetime(2026, 7, 20, 2, tzinfo=ZoneInfo("UTC"))  # still the day before in New York
+    assert dates.resolve_on_dates("today", now=late) == [date(2026, 7, 19)] and dates.resolve_on_dates("today", "UTC", late) == [date(2026, 7, 20)]
     for bad in ("", "soon"):
         with pytest.raises(ValueError):
             dates.resolve_on_dates(bad, now=now)
     assert dates.id_list("1, 2,,") == ["1", "2"] and dates.id_list("") is None
-    cases = [(-400, False, "TV", False), (-400, True, "TV", True), (0, True, "TV", False), (-3, True, "TV", True), (5, False, "TV", False), (45, False, "TV", True), (45, False, "Premium Live Event", False), (45, False, None, True)]
+    cases = [(-400, False, "TV", False), (-400, True, "TV", True), (0, True, "TV", False), (-3, True, "TV", True), (5, False, "TV", False), (5, True, "TV", False), (20, True, "TV", False), (30, True, "TV", False), (-1, True, "TV", False), (-2, True, "TV", True), (45, False, "TV", True), (45, False, "Premium Live Event", False), (45, False, None, True)]
     df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, ahead int, results boolean, kind string, want boolean")
     df = df.withColumn("day", F.date_add(F.lit(date(2026, 1, 1)), F.col("ahead")))
     got = df.withColumn("skip", merge.skip_event(F.col("day"), F.col("results"), F.col("kind"), date(2026, 1, 1)))
@@ -170,3 +269,4 @@ def test_key_checks(spark):
     assert merge.validate_keys(df, ["id"]) == {"null": 1, "repeated": 1, "orphans": 0}
     with pytest.raises(merge.KeyViolation):
         merge.require_keys(df, ["id"])
+    assert merge.require_keys(df.limit(0), ["id"]).count() == 0
