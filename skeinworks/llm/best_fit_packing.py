@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skeinworks.llm.common import Scratch
+from skeinworks.llm.common import Scratch, lean
 from skeinworks.llm.tokens import Encoder, default_tokenizer
 
 CAPACITY, BLOCK = 2048, 40_000
@@ -163,7 +163,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
     spark = docs.sparkSession
     scratch = Scratch(spark, "packing")
     form = PIECES + ", ids binary" * keep_ids
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_pieces(tokenizer or default_tokenizer(), capacity, end_id, keep_ids), form)
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(lean(_pieces(tokenizer or default_tokenizer(), capacity, end_id, keep_ids)), form)
     pieces = scratch.write(rows, "pieces")
     done = [pieces.where(F.col("length") == capacity).select("*", F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset"))]
     rest, n, round_ = pieces.where(F.col("length") < capacity), 0, 0
@@ -172,7 +172,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
         count = rest.count()
         blocks = max(1, -(-count // block))
         last = blocks == 1 or round_ > 1 and blocks >= n  # no fewer blocks than before: every piece is final
-        packed = rest.drop("sequence_id", "offset", "open").repartition(blocks).mapInArrow(_pack_block(capacity, round_, last), form + ", sequence_id long, offset long, open boolean")
+        packed = rest.drop("sequence_id", "offset", "open").repartition(blocks).mapInArrow(lean(_pack_block(capacity, round_, last)), form + ", sequence_id long, offset long, open boolean")
         packed = scratch.write(packed, f"round{round_}")
         done.append(packed.where("not open").drop("open"))
         if last:

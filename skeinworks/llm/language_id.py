@@ -29,12 +29,12 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skeinworks.llm.common import extended
+from skeinworks.llm.common import extended, lean
 
 #: Bounds of the training sample: expected characters of each language and of all, and characters of a piece.
 CHARS_A_LANGUAGE, CHARS_IN_ALL, PIECE = 60_000, 2_000_000, 400
 #: Characters that are parsed on end, chunks that advance together, and characters of a text that are read at a time.
-CHUNK, TOGETHER, SLICE = 512, 4096, 1 << 20
+CHUNK, TOGETHER, SLICE = 512, 2048, 1 << 18
 #: Bits of a letter that a sample lacks.
 LITERAL = 21.0
 UNKNOWN = "und"
@@ -160,7 +160,7 @@ class CrossParser:
         codes = running(text)
         at = np.searchsorted(self.codes, codes)
         at[self.codes[np.minimum(at, len(self.codes) - 1)] != codes] = len(self.codes)
-        return at
+        return at.astype(np.int32)
 
     def _chunks(self, texts: list[str | None]) -> Iterator[tuple[int, np.ndarray]]:
         for i, text in enumerate(texts):
@@ -177,7 +177,7 @@ class CrossParser:
         def settle() -> None:
             held.sort(key=lambda x: -len(x[1]))
             owner, lengths = np.array([x[0] for x in held]), np.array([len(x[1]) for x in held])
-            columns = np.zeros((lengths[0], len(held)), dtype=np.int64)
+            columns = np.zeros((lengths[0], len(held)), dtype=np.int32)
             for j, (_, line) in enumerate(held):
                 columns[: len(line), j] = line
             active = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left").tolist()
@@ -246,7 +246,7 @@ def identify(docs: DataFrame, parser: CrossParser, keep: list[str]) -> DataFrame
     """``keep`` (with text) of each row, lang_pred, score and bits (a character, by the predicted language)."""
     shared = docs.sparkSession.sparkContext.broadcast(parser)
     rows = docs.select(*keep)
-    return rows.mapInArrow(_predict(shared, keep.index("text")), extended(rows, "lang_pred string, score double, bits double"))
+    return rows.mapInArrow(lean(_predict(shared, keep.index("text"))), extended(rows, "lang_pred string, score double, bits double"))
 
 
 def held_out(folds: int, fold: int) -> Column:

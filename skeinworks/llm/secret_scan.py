@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skeinworks.llm.common import Scratch
+from skeinworks.llm.common import Scratch, lean
 
 KINDS = ("assign", "access", "hex", "markov")
 #: Bounds of the training sample (texts and ordinary tokens, both expected), the length from which a token is scored, and the share of ordinary tokens that may pass.
@@ -190,7 +190,7 @@ def _scan(shared):
 def scan(docs: DataFrame, model: MarkovPair | None = None) -> DataFrame:
     """doc_id, counts of the rules' spans, the digest of these, and all spans as text."""
     shared = docs.sparkSession.sparkContext.broadcast(model or train(docs))
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_scan(shared), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(_scan(shared)), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
 
 
 def redacted(text: str | None, spans: list[tuple[int, int, str]], mark: str = "[secret]") -> str | None:
@@ -217,6 +217,6 @@ def redact(docs: DataFrame, model: MarkovPair | None = None) -> DataFrame:
             cols = [pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(batch.num_columns)]
             yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names)
 
-    out = docs.mapInArrow(rows, docs.schema)
+    out = docs.mapInArrow(lean(rows), docs.schema)
     changed = F.length("text").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None
     return out if changed is None else out.withColumn("n_chars", changed)

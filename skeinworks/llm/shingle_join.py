@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from skeinworks.llm.common import Scratch
+from skeinworks.llm.common import Scratch, lean
 from skeinworks.llm.components import components
 from skeinworks.llm.simhash import RADIUS, link_prints, majority
 
@@ -216,18 +216,18 @@ def near_duplicates(docs: DataFrame, keep: list[str] | None = None, shingle: int
     spark = docs.sparkSession
     scratch = Scratch(spark, "shingle-join")
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"), F.col("text").cast("string"))
-    sets = scratch.write(rows.mapInArrow(_sets(shingle), StructType([rows.schema["row"], *StructType.fromDDL("key long, n long, print long, shingles binary").fields])), "sets")
+    sets = scratch.write(rows.mapInArrow(lean(_sets(shingle)), StructType([rows.schema["row"], *StructType.fromDDL("key long, n long, print long, shingles binary").fields])), "sets")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (sets.agg(F.sum("n")).first()[0] or 0) // (PASSES * PART))
 
     def dealt(packed: DataFrame) -> DataFrame:
         return packed.repartition(parts, "part").sortWithinPartitions("part")
 
     classes = scratch.write(sets.select("key", "n", "print").distinct(), "classes")
-    packs = classes.select("key", "n").mapInArrow(_by_class(parts), f"{PACKED}, c binary")
+    packs = classes.select("key", "n").mapInArrow(lean(_by_class(parts)), f"{PACKED}, c binary")
     for share in range(PASSES):
-        dealt_out = dealt(sets.select("key", "n", "shingles").mapInArrow(_by_shingle(parts, share), PACKED))
-        packs = packs.union(scratch.write(dealt_out.mapInArrow(_each_part(_shared(parts)), f"{PACKED}, c binary"), f"shared{share}"))
-    postings = scratch.write(dealt(packs).mapInArrow(_each_part(_postings), "shingle long, key long, n long"), "postings")
+        dealt_out = dealt(sets.select("key", "n", "shingles").mapInArrow(lean(_by_shingle(parts, share)), PACKED))
+        packs = packs.union(scratch.write(dealt_out.mapInArrow(lean(_each_part(_shared(parts))), f"{PACKED}, c binary"), f"shared{share}"))
+    postings = scratch.write(dealt(packs).mapInArrow(lean(_each_part(_postings)), "shingle long, key long, n long"), "postings")
     scratch.drop(*(f"shared{share}" for share in range(PASSES)))
     alive = scratch.write(postings.select("key").distinct(), "alive")  # its size on disk tells Spark how to join
     held = scratch.write(sets.join(alive, "key", "left_semi").groupBy("key").agg(F.first("shingles").alias("shingles")), "held")
@@ -236,7 +236,7 @@ def near_duplicates(docs: DataFrame, keep: list[str] | None = None, shingle: int
 
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
         both = pairs.join(held.select(F.col("key").alias("u"), F.col("shingles").alias("x")), "u").join(held.select(F.col("key").alias("v"), F.col("shingles").alias("y")), "v")
-        return scratch.write(both.select("u", "v", "x", "y").mapInArrow(_similar, "u long, v long"), name)
+        return scratch.write(both.select("u", "v", "x", "y").mapInArrow(lean(_similar), "u long, v long"), name)
 
     links, low, high, open_ = confirmed(_print_pairs(classes, scratch), "links"), 0, PIVOTS, None
     while True:
@@ -248,7 +248,7 @@ def near_duplicates(docs: DataFrame, keep: list[str] | None = None, shingle: int
         if open_.isEmpty():
             break
         ordered = labelled.join(open_, "shingle", "left_semi").select("shingle", "key", "n", "root").repartition("shingle").sortWithinPartitions("shingle", "key")
-        pairs = scratch.write(ordered.mapInArrow(_pairs(low, high), "u long, v long").distinct(), f"pairs{low}")
+        pairs = scratch.write(ordered.mapInArrow(lean(_pairs(low, high)), "u long, v long").distinct(), f"pairs{low}")
         links = links.unionByName(confirmed(pairs, f"links{low}"))
         low, high = high, 8 * high
     # Rows by id, those without one last, then by the other columns.

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skeinworks.llm.common import Scratch
+from skeinworks.llm.common import Scratch, lean
 from skeinworks.llm.components import components
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
@@ -251,7 +251,7 @@ def link_prints(prints: DataFrame, scratch: Scratch, r: int = RADIUS) -> DataFra
         if big.isEmpty():
             break
         dealt = dealt.join(big, "shard", "left_anti").unionByName(dealt.join(big, "shard", "left_semi").mapInArrow(_parted(vantage, r), form))
-    return dealt.repartition(parts, "shard").sortWithinPartitions("shard").mapInArrow(_link_shards(r), "u long, v long")
+    return dealt.repartition(parts, "shard").sortWithinPartitions("shard").mapInArrow(lean(_link_shards(r)), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, r: int = RADIUS) -> DataFrame:
@@ -259,7 +259,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, r: int = RADIUS) ->
     spark = docs.sparkSession
     scratch = Scratch(spark, "simhash")
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    prints = scratch.write(rows.mapInArrow(_prints(shingle), "doc_id long, print long"), "prints")
+    prints = scratch.write(rows.mapInArrow(lean(_prints(shingle)), "doc_id long, print long"), "prints")
     distinct = scratch.write(prints.groupBy("print").agg(F.min("doc_id").alias("first_id")), "distinct")
     links = scratch.write(link_prints(distinct, scratch, r), "links")
     found = components(links, scratch)
