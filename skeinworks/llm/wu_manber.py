@@ -12,16 +12,15 @@ repeat an id or a text count once for each distinct id; a null item id is ignore
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
 from operator import eq
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skeinworks.llm.common import Scratch, extended
+from skeinworks.llm.common import Scratch, extended, lean
 
 WINDOW = 13
 #: Words of benchmark items in one broadcast shard.
@@ -124,7 +123,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: i
     if shards == 1:
         shared = spark.sparkContext.broadcast([(r.item_id, r.text) for r in lines.collect()])
         rows = docs.select(*cols)
-        return rows.mapInArrow(_scan(shared, window), extended(rows, _FOUND))
+        return rows.mapInArrow(lean(_scan(shared, window)), extended(rows, _FOUND))
     scratch = Scratch(spark, "benchmark")
     numbered = scratch.write(docs.select(*cols).withColumn("_number", F.monotonically_increasing_id()), "docs")
     found = None
@@ -140,19 +139,14 @@ def find_items(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: i
     return counts.join(merged, "_number", "left").withColumns({"spans": F.coalesce("spans", F.array().cast("array<struct<a:long,b:long>>")), "items": F.coalesce("items", F.array().cast("array<long>"))}).drop("_number")
 
 
-def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        hit, n_items, sha = [], [], []
-        for spans, items in zip(batch.column(batch.schema.get_field_index("spans")).to_pylist(), batch.column(batch.schema.get_field_index("items")).to_pylist(), strict=True):
-            end = total = 0
-            for a, b in sorted((x["a"], x["b"]) for x in spans):
-                total += max(0, b - max(a, end))
-                end = max(end, b)
-            hit.append(total)
-            n_items.append(len(items))
-            sha.append(hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest())
-        rest = [i for i, n in enumerate(batch.schema.names) if n not in ("spans", "items")]
-        yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in rest), pa.array(hit, pa.int64()), pa.array(n_items, pa.int64()), pa.array(sha, pa.string())], names=[*(batch.schema.names[i] for i in rest), "n_hit", "n_items", "items_sha256"])
+def _tallied(spans: Column) -> Column:
+    """Words in any of the spans (which may overlap)."""
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end"))
+
+    def more(sum_: Column, x: Column) -> Column:
+        return F.struct((sum_["n"] + F.greatest(F.lit(0), x["b"] - F.greatest(x["a"], sum_["end"]))).alias("n"), F.greatest(sum_["end"], x["b"]).alias("end"))
+
+    return F.aggregate(F.array_sort(spans), start, more)["n"]
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None, window: int = WINDOW) -> DataFrame:
@@ -160,5 +154,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None
     keep = keep or ["doc_id"]
     found = find_items(docs, benchmark, keep, window)
     found = found if "text" in keep else found.drop("text")
-    out = found.mapInArrow(_tally, extended(found.drop("spans", "items"), "n_hit long, n_items long, items_sha256 string"))
+    told = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
+    out = found.withColumns({"n_hit": _tallied(F.col("spans")), "n_items": F.size("items").cast("long"), "items_sha256": F.sha2(told.cast("binary"), 256)}).drop("spans", "items")
     return out.withColumn("contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words"))
