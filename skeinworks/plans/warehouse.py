@@ -1,16 +1,16 @@
-"""The warehouse: versioned table folders with one pointer, loads, linkage, export and publication."""
+"""The warehouse: bucketed table folders with one pointer, loads, linkage, export and publication."""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from skeinworks.operators import linkage
-from skeinworks.operators.merge import delete_children, insert_ignore, require_keys, upsert
+from skeinworks.operators.merge import require_keys
 from skeinworks.plans.flatten import flatten
 from skeinworks.plans.schemas import SOURCES, TABLES, UNMANAGED
 from skeinworks.sources.landing import latest_lines, path_exists, read_lines
@@ -20,20 +20,19 @@ PROMOTION_SLUGS = [("1", "wwe"), ("2287", "aew")]
 CROSSWALKS = {"wrestler_crosswalk": ("wrestlers", "b_wrestlers"), "title_crosswalk": ("titles", "b_titles")}
 
 
-def descend(tables: dict[str, DataFrame], table: str, ids: DataFrame) -> DataFrame:
-    """Rows of a table that belong to the source ids (column ``id``), by semi-joins down its parents."""
-    spec = TABLES[table]
-    if spec.parent is None:
-        return tables[table].join(ids.select("id"), "id", "left_semi")
-    scope = ids if TABLES[spec.parent].parent is None else descend(tables, spec.parent, ids)
-    return tables[table].join(scope.select(F.col("id").alias(spec.foreign)).distinct(), spec.foreign, "left_semi")
+ROOT = "_root"
 
 
 class Warehouse:
-    """Tables under ``root/v=<version>``; the file set that a reader sees changes only when the pointer does."""
+    """Tables under ``root``; the file set that a reader sees changes only when the pointer does.
 
-    def __init__(self, spark: SparkSession, root: str, fresh: bool = False):
-        self.spark, self.root = spark, root.rstrip("/")
+    Every row of a source's table also holds the id of the landed record that it comes from, and rows are stored in ``buckets`` by
+    that id's hash, all rows of a record in the buckets of one number. A load or an incremental publication reads and writes the buckets of its records
+    alone, and finds a record's rows at any depth without a join up its parents. The pointer names the folder of each table's bucket.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, fresh: bool = False, buckets: int = 32):
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
         if fresh:
             path, fs = self._fs("")
             fs.delete(path, True)
@@ -42,38 +41,81 @@ class Warehouse:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
         return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _versions(self) -> dict[str, str]:
-        """Folder of each table, by the newest pointer."""
+    def _folders(self) -> dict[str, dict[int, str]]:
+        """Folder of each bucket of each table, by the newest pointer."""
         path, fs = self._fs("pointers")
         if not fs.exists(path):
             return {}
         newest = max(s.getPath().getName() for s in fs.listStatus(path) if s.getPath().getName().startswith("p="))
-        return {r.table: r.folder for r in self.spark.read.schema("table string, folder string").json(f"{self.root}/pointers/{newest}").collect()}
+        out: dict[str, dict[int, str]] = {}
+        for r in self.spark.read.schema("table string, bucket int, folder string").json(f"{self.root}/pointers/{newest}").collect():
+            out.setdefault(r.table, {})[r.bucket] = r.folder
+        return out
+
+    def _bucket(self, id_: Column) -> Column:
+        return F.pmod(F.xxhash64(id_), F.lit(self.buckets)).cast("int")
 
-    def table(self, name: str, versions: dict[str, str] | None = None) -> DataFrame:
-        folder, schema = (self._versions() if versions is None else versions).get(name), StructType.fromDDL(TABLES[name].ddl)
-        # Files from before a column was added give null there.
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{folder}") if folder else self.spark.createDataFrame([], schema)
+    def _stored(self, name: str, touched: list[int] | None = None, folders: dict[str, dict[int, str]] | None = None) -> DataFrame:
+        """A table's rows with their record's id, of all buckets or of some. Files from before a column was added give null there."""
+        held = (self._folders() if folders is None else folders).get(name, {})
+        schema = StructType.fromDDL(TABLES[name].ddl).add(ROOT, "string")
+        paths = [f"{self.root}/{folder}" for b, folder in sorted(held.items()) if touched is None or b in touched]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def table(self, name: str, folders: dict[str, dict[int, str]] | None = None) -> DataFrame:
+        return self._stored(name, None, folders).drop(ROOT)
 
     def tables(self) -> dict[str, DataFrame]:
-        now = self._versions()
+        now = self._folders()
         return {name: self.table(name, now) for name in TABLES}
 
-    def replace(self, changed: dict[str, DataFrame]) -> None:
-        """Write the changed tables into new folders, then turn the pointer to all of them at once."""
-        now = self._versions()
-        for name, df in changed.items():
+    def subtree(self, name: str, ids: DataFrame) -> DataFrame:
+        """Rows of a table that come from some records (column ``id``)."""
+        return self._stored(name, self._touched(ids)).join(ids.select(F.col("id").alias(ROOT)), ROOT, "left_semi").drop(ROOT)
+
+    def _touched(self, ids: DataFrame) -> list[int]:
+        return [r.b for r in ids.select(self._bucket(F.col("id")).alias("b")).distinct().collect()]  # at most one a bucket
+
+    def _rooted(self, rows: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """Adds the record's id: parents' own, children's by their parents among these rows (or those stored)."""
+        out: dict[str, DataFrame] = {}
+        for name in TABLES:
+            if name not in rows:
+                continue
+            df, spec = rows[name], TABLES[name]
+            if ROOT in df.columns:
+                out[name] = df
+            elif spec.parent is None or TABLES[spec.parent].parent is None:
+                own = spec.foreign or ("id" if "id" in df.columns else None)
+                out[name] = df.withColumn(ROOT, F.col(own).cast("string") if own else F.lit("all"))
+            else:
+                up = (out[spec.parent] if spec.parent in out else self._stored(spec.parent)).select(F.col("id").alias(spec.foreign), ROOT)
+                out[name] = df.join(up, spec.foreign, "left").select(*df.columns, ROOT)
+        return out
+
+    def replace(self, changed: dict[str, DataFrame], touched: dict[str, list[int]] | None = None) -> None:
+        """Write tables, or those of their buckets that are touched, into new folders, then turn the pointer to all of them at once."""
+        now = self._folders()
+        for name, df in self._rooted(changed).items():
             folder = f"data/{name}-{uuid.uuid4().hex}"
-            df.write.parquet(f"{self.root}/{folder}")
-            now[name] = folder
+            rows = df.withColumn("_bucket", self._bucket(F.col(ROOT)))
+            rows.repartition("_bucket").write.partitionBy("_bucket").parquet(f"{self.root}/{folder}")
+            path, fs = self._fs(folder)
+            written = [s.getPath().getName() for s in fs.listStatus(path)]
+            kept = {b: f for b, f in now.get(name, {}).items() if name in (touched or {}) and b not in touched[name]}
+            now[name] = kept | {int(n.split("=")[1]): f"{folder}/{n}" for n in written if n.startswith("_bucket=") and "HIVE" not in n}
         path, fs = self._fs("pointers")
         count = len(fs.listStatus(path)) if fs.exists(path) else 0
         part = f"{self.root}/pointers/_part-{uuid.uuid4().hex}"
-        self.spark.createDataFrame(sorted(now.items()), "table string, folder string").coalesce(1).write.json(part)
+        rows = sorted((name, b, folder) for name, held in now.items() for b, folder in held.items())
+        self.spark.createDataFrame(rows, "table string, bucket int, folder string").coalesce(1).write.json(part)
         fs.rename(self.spark._jvm.org.apache.hadoop.fs.Path(part), self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/pointers/p={count:08d}"))
 
+    def _without(self, name: str, ids: DataFrame, touched: list[int]) -> DataFrame:
+        return self._stored(name, touched).join(ids.select(F.col("id").alias(ROOT)), ROOT, "left_anti").select(*StructType.fromDDL(TABLES[name].ddl).fieldNames(), ROOT)
+
     def load(self, source: str, path: str) -> int:
-        """Load one source's file: newest line of each id, parents upserted, all children of the file's ids replaced.
+        """Load one source's file: newest line of each id, parents replaced, all children of the file's ids replaced.
 
         Returns the number of records; a missing file loads nothing. Children of strict tables with a null or repeated key raise ``KeyViolation``
         before anything is visible; other children have their list place in the key, and of those that repeat one the first counts.
@@ -81,17 +123,13 @@ class Warehouse:
         if not path_exists(self.spark, path):
             return 0
         raw = latest_lines(read_lines(self.spark, path), StructType.fromDDL(SOURCES[source])).drop("_line").where("id is not null").persist()
-        ids, n, changed, old = raw.select("id"), raw.count(), {}, self.tables()
-        for name, new in flatten(source, raw).items():
-            spec = TABLES[name]
-            if spec.parent is None:
-                changed[name] = upsert(old[name], new, spec.key)
-            else:
-                if spec.strict:
-                    require_keys(new, spec.key)
-                gone = descend(old, name, ids).select(*spec.key)
-                changed[name] = insert_ignore(old[name].join(gone, spec.key, "left_anti"), new, spec.key)
-        self.replace(changed)
+        ids, n = raw.select("id"), raw.count()
+        touched, new = self._touched(ids), flatten(source, raw)
+        for name, rows in new.items():
+            if TABLES[name].strict:
+                require_keys(rows, TABLES[name].key)
+        changed = {name: self._without(name, ids, touched).unionByName(rows) for name, rows in self._rooted(new).items()}
+        self.replace(changed, dict.fromkeys(changed, touched))
         raw.unpersist()
         return n
 
@@ -135,31 +173,33 @@ class Warehouse:
 
     def mirror(self, target: Warehouse) -> dict[str, int]:
         """All managed tables to another warehouse, visible there at once."""
+        now = self._folders()
         names = [n for n in TABLES if n not in UNMANAGED]
-        mine = self.tables()
-        target.replace({n: mine[n] for n in names})
+        target.replace({n: self._stored(n, None, now) for n in names})
         return {r.table: r.n for r in target.counts().collect() if r.table in names}
 
     def mirror_changes(self, target: Warehouse, changes: dict[str, DataFrame]) -> dict[str, int]:
-        """Only the subtrees of the changed ids (``id`` by source), and the crosswalks of changed kinds in full. The counts come from one job."""
-        mine, theirs, sent, moved = self.tables(), target.tables(), {}, {}
+        """Only the subtrees of the changed ids (``id`` by source), and the crosswalks of changed kinds in full, visible at once. One job counts them."""
+        sent, moved, touched = {}, {}, {}
         for source, ids in changes.items():
-            for name, spec in TABLES.items():
-                if spec.source == source:
-                    sent[name] = descend(mine, name, ids)
-                    gone = descend(theirs, name, ids).select(*spec.key)
-                    moved[name] = theirs[name].join(gone, spec.key, "left_anti").unionByName(sent[name])
+            mine, theirs = self._touched(ids), target._touched(ids)
+            for name in (n for n, spec in TABLES.items() if spec.source == source):
+                sent[name] = self._stored(name, mine).join(ids.select(F.col("id").alias(ROOT)), ROOT, "left_semi")
+                moved[name] = target._without(name, ids, theirs).unionByName(sent[name])
+                touched[name] = theirs
         for walk, kinds in CROSSWALKS.items():
             if {*kinds} & {*changes}:
-                sent[walk] = moved[walk] = mine[walk]
+                sent[walk] = moved[walk] = self.table(walk)
         out = {r.table: r.n for r in counted(sent).collect()} if sent else {}
         if moved:
-            target.replace(moved)
+            target.replace(moved, touched)
         return out
 
     def clear(self, source: str, ids: DataFrame) -> None:
-        """Remove the children of some ids at all levels, deepest tables first; the parents stay."""
-        self.replace(clear_children(self.tables(), source, ids))
+        """Remove the children of some ids at all levels; the parents stay."""
+        touched = self._touched(ids)
+        rows = {n: self._without(n, ids, touched) for n, spec in TABLES.items() if spec.source == source and spec.parent}
+        self.replace(rows, dict.fromkeys(rows, touched))
 
     def write_jdbc(self, url: str, properties: dict[str, str], tables: list[str] | None = None, swap: Callable[[list[str]], None] | None = None) -> None:
         """Each table into a staging table, then ``swap`` with the SQL that puts all staging tables into place, for one transaction of the database's."""
@@ -196,15 +236,3 @@ def counted(tables: dict[str, DataFrame]) -> DataFrame:
         one = df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table"), "n")
         out = one if out is None else out.unionByName(one)
     return out
-
-
-def clear_children(tables: dict[str, DataFrame], source: str, ids: DataFrame) -> dict[str, DataFrame]:
-    """Direct children of the ids removed, deepest tables first."""
-    out = {}
-    for name in reversed([n for n, s in TABLES.items() if s.source == source and s.parent]):
-        spec = TABLES[name]
-        if TABLES[spec.parent].parent is None:
-            out[name] = delete_children(tables[name], ids.select(F.col("id").alias(spec.foreign)), spec.foreign)
-        else:
-            out[name] = tables[name].join(descend(tables, name, ids).select(*spec.key), spec.key, "left_anti")
-    return out

@@ -119,6 +119,18 @@ def test_link_views_and_publication(spark, warehouse, tmp_path):
     assert warehouse.table("b_wrestler_accomplishments").count() == 0 and warehouse.table("b_wrestlers").count() == 1
 
 
+def test_a_load_writes_the_buckets_of_its_records_alone(spark, warehouse, tmp_path):
+    match = [{"match_index": k, "result": "unknown", "sides": [{"wrestlers": [{"id": "1", "name": "A"}]}], "notes": ["n"]} for k in (1, 2)]
+    warehouse.load("matches", lines(tmp_path / "m.jsonl", *({"id": f"e{i}", "matches": match} for i in range(60))))
+    before = warehouse._folders()
+    warehouse.load("matches", lines(tmp_path / "n.jsonl", {"id": "e7", "matches": match[:1]}))
+    after = warehouse._folders()
+    for name in ("events", "matches", "match_sides", "match_side_participants", "match_notes"):
+        assert sum(before[name][b] != after[name].get(b) for b in before[name]) == 1 and len(before[name]) > 5
+    one = spark.createDataFrame([("e7",), ("e8",)], "id string")
+    assert warehouse.subtree("match_side_participants", one).count() == 3 and warehouse.table("match_side_participants").count() == 119
+
+
 def test_reigns_with_one_number_are_an_error(warehouse, tmp_path):
     for numbers in ((1, 1), (1, None)):
         path = lines(tmp_path / "t.jsonl", {"id": "5", "name": "T", "reigns": [{"reign_number": n} for n in numbers]})
