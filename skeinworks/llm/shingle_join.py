@@ -34,6 +34,8 @@ from skeinworks.llm.simhash import RADIUS, link_prints, majority
 SHINGLE, SIMILAR, SEED = 5, (4, 5), 42
 #: Shingles of a packed part, and classes of a rare shingle compared with all others in the first round.
 PART, PIVOTS = 200_000, 8
+#: Times as many in each further round.
+FURTHER = 64
 #: Passes over the shingles, each with a share of them: bounds what lies on disk at once. Texts packed at a time bound memory.
 PASSES, TEXTS = 4, 500
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -250,7 +252,7 @@ def near_duplicates(docs: DataFrame, keep: list[str] | None = None, shingle: int
         ordered = labelled.join(open_, "shingle", "left_semi").select("shingle", "key", "n", "root").repartition("shingle").sortWithinPartitions("shingle", "key")
         pairs = scratch.write(ordered.mapInArrow(lean(_pairs(low, high)), "u long, v long").distinct(), f"pairs{low}")
         links = links.unionByName(confirmed(pairs, f"links{low}"))
-        low, high = high, 8 * high
+        low, high = high, FURTHER * high
     # Rows by id, those without one last, then by the other columns.
     order = F.struct(F.col("row.doc_id").isNull(), "row")
     joined = ids.groupBy("key").agg(F.min(order).alias("least")).join(found, F.col("key") == F.col("node"), "left").select("key", "least", F.coalesce("root", "key").alias("root"))
