@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skeinworks.llm import best_fit_packing, cotraining, language_id, secret_scan, simhash, substring_dedup, syncmers, token_rollup, toxicity, wu_manber
+from skeinworks.llm import best_fit_packing, cotraining, importance, language_id, secret_scan, simhash, substring_dedup, syncmers, token_rollup, toxicity, wu_manber
 from skeinworks.llm.common import table
 
 
@@ -56,6 +56,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_rollup.rollup_documents(table(spark, sf_dir, "documents"))
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
@@ -84,8 +88,25 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BI
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(ws), FALSE) AS contaminated
 FROM d LEFT JOIN p ON d.r = p.r LEFT JOIN n ON d.r = n.r
 """
+#: Checksums by the polynomial's table, a byte a step.
+_OP12 = r"""
+WITH z AS (SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, b) ORDER BY b) AS tab FROM range(256) AS t(b)),
+x AS (SELECT 0 AS side, doc_id, row_number() OVER () AS r, text FROM documents UNION ALL SELECT 1, item_id, -row_number() OVER (), text FROM benchmark),
+d AS (SELECT side, doc_id, r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM x),
+g AS (SELECT side, r, array_to_string(ws[i : i + n - 1], ' ') AS f FROM d, unnest([1, 2, 3]) AS a(n), unnest(range(1, len(ws) - n + 2)) AS t(i)),
+u AS (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM g)),
+b AS (SELECT f, list_reduce(list_transform(range(0, len(h) // 2), lambda i: ('0x' || h[2 * i + 1 : 2 * i + 2])::BIGINT), lambda c, o: xor(c >> 8, tab[(xor(c, o) & 255) + 1]), 4294967295) AS c FROM u, z),
+k AS (SELECT f, xor(c, 4294967295) % 10000 AS bucket FROM b),
+n AS (SELECT bucket, count(*) FILTER (side = 0) AS s, count(*) FILTER (side = 1) AS t FROM g JOIN k USING (f) GROUP BY bucket),
+v AS (SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * ((SELECT sum(s) FROM n) + 10000) / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM n) + 10000))))::BIGINT AS gain FROM n),
+w AS (SELECT r, count(*) AS n_features, sum(gain)::BIGINT AS weight FROM g JOIN k USING (f) JOIN v USING (bucket) WHERE side = 0 GROUP BY r),
+e AS (SELECT doc_id, len(ws) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, ('0x' || sha256('42:' || doc_id)[1:8])::BIGINT AS h FROM d LEFT JOIN w USING (r) WHERE side = 0),
+s AS (SELECT doc_id, n_words, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296)))::BIGINT AS score FROM e),
+o AS (SELECT *, CASE WHEN n_words >= 20 THEN row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) END AS p FROM s)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score, CASE WHEN p <= (SELECT 5 * count(*) // 100 FROM s WHERE n_words >= 20) THEN p END AS rank, CAST(n_words AS BIGINT) AS n_words FROM o
+"""
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL has no fingerprints, models or tokenizers for the others; tests hold these against brute force."""
-    return {"op1_substring_dedup": _OP1, "op7_benchmark_decontamination": _OP7}
+    return {"op1_substring_dedup": _OP1, "op7_benchmark_decontamination": _OP7, "op12_importance_resampling": _OP12}

@@ -629,4 +629,4 @@ def test_query_gives_the_rows_of_its_sql(spark, name):
     want = con.sql(queries.oracle_sql()[name])
     df = queries.queries()[name](spark, str(d))
     assert sorted(df.columns) == sorted(want.columns)
-    assert sorted(map(tuple, df.select(*want.columns).collect())) == sorted(want.fetchall())
+    assert sorted(map(tuple, df.select(*want.columns).collect()), key=str) == sorted(want.fetchall(), key=str)
