@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skeinworks.llm import best_fit_packing, cotraining, importance, language_id, secret_scan, simhash, substring_dedup, syncmers, token_rollup, toxicity, wu_manber
+from skeinworks.llm import best_fit_packing, cotraining, importance, language_id, ranked_search, secret_scan, simhash, substring_dedup, syncmers, token_rollup, toxicity, wu_manber
 from skeinworks.llm.common import table
 
 
@@ -60,6 +60,10 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
@@ -105,8 +109,20 @@ s AS (SELECT doc_id, n_words, n_features, weight, weight + floor(-1000 * ln(-ln(
 o AS (SELECT *, CASE WHEN n_words >= 20 THEN row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) END AS p FROM s)
 SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score, CASE WHEN p <= (SELECT 5 * count(*) // 100 FROM s WHERE n_words >= 20) THEN p END AS rank, CAST(n_words AS BIGINT) AS n_words FROM o
 """
+_OP13 = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+l AS (SELECT doc_id, r, len(ws) AS n FROM d WHERE len(ws) > 0),
+a AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM l),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ws) AS term FROM d) GROUP BY r, term),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM p GROUP BY term), a),
+m AS (SELECT doc_id, r, 10 + (90 * n * n_docs) // n_terms AS m FROM l, a),
+s AS (SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score FROM q JOIN p USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY item_id, r, doc_id),
+o AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM o WHERE rank <= 10
+"""
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL has no fingerprints, models or tokenizers for the others; tests hold these against brute force."""
-    return {"op1_substring_dedup": _OP1, "op7_benchmark_decontamination": _OP7, "op12_importance_resampling": _OP12}
+    return {"op1_substring_dedup": _OP1, "op7_benchmark_decontamination": _OP7, "op12_importance_resampling": _OP12, "op13_ranked_search": _OP13}
