@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skeinworks.llm import best_fit_packing, cotraining, importance, language_id, ranked_search, secret_scan, simhash, substring_dedup, syncmers, token_rollup, toxicity, wu_manber
+from skeinworks.llm import best_fit_packing, cotraining, importance, language_id, personal_data, ranked_search, secret_scan, simhash, substring_dedup, syncmers, token_rollup, toxicity, wu_manber
 from skeinworks.llm.common import table
 
 
@@ -56,6 +56,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_rollup.rollup_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.scan(table(spark, sf_dir, "documents"))
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
