@@ -1,13 +1,15 @@
-"""Scalar text functions as Column expressions; Python only where Spark has no built-in (accents, HTML entities)."""
+"""Scalar text functions as Column expressions; Python only where Spark has no built-in (HTML entities)."""
 
 from __future__ import annotations
 
+import functools
 import html
+import sys
 import unicodedata
 from urllib.parse import urljoin
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -15,19 +17,20 @@ from pyspark.sql.types import StringType
 SPACE = r"(?U)\s"
 
 
-def strip_accents(c: Column) -> Column:
-    """Letters without their marks. Built on an Arrow UDF, as Spark has no such function; apply it to distinct names."""
-    return _strip_accents(c)
-
+@functools.cache
+def accent_folds() -> tuple[str, str]:
+    """All characters with marks, and the same without, by the Unicode decompositions that Python knows: two strings of equal length."""
+    folded = {}
+    for c in map(chr, (i for i in range(sys.maxunicode + 1) if not 0xD800 <= i < 0xE000)):
+        if unicodedata.decomposition(c)[:1] not in ("", "<") and unicodedata.category(c)[0] != "M":
+            folded[c] = unicodedata.normalize("NFC", "".join(x for x in unicodedata.normalize("NFD", c) if unicodedata.category(x)[0] != "M"))
+    kept = {c: plain for c, plain in folded.items() if len(plain) == 1 and plain != c}
+    return "".join(kept), "".join(kept.values())
 
-@F.pandas_udf(StringType())
-def _strip_accents(values: pd.Series) -> pd.Series:
-    def plain(x: str | None) -> str | None:
-        if x is None or x.isascii():
-            return x
-        return unicodedata.normalize("NFC", "".join(c for c in unicodedata.normalize("NFD", x) if unicodedata.category(c)[0] != "M"))
 
-    return values.map(plain, na_action="ignore")
+def strip_accents(c: Column) -> Column:
+    """Letters without their marks, in the JVM: characters that hold marks by a table, then marks of their own. Nothing else changes, so loose parts of Hangul syllables aren't joined."""
+    return F.regexp_replace(F.translate(c, *accent_folds()), r"\p{M}+", "")
 
 
 @F.pandas_udf(StringType())
@@ -40,6 +43,16 @@ def norm_name(c: Column) -> Column:
     return F.trim(F.regexp_replace(strip_accents(F.lower(c)), "[^a-z0-9]+", " "))
 
 
+def register_sql(spark: SparkSession) -> list[str]:
+    """Functions of the same names for SQL text, as expressions that Spark plans like its own; returns their names."""
+    marked, plain = accent_folds()
+    bare = f"regexp_replace(translate(value, '{marked}', '{plain}'), '[\\\\p{{M}}]+', '')"
+    made = {"strip_accents": bare, "norm_name": f"trim(regexp_replace({bare.replace('value', 'lower(value)')}, '[^a-z0-9]+', ' '))", "fuzzy_key": rf"trim(regexp_replace(value, '\\b({'|'.join(TITLE_NOISE)})\\b', ''))"}
+    for name, body in made.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(value STRING) RETURNS STRING RETURN {body}")
+    return [*made]
+
+
 #: Words that carry no identity in a title's name.
 TITLE_NOISE = ["wwe", "wwf", "aew", "championship", "title", "world", "undisputed"]
 

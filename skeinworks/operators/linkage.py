@@ -13,9 +13,8 @@ def names(df: DataFrame, key: str, name: str, primary: bool) -> DataFrame:
 
 
 def name_keys(rows: DataFrame) -> DataFrame:
-    """(id, nkey, is_primary), distinct; each distinct name is normalised once."""
-    keys = rows.select("name").where("name is not null").distinct().select("name", norm_name(F.col("name")).alias("nkey"))
-    return rows.join(keys, "name").select("id", "nkey", "is_primary").distinct()
+    """(id, nkey, is_primary), distinct."""
+    return rows.where("name is not null").select("id", norm_name(F.col("name")).alias("nkey"), "is_primary").distinct()
 
 
 def name_pairs(left: DataFrame, right: DataFrame, least: int = 2) -> DataFrame:
@@ -66,18 +65,60 @@ def mutual_best(pairs: DataFrame, left: str = "a_id", right: str = "b_id", score
     return firsts[0].join(firsts[1].select(left, right), [left, right], "left_semi").select(*pairs.columns)
 
 
-def person_crosswalk(a_names: DataFrame, b_names: DataFrame, a_days: DataFrame, b_days: DataFrame) -> DataFrame:
-    """(a_id, b_id, match_method, confidence). Names: (id, name, is_primary). Days: (id, day text); A's with points, B's in words."""
-    pairs = name_pairs(name_keys(a_names), name_keys(b_names))
-    seen = birthday_evidence(pairs, a_days.select(F.col("id").alias("a_id"), parse_dmy(F.col("day")).alias("a_day")), b_days.select(F.col("id").alias("b_id"), parse_mdy(F.col("day")).alias("b_day")))
-    kept = seen.where(~(F.col("other_day") & ~F.col("primary_match")))
-    return mutual_best(labelled(kept, PERSON_LABELS)).select("a_id", "b_id", "match_method", "confidence")
+def best_partners(mine: DataFrame, others: DataFrame) -> DataFrame:
+    """(id, other, confidence): each id's first partner by score, ties by the other's id. Both sides: (id, nkey, is_primary, day).
+
+    No pair is made: of a block, a row can only choose the least id of a kind of evidence (same day or not known, both primary or not), so each row
+    meets one row a block. These rows are aggregates with map-side combining, one a key, and one a key and day. A pair's score is reached in the block that
+    gives its best evidence; in other blocks it is no better. Where the least primary id of a known day has the row's own day, that row has a better choice.
+    """
+    known = F.col("day").isNotNull()
+    days = others.groupBy("nkey", "day").agg(F.min("id").alias("same_any"), F.min(F.when(F.col("is_primary"), F.col("id"))).alias("same_prime"))
+    block = days.groupBy("nkey").agg(
+        F.min("same_any").alias("any"),
+        F.min("same_prime").alias("prime"),
+        F.min(F.when(~known, F.col("same_any"))).alias("unknown_any"),
+        F.min(F.when(~known, F.col("same_prime"))).alias("unknown_prime"),
+        F.min(F.when(known & F.col("same_prime").isNotNull(), F.struct("same_prime", "day"))).alias("first"),
+    )
+    rows = mine.join(block, "nkey").join(days.where(known), ["nkey", "day"], "left")
+    prime = F.col("is_primary")
+    score = {label: value for label, value, _ in PERSON_LABELS}
+    choices = [
+        ("name_and_birthday", prime, F.col("same_prime")),
+        ("alias_and_birthday", F.lit(True), F.col("same_any")),
+        ("name", prime, F.when(known, F.col("unknown_prime")).otherwise(F.col("prime"))),
+        ("name_birthday_mismatch", prime & (F.col("first.day") != F.col("day")), F.col("first.same_prime")),
+        ("alias", F.lit(True), F.when(known, F.col("unknown_any")).otherwise(F.col("any"))),
+    ]
+    held = F.array(*(F.struct(F.lit(-score[label]).alias("score"), F.when(holds, other).alias("other")) for label, holds, other in choices))
+    best = rows.select("id", F.array_min(F.filter(held, lambda x: x["other"].isNotNull())).alias("best")).where("best is not null")
+    return best.groupBy("id").agg(F.min("best").alias("best")).select("id", "best.other", (-F.col("best.score")).alias("confidence"))
+
+
+def _dated(names_: DataFrame, days: DataFrame, least: int) -> DataFrame:
+    return name_keys(names_).where((F.length("nkey") >= least) & F.col("id").isNotNull()).join(days, "id", "left")
+
+
+def person_crosswalk(a_names: DataFrame, b_names: DataFrame, a_days: DataFrame, b_days: DataFrame, least: int = 2) -> DataFrame:
+    """(a_id, b_id, match_method, confidence). Names: (id, name, is_primary). Days: (id, day text); A's with points, B's in words.
+
+    Pairs that are each other's first, as ``mutual_best`` of all labelled pairs would give them, in time that grows with the names however many share one.
+    """
+    a = _dated(a_names, a_days.select("id", parse_dmy(F.col("day")).alias("day")), least)
+    b = _dated(b_names, b_days.select("id", parse_mdy(F.col("day")).alias("day")), least)
+    left = best_partners(a, b).select(F.col("id").alias("a_id"), F.col("other").alias("b_id"), "confidence")
+    right = best_partners(b, a).select(F.col("other").alias("a_id"), F.col("id").alias("b_id"))
+    method = F.lit(None).cast("string")
+    for label, value, _ in PERSON_LABELS:
+        method = F.when(F.col("confidence") == value, F.lit(label)).otherwise(method)
+    return left.join(right, ["a_id", "b_id"]).select("a_id", "b_id", method.alias("match_method"), "confidence")
 
 
 def title_keys(df: DataFrame) -> DataFrame:
-    """Adds nkey and fkey to rows; each distinct name is normalised once. Rows without a name have null keys."""
-    keys = df.select("name").where("name is not null").distinct().withColumn("nkey", norm_name(F.col("name")))
-    return df.join(keys.withColumn("fkey", fuzzy_key(F.col("nkey"))), "name", "left")
+    """Adds nkey and fkey to rows; rows without a name have null keys."""
+    keyed = df.withColumn("nkey", norm_name(F.col("name")))
+    return keyed.withColumn("fkey", fuzzy_key(F.col("nkey")))
 
 
 def or_join(left: DataFrame, right: DataFrame, block: str, exact: str, loose: str, left_id: str = "a_id", right_id: str = "b_id", least: int = 2) -> DataFrame:

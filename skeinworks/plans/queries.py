@@ -228,6 +228,23 @@ def crosswalk_full(t):
     return _crosswalk(t)
 
 
+# All customers and suppliers have one name; days repeat, and some are missing.
+_ONE_NAME = """WITH a AS (SELECT c_custkey::VARCHAR AS id, c_custkey % 4 <> 1 AS p, CASE WHEN c_custkey % 5 <> 0 THEN strftime(DATE '1970-01-01' + (c_custkey * 31 % 997)::INT, '%d.%m.%Y') END AS day FROM customer),
+b AS (SELECT s_suppkey::VARCHAR AS id, s_suppkey % 3 <> 1 AS p, CASE WHEN s_suppkey % 7 <> 0 THEN strftime(DATE '1970-01-01' + (s_suppkey * 17 % 997)::INT, '%B %d, %Y') END AS day FROM supplier),
+e AS (SELECT a.id AS a_id, b.id AS b_id, a.p AND b.p AS pm, coalesce(try_strptime(a.day, '%d.%m.%Y') = try_strptime(b.day, '%B %d, %Y'), false) AS same, coalesce(try_strptime(a.day, '%d.%m.%Y') <> try_strptime(b.day, '%B %d, %Y'), false) AS diff FROM a, b),
+l AS (SELECT a_id, b_id, CASE WHEN same AND pm THEN 'name_and_birthday' WHEN same THEN 'alias_and_birthday' WHEN pm AND diff THEN 'name_birthday_mismatch' WHEN pm THEN 'name' ELSE 'alias' END AS match_method,
+CASE WHEN same AND pm THEN 1.0 WHEN same THEN 0.9 WHEN pm AND diff THEN 0.7 WHEN pm THEN 0.8 ELSE 0.6 END::DOUBLE AS confidence FROM e WHERE NOT (diff AND NOT pm))
+SELECT a_id, b_id, match_method, confidence FROM (SELECT *, row_number() OVER (PARTITION BY a_id ORDER BY confidence DESC, b_id) AS x, row_number() OVER (PARTITION BY b_id ORDER BY confidence DESC, a_id) AS y FROM l) WHERE x = 1 AND y = 1"""
+
+
+@query(_ONE_NAME)
+def crosswalk_one_name(t):
+    a = t.customer.select(F.col("c_custkey").cast("string").alias("id"), (F.col("c_custkey") % 4 != 1).alias("is_primary"), F.when(F.col("c_custkey") % 5 != 0, F.date_format(F.expr("date_add(date'1970-01-01', cast(c_custkey * 31 % 997 as int))"), "dd.MM.yyyy")).alias("day"))
+    b = t.supplier.select(F.col("s_suppkey").cast("string").alias("id"), (F.col("s_suppkey") % 3 != 1).alias("is_primary"), F.when(F.col("s_suppkey") % 7 != 0, F.date_format(F.expr("date_add(date'1970-01-01', cast(s_suppkey * 17 % 997 as int))"), "MMMM d, yyyy")).alias("day"))
+    one = F.lit("Pat Quay").alias("name")
+    return linkage.person_crosswalk(a.select("id", one, "is_primary"), b.select("id", one, "is_primary"), a.select("id", "day"), b.select("id", "day"))
+
+
 @query(_CROSS + " SELECT w.*, a.name AS a_name, a.day AS a_day, b.name AS b_name, b.day AS b_day FROM w JOIN a ON a.id = a_id JOIN b ON b.id = b_id")
 def matched_view(t):
     return linkage.matched_view(_crosswalk(t), *_people(t))

@@ -1,11 +1,11 @@
-"""The warehouse: bucketed table folders with one pointer, loads, linkage, export and publication."""
+"""The warehouse: bucketed tables in versions, loads by several writers, linkage, lookups, export and publication."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -13,6 +13,7 @@ from skeinworks.operators import linkage
 from skeinworks.operators.merge import require_keys
 from skeinworks.plans.flatten import flatten
 from skeinworks.plans.schemas import SOURCES, TABLES, UNMANAGED
+from skeinworks.plans.versions import Change, Layer, Version, Versions, evolved, folder_name
 from skeinworks.sources.landing import latest_lines, path_exists, read_lines
 
 #: Promotions whose titles both sources have.
@@ -23,59 +24,118 @@ CROSSWALKS = {"wrestler_crosswalk": ("wrestlers", "b_wrestlers"), "title_crosswa
 ROOT = "_root"
 
 
+def observed(told: Observation) -> int:
+    """The count that a write observed; a plan that turned out empty, and so lost the observation, has none."""
+    try:
+        return told.get["n"]
+    except Py4JJavaError:
+        return 0
+
+
+#: Tables that the crosswalks are made of.
+LINKED = {"wrestlers", "wrestler_attributes", "b_wrestlers", "b_wrestler_name_history", "titles", "b_titles"}
+
+
 class Warehouse:
-    """Tables under ``root``; the file set that a reader sees changes only when the pointer does.
+    """Tables under ``root``; what a reader sees changes only when a version is put.
 
     Every row of a source's table also holds the id of the landed record that it comes from, and rows are stored in ``buckets`` by
-    that id's hash, all rows of a record in the buckets of one number. A load or an incremental publication reads and writes the buckets of its records
-    alone, and finds a record's rows at any depth without a join up its parents. The pointer names the folder of each table's bucket.
+    that id's hash, all rows of a record in the buckets of one number. A load lays its rows and its records' ids on top of these buckets: of a
+    record, the rows of the topmost layer that names it count. What a load writes is therefore in proportion to what it loads. A bucket whose layers
+    have grown too many, or too large beside its bottom, is written anew by the load that would add another one.
+
+    Several writers may load, link and publish at once (``versions``). ``ddls`` overrides tables' columns; a table's columns may grow and its numbers widen.
     """
 
-    def __init__(self, spark: SparkSession, root: str, fresh: bool = False, buckets: int = 32):
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+    #: Layers on a bucket's bottom, and their bytes as a share of the bottom's, from which the bucket is written anew.
+    MOST_LAYERS, SHARE = 8, 0.3
+
+    def __init__(self, spark: SparkSession, root: str, fresh: bool = False, buckets: int = 32, ddls: dict[str, str] | None = None):
+        self.spark, self.root, self.buckets, self.ddls = spark, root.rstrip("/"), buckets, ddls or {}
+        self.versions = Versions(spark, self.root)
+        self.files = self.versions.files
         if fresh:
-            path, fs = self._fs("")
-            fs.delete(path, True)
+            self.files.delete()
 
-    def _fs(self, name: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
-        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+    # Reading -----------------------------------------------------------------------------------------------------------------------
 
-    def _folders(self) -> dict[str, dict[int, str]]:
-        """Folder of each bucket of each table, by the newest pointer."""
-        path, fs = self._fs("pointers")
-        if not fs.exists(path):
-            return {}
-        newest = max(s.getPath().getName() for s in fs.listStatus(path) if s.getPath().getName().startswith("p="))
-        out: dict[str, dict[int, str]] = {}
-        for r in self.spark.read.schema("table string, bucket int, folder string").json(f"{self.root}/pointers/{newest}").collect():
-            out.setdefault(r.table, {})[r.bucket] = r.folder
-        return out
+    def _ddl(self, name: str) -> str:
+        return self.ddls.get(name, TABLES[name].ddl)
+
+    def _folders(self) -> dict[str, dict[int, list[str]]]:
+        """Folders of each bucket's layers of each table, in the newest version."""
+        return {t: {b: [x["folder"] for x in layers] for b, layers in buckets.items() if layers} for t, buckets in self.versions.newest().tables.items()}
 
     def _bucket(self, id_: Column) -> Column:
         return F.pmod(F.xxhash64(id_), F.lit(self.buckets)).cast("int")
 
-    def _stored(self, name: str, touched: list[int] | None = None, folders: dict[str, dict[int, str]] | None = None) -> DataFrame:
-        """A table's rows with their record's id, of all buckets or of some. Files from before a column was added give null there."""
-        held = (self._folders() if folders is None else folders).get(name, {})
-        schema = StructType.fromDDL(TABLES[name].ddl).add(ROOT, "string")
-        paths = [f"{self.root}/{folder}" for b, folder in sorted(held.items()) if touched is None or b in touched]
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
-
-    def table(self, name: str, folders: dict[str, dict[int, str]] | None = None) -> DataFrame:
-        return self._stored(name, None, folders).drop(ROOT)
-
-    def tables(self) -> dict[str, DataFrame]:
-        now = self._folders()
+    def bucket_of(self, id_: str) -> int:
+        return self.spark.range(1).select(self._bucket(F.lit(id_))).first()[0]
+
+    def _stored(self, name: str, touched: list[int] | None = None, version: Version | None = None) -> DataFrame:
+        """A table's rows with their record's id, of all buckets or of some. Columns added since a file was written are null there."""
+        version = version or self.versions.newest()
+        schema = StructType.fromDDL(self._ddl(name)).add(ROOT, "string")
+        paths: dict[tuple[int, int], list[str]] = {}
+        replaced: dict[int, list[str]] = {}
+        for layers in version.layers(name, touched).values():
+            for k, layer in enumerate(layers):
+                if layer["folder"]:
+                    paths.setdefault((k, layer["schema"]), []).append(f"{self.root}/{layer['folder']}")
+                if k and layer["ids"]:
+                    replaced.setdefault(k, []).append(f"{self.root}/{layer['ids']}")
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        rows = None
+        for (k, number), found in sorted(paths.items()):
+            then = StructType.fromDDL(version.schemas[name][number]).add(ROOT, "string")
+            one = fitted(self.spark.read.schema(then).parquet(*found), schema).withColumn("_layer", F.lit(k))
+            rows = one if rows is None else rows.unionByName(one)
+        if not replaced:
+            return rows.drop("_layer")
+        last = None
+        for k, found in sorted(replaced.items()):
+            one = self.spark.read.schema(f"{ROOT} string").parquet(*found).withColumn("_last", F.lit(k))
+            last = one if last is None else last.unionByName(one)
+        last = last.groupBy(ROOT).agg(F.max("_last").alias("_last"))
+        return rows.join(last, ROOT, "left").where(F.coalesce("_last", "_layer") == F.col("_layer")).select(*schema.fieldNames())
+
+    def table(self, name: str, version: Version | None = None) -> DataFrame:
+        return self._stored(name, None, version).drop(ROOT)
+
+    def tables(self, version: Version | None = None) -> dict[str, DataFrame]:
+        now = version or self.versions.newest()
         return {name: self.table(name, now) for name in TABLES}
 
     def subtree(self, name: str, ids: DataFrame) -> DataFrame:
         """Rows of a table that come from some records (column ``id``)."""
         return self._stored(name, self._touched(ids)).join(ids.select(F.col("id").alias(ROOT)), ROOT, "left_semi").drop(ROOT)
 
+    def of_record(self, name: str, id_: str, version: Version | None = None) -> DataFrame:
+        """Rows of a table that come from one record: only its bucket's files are opened, and of these, which are sorted by record, the row groups between whose least and greatest it lies."""
+        return self._stored(name, [self.bucket_of(id_)], version).where(F.col(ROOT) == id_).drop(ROOT)
+
+    def person(self, a_id: str) -> DataFrame:
+        """The second source's row of one of the first source's people, with how both were linked."""
+        now = self.versions.newest()
+        found = self.of_record("wrestler_crosswalk", a_id, now).collect()  # one row at most
+        linked = self.spark.createDataFrame(found, StructType.fromDDL(self._ddl("wrestler_crosswalk")))
+        people = self.of_record("b_wrestlers", found[0].b_id, now) if found else self._stored("b_wrestlers", []).drop(ROOT)
+        return linked.join(people.withColumnRenamed("id", "b_id"), "b_id")
+
+    def reigns(self, a_person: str, a_title: str) -> DataFrame:
+        """The second source's reigns of one of the first source's people with one of its titles, in order."""
+        now = self.versions.newest()
+        people, titles = self.of_record("wrestler_crosswalk", a_person, now), self.of_record("title_crosswalk", a_title, now)
+        title = titles.first()
+        tables = [self.of_record(n, title.b_id, now) if title else self._stored(n, []).drop(ROOT) for n in ("b_title_reign_champions", "b_title_reigns")]
+        return linkage.reigns_for(people, titles, *tables, a_person, a_title)
+
     def _touched(self, ids: DataFrame) -> list[int]:
         return [r.b for r in ids.select(self._bucket(F.col("id")).alias("b")).distinct().collect()]  # at most one a bucket
 
+    # Writing -----------------------------------------------------------------------------------------------------------------------
+
     def _rooted(self, rows: dict[str, DataFrame]) -> dict[str, DataFrame]:
         """Adds the record's id: parents' own, children's by their parents among these rows (or those stored)."""
         out: dict[str, DataFrame] = {}
@@ -86,56 +146,105 @@ class Warehouse:
             if ROOT in df.columns:
                 out[name] = df
             elif spec.parent is None or TABLES[spec.parent].parent is None:
-                own = spec.foreign or ("id" if "id" in df.columns else None)
-                out[name] = df.withColumn(ROOT, F.col(own).cast("string") if own else F.lit("all"))
+                out[name] = df.withColumn(ROOT, F.col(spec.foreign or spec.key[0]).cast("string"))
             else:
                 up = (out[spec.parent] if spec.parent in out else self._stored(spec.parent)).select(F.col("id").alias(spec.foreign), ROOT)
                 out[name] = df.join(up, spec.foreign, "left").select(*df.columns, ROOT)
         return out
 
-    def replace(self, changed: dict[str, DataFrame], touched: dict[str, list[int]] | None = None) -> None:
-        """Write tables, or those of their buckets that are touched, into new folders, then turn the pointer to all of them at once."""
-        now = self._folders()
-        for name, df in self._rooted(changed).items():
-            folder = f"data/{name}-{uuid.uuid4().hex}"
-            rows = df.withColumn("_bucket", self._bucket(F.col(ROOT)))
-            rows.repartition("_bucket").write.partitionBy("_bucket").parquet(f"{self.root}/{folder}")
-            path, fs = self._fs(folder)
-            written = [s.getPath().getName() for s in fs.listStatus(path)]
-            kept = {b: f for b, f in now.get(name, {}).items() if name in (touched or {}) and b not in touched[name]}
-            now[name] = kept | {int(n.split("=")[1]): f"{folder}/{n}" for n in written if n.startswith("_bucket=") and "HIVE" not in n}
-        path, fs = self._fs("pointers")
-        count = len(fs.listStatus(path)) if fs.exists(path) else 0
-        part = f"{self.root}/pointers/_part-{uuid.uuid4().hex}"
-        rows = sorted((name, b, folder) for name, held in now.items() for b, folder in held.items())
-        self.spark.createDataFrame(rows, "table string, bucket int, folder string").coalesce(1).write.json(part)
-        fs.rename(self.spark._jvm.org.apache.hadoop.fs.Path(part), self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/pointers/p={count:08d}"))
-
-    def _without(self, name: str, ids: DataFrame, touched: list[int]) -> DataFrame:
-        return self._stored(name, touched).join(ids.select(F.col("id").alias(ROOT)), ROOT, "left_anti").select(*StructType.fromDDL(TABLES[name].ddl).fieldNames(), ROOT)
-
-    def load(self, source: str, path: str) -> int:
-        """Load one source's file: newest line of each id, parents replaced, all children of the file's ids replaced.
+    def _written(self, name: str, rows: DataFrame) -> dict[int, Layer]:
+        """A new folder of rows with their record's id; returns the bottom layer of each bucket that got some. A bucket is as many files as its size asks for."""
+        folder = folder_name(name)
+        dealt = rows.withColumn("_bucket", self._bucket(F.col(ROOT))).hint("rebalance", "_bucket").sortWithinPartitions("_bucket", ROOT)
+        dealt.write.partitionBy("_bucket").parquet(f"{self.root}/{folder}")
+        found = {n: size for n, size in self.files.sizes(folder).items() if n.startswith("_bucket=") and "HIVE" not in n}
+        return {int(n.split("=")[1]): {"folder": f"{folder}/{n}", "ids": None, "bytes": size} for n, size in found.items()}
+
+    def _grown(self, version: Version, names: list[str], bucket: int) -> bool:
+        """Whether a bucket's layers are too many, or too large beside the bottom, in any of the tables."""
+        for name in names:
+            layers = version.tables.get(name, {}).get(bucket, [])
+            if len(layers) > self.MOST_LAYERS or sum(x["bytes"] for x in layers[1:]) > self.SHARE * sum(x["bytes"] for x in layers[:1]) + (64 << 20):
+                return True
+        return False
+
+    def _replaced(self, change: Change, base: Version, names: list[str], ids: DataFrame, rows: dict[str, DataFrame]) -> tuple[int, str]:
+        """Adds to a change that the rows of some records (column ``id``) in some tables are these; returns the number of records, and the folder of their ids."""
+        told = Observation()
+        mine = ids.select(F.col("id").cast("string").alias(ROOT)).observe(told, F.count("*").alias("n"))
+        held = self._written("ids", mine)
+        n = observed(told)
+        anew = [b for b in held if self._grown(base, names, b)]
+        for name in names:
+            found = rows.get(name)
+            if anew:
+                below = self._stored(name, anew, base).join(mine.select(ROOT), ROOT, "left_anti")
+                found = below if found is None else below.unionByName(found)
+            layers = {} if found is None else self._written(name, found)
+            change.rewrite.setdefault(name, {}).update({b: [layers[b]] if b in layers else [] for b in anew})
+            on_top = {b: {"folder": layers[b]["folder"] if b in layers else None, "ids": held[b]["folder"], "bytes": layers.get(b, held[b])["bytes"]} for b in held if b not in anew}
+            change.append.setdefault(name, {}).update({b: layer for b, layer in on_top.items() if layer["folder"] or base.tables.get(name, {}).get(b)})
+        return n, next(iter(held.values()))["folder"].partition("/_bucket=")[0] if held else ""
+
+    def _commit(self, work: Callable[[Version], Change | None]) -> Change | None:
+        return self.versions.commit(work, self._ddl)
+
+    def replace(self, changed: dict[str, DataFrame], read: set[str] | None = None) -> None:
+        """Replace whole tables, visible at once. ``read``: tables that these rows were made from, which must not have changed meanwhile."""
+        self._commit(lambda base: Change(whole={name: {b: [y] for b, y in self._written(name, df).items()} for name, df in self._rooted(changed).items()}, read=read or set()))
+
+    def load(self, source: str, path: str | list[str], batch: tuple[str, int] | None = None) -> int:
+        """Load one source's file or files: newest line of each id, parents replaced, all children of the file's ids replaced.
 
         Returns the number of records; a missing file loads nothing. Children of strict tables with a null or repeated key raise ``KeyViolation``
         before anything is visible; other children have their list place in the key, and of those that repeat one the first counts.
+        ``batch``: who loads, and the number of its batch; one that was committed already isn't loaded again. The ids of loaded records are kept for publication.
         """
-        if not path_exists(self.spark, path):
+        paths = [p for p in ([path] if isinstance(path, str) else path) if path_exists(self.spark, p)]
+        if not paths:
+            return 0
+        return self.load_lines(source, read_lines(self.spark, paths), batch)
+
+    def load_lines(self, source: str, lines: DataFrame, batch: tuple[str, int] | None = None) -> int:
+        """``load`` of lines (value, _line)."""
+        if batch and self.versions.newest().batches.get(batch[0], -1) >= batch[1]:
             return 0
-        raw = latest_lines(read_lines(self.spark, path), StructType.fromDDL(SOURCES[source])).drop("_line").where("id is not null").persist()
-        ids, n = raw.select("id"), raw.count()
-        touched, new = self._touched(ids), flatten(source, raw)
-        for name, rows in new.items():
-            if TABLES[name].strict:
-                require_keys(rows, TABLES[name].key)
-        changed = {name: self._without(name, ids, touched).unionByName(rows) for name, rows in self._rooted(new).items()}
-        self.replace(changed, dict.fromkeys(changed, touched))
-        raw.unpersist()
-        return n
+        raw = latest_lines(lines, StructType.fromDDL(SOURCES[source])).drop("_line").where("id is not null").persist()
+        try:
+            new, known = flatten(source, raw), self.versions.newest().schemas
+            for name, rows in new.items():
+                evolved(known.get(name, []), self._ddl(name), name)
+                if TABLES[name].strict:
+                    require_keys(rows, TABLES[name].key)
+            new = self._rooted({name: fitted(df, StructType.fromDDL(self._ddl(name))) for name, df in new.items()})
+
+            def work(base: Version) -> Change:
+                change = Change(batch=batch)
+                change.result, folder = self._replaced(change, base, [*new], raw.select("id"), new)
+                change.pending = [[source, folder]] if folder else []
+                return change
+
+            done = self._commit(work)
+        finally:
+            raw.unpersist()
+        return done.result if done else 0
 
     def link(self) -> dict[str, int]:
-        """Rebuild both crosswalks; returns their sizes."""
-        t = self.tables()
+        """Rebuild both crosswalks from one version; returns their sizes. Rebuilt again if what they are made of changes meanwhile."""
+
+        def work(base: Version) -> Change:
+            change, counts = Change(read=LINKED), {}
+            for name, rows in self._linked(base).items():
+                told = Observation()
+                change.whole[name] = {b: [y] for b, y in self._written(name, self._rooted({name: rows.observe(told, F.count("*").alias("n"))})[name]).items()}
+                counts[name] = observed(told)
+            change.result = counts
+            return change
+
+        return self._commit(work).result
+
+    def _linked(self, version: Version) -> dict[str, DataFrame]:
+        t = {name: self.table(name, version) for name in LINKED}
         alter = t["wrestler_attributes"].where("attr_type = 'alter_ego'").select(F.col("wrestler_id").alias("id"), F.col("value").alias("name"), F.lit(False).alias("is_primary"))
         rings = t["b_wrestlers"].where(F.col("name").contains("/")).select("id", F.explode(F.split("name", "/")).alias("name")).where(F.trim("name") != "").withColumn("is_primary", F.lit(True))  # each part is a name in its own right
         past = t["b_wrestler_name_history"].select(F.col("wrestler_id").alias("id"), "name", F.lit(False).alias("is_primary"))
@@ -146,9 +255,7 @@ class Warehouse:
             t["b_wrestlers"].select("id", F.col("birthday").alias("day")),
         )
         slugs = self.spark.createDataFrame(PROMOTION_SLUGS, "promotion string, slug string")
-        found = linkage.title_crosswalk(t["titles"], t["b_titles"].select("id", "name"), slugs)
-        self.replace({"wrestler_crosswalk": people, "title_crosswalk": found})
-        return {name: self.table(name).count() for name in CROSSWALKS}
+        return {"wrestler_crosswalk": people, "title_crosswalk": linkage.title_crosswalk(t["titles"], t["b_titles"].select("id", "name"), slugs)}
 
     def views(self) -> None:
         """Temporary views of linked rows side by side, and of every table."""
@@ -172,34 +279,67 @@ class Warehouse:
         return names
 
     def mirror(self, target: Warehouse) -> dict[str, int]:
-        """All managed tables to another warehouse, visible there at once."""
-        now = self._folders()
+        """All managed tables to another warehouse, visible there at once; rows are counted as they are written."""
+        now = self.versions.newest()
         names = [n for n in TABLES if n not in UNMANAGED]
-        target.replace({n: self._stored(n, None, now) for n in names})
-        return {r.table: r.n for r in target.counts().collect() if r.table in names}
+        told = {n: Observation() for n in names}
+        target.replace({n: self._stored(n, None, now).observe(told[n], F.count("*").alias("n")) for n in names})
+        return {n: observed(told[n]) for n in names}
 
     def mirror_changes(self, target: Warehouse, changes: dict[str, DataFrame]) -> dict[str, int]:
-        """Only the subtrees of the changed ids (``id`` by source), and the crosswalks of changed kinds in full, visible at once. One job counts them."""
-        sent, moved, touched = {}, {}, {}
-        for source, ids in changes.items():
-            mine, theirs = self._touched(ids), target._touched(ids)
-            for name in (n for n, spec in TABLES.items() if spec.source == source):
-                sent[name] = self._stored(name, mine).join(ids.select(F.col("id").alias(ROOT)), ROOT, "left_semi")
-                moved[name] = target._without(name, ids, theirs).unionByName(sent[name])
-                touched[name] = theirs
-        for walk, kinds in CROSSWALKS.items():
-            if {*kinds} & {*changes}:
-                sent[walk] = moved[walk] = self.table(walk)
-        out = {r.table: r.n for r in counted(sent).collect()} if sent else {}
-        if moved:
-            target.replace(moved, touched)
-        return out
+        """Only the subtrees of the changed ids (``id`` by source), and the crosswalks of changed kinds in full, visible at once; rows are counted as they are written."""
+        now = self.versions.newest()
+        counts: dict[str, int] = {}
+
+        def work(base: Version) -> Change:
+            change = Change()
+            for source, ids in changes.items():
+                names = [n for n, spec in TABLES.items() if spec.source == source]
+                mine, told = self._touched(ids), {n: Observation() for n in names}
+                sent = {n: self._stored(n, mine, now).join(ids.select(F.col("id").cast("string").alias(ROOT)), ROOT, "left_semi").observe(told[n], F.count("*").alias("n")) for n in names}
+                target._replaced(change, base, names, ids.select("id").distinct(), sent)
+                counts.update({n: observed(told[n]) for n in names})
+            for walk in (w for w, kinds in CROSSWALKS.items() if {*kinds} & {*changes}):
+                told = Observation()
+                change.whole[walk] = {b: [y] for b, y in target._written(walk, self._stored(walk, None, now).observe(told, F.count("*").alias("n"))).items()}
+                counts[walk] = observed(told)
+            return change
+
+        if changes:
+            target._commit(work)
+        return counts
+
+    def pending(self) -> tuple[list[list[str]], dict[str, DataFrame]]:
+        """The loads whose ids weren't published yet, and their ids by source."""
+        told = self.versions.newest().pending
+        by_source: dict[str, list[str]] = {}
+        for source, folder in told:
+            by_source.setdefault(source, []).append(f"{self.root}/{folder}")
+        return told, {s: self.spark.read.schema(f"{ROOT} string").parquet(*folders).select(F.col(ROOT).alias("id")).distinct() for s, folders in by_source.items()}
+
+    def publish(self, target: Warehouse) -> dict[str, int]:
+        """Mirror what was loaded since the last publication; a load is ticked off once it is visible in the target, in a version of its own."""
+        told, ids = self.pending()
+        if not told:
+            return {}
+        counts = self.mirror_changes(target, ids)
+        self._commit(lambda base: Change(published=told))
+        return counts
+
+    def vacuum(self, keep_seconds: float = 7 * 86400.0, now: float | None = None) -> list[str]:
+        """Remove what no version of the last ``keep_seconds`` names; returns the names of what went."""
+        return self.versions.vacuum(keep_seconds, now)
 
     def clear(self, source: str, ids: DataFrame) -> None:
         """Remove the children of some ids at all levels; the parents stay."""
-        touched = self._touched(ids)
-        rows = {n: self._without(n, ids, touched) for n, spec in TABLES.items() if spec.source == source and spec.parent}
-        self.replace(rows, dict.fromkeys(rows, touched))
+        names = [n for n, spec in TABLES.items() if spec.source == source and spec.parent]
+
+        def work(base: Version) -> Change:
+            change = Change()
+            self._replaced(change, base, names, ids.select("id").distinct(), {})
+            return change
+
+        self._commit(work)
 
     def write_jdbc(self, url: str, properties: dict[str, str], tables: list[str] | None = None, swap: Callable[[list[str]], None] | None = None) -> None:
         """Each table into a staging table, then ``swap`` with the SQL that puts all staging tables into place, for one transaction of the database's."""
@@ -224,9 +364,14 @@ def swap_statements(names: list[str]) -> list[str]:
     return out
 
 
+def fitted(df: DataFrame, schema: StructType) -> DataFrame:
+    """The columns and types of a schema from rows that may lack columns added since (null) or have others (left out)."""
+    return df.select(*((F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields))
+
+
 def conformed(df: DataFrame, name: str) -> DataFrame:
-    """A table's columns and types from rows that may lack columns added since (null) or have others (left out)."""
-    return df.select(*((F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in StructType.fromDDL(TABLES[name].ddl).fields))
+    """``fitted`` to a table of the data model."""
+    return fitted(df, StructType.fromDDL(TABLES[name].ddl))
 
 
 def counted(tables: dict[str, DataFrame]) -> DataFrame:

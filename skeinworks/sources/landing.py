@@ -46,11 +46,12 @@ def read_source(spark: SparkSession, path: str, schema: str | StructType) -> Dat
     return latest_lines(read_lines(spark, path), schema, key=None).drop("_line")
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(value, _line): lines with an ordinal that rises with their place; taken at the scan, before any shuffle."""
-    if not path_exists(spark, path):
+    paths = [p for p in ([path] if isinstance(path, str) else path) if path_exists(spark, p)]
+    if not paths:
         return spark.createDataFrame([], "value string, _line struct<file:string,block:long,at:long>")
-    text = spark.read.text(path)
+    text = spark.read.text(paths)
     return text.select("value", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")).alias("_line"))
 
 

@@ -35,14 +35,15 @@ def publish_changes(spark: SparkSession, warehouse: Warehouse, target: Warehouse
 
 
 def stream_loads(spark: SparkSession, warehouse: Warehouse, source: str, folder: str, checkpoint: str):
-    """Load every file that appears in a folder exactly once; a landing adds files and never appends to one.
+    """Load every file that appears in a folder exactly once; a landing adds files and never appends to one (``tail`` reads growing files).
 
-    Returns the query, which ends when all files there are loaded.
+    A micro-batch is one load. Its number and the query's id stand in the version that it puts, so a batch that is run again after a crash
+    changes nothing, and its ids are pending for publication once. Returns the query, which ends when all files there are loaded.
     """
 
     def one(batch: DataFrame, batch_id: int) -> None:
-        for row in batch.select("path").distinct().orderBy("path").toLocalIterator():
-            warehouse.load(source, row.path)
+        paths = [r.path for r in batch.select("path").distinct().orderBy("path").collect()]  # files of a micro-batch
+        warehouse.load(source, paths, (f"files:{checkpoint}", batch_id))
 
     files = spark.readStream.format("text").option("recursiveFileLookup", "false").load(folder).selectExpr("_metadata.file_path as path")
     return files.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -282,3 +282,59 @@ def test_key_checks(spark):
     with pytest.raises(merge.KeyViolation):
         merge.require_keys(df, ["id"])
     assert merge.require_keys(df.limit(0), ["id"]).count() == 0
+
+
+def test_people_are_linked_as_all_pairs_would_be(spark):
+    """Random people with shared names, aliases and days, against every labelled pair."""
+    import itertools
+    import random
+
+    rng = random.Random(7)
+    days = [f"{d:02d}.04.1981" for d in range(1, 5)]
+    for size in (6, 30, 60):
+        def side(prefix, size=size):
+            return {f"{prefix}{i}": (rng.choice([None, *days]), {(rng.choice("uvw"), rng.random() < 0.6) for _ in range(rng.randint(1, 3))}) for i in range(size)}
+
+        a, b = side("a"), side("b")
+        scored = {}
+        for (i, (x, m)), (j, (y, n)) in itertools.product(a.items(), b.items()):
+            shared = [(p, q) for (k, p), (o, q) in itertools.product(m, n) if k == o]
+            prime = any(p and q for p, q in shared)
+            other = bool(x and y and x != y)
+            if shared and not (other and not prime):
+                scored[i, j] = 1.0 if x and x == y and prime else 0.9 if x and x == y else 0.7 if prime and other else 0.8 if prime else 0.6
+        first = {}
+        for (i, j), s in scored.items():
+            first[i] = min(first.get(i, (0, "")), (-s, j))
+            first[j] = min(first.get(j, (0, "")), (-s, i))
+        want = {(i, j, s) for (i, j), s in scored.items() if first[i][1] == j and first[j][1] == i}
+        an, bn = (spark.createDataFrame([(i, f"{k} name", p) for i, (_, m) in rows_.items() for k, p in m], "id string, name string, is_primary boolean") for rows_ in (a, b))
+        ad = spark.createDataFrame([(i, d) for i, (d, _) in a.items()], "id string, day string")
+        bd = spark.createDataFrame([(i, d and f"April {int(d[:2])}, 1981") for i, (d, _) in b.items()], "id string, day string")
+        assert {(r.a_id, r.b_id, r.confidence) for r in linkage.person_crosswalk(an, bn, ad, bd).collect()} == want
+
+
+def test_one_name_of_many_people_makes_no_pairs(spark):
+    n = 100_000  # ten thousand million pairs
+    ids = spark.range(n).select(F.format_string("%06d", "id").alias("id"), F.lit("Pat Quay").alias("name"), F.lit(True).alias("is_primary"))
+    day = F.expr("date_add(date'1900-01-01', cast(id as int) % 40000)")
+    a_days, b_days = (ids.select("id", F.date_format(day, form).alias("day")) for form in ("dd.MM.yyyy", "MMMM d, yyyy"))
+    got = linkage.person_crosswalk(ids, ids, a_days, b_days)
+    assert [tuple(r) for r in got.groupBy("match_method").count().collect()] == [("name_and_birthday", 40_000)]
+
+
+def test_accents_are_folded_in_the_jvm(spark):
+    import unicodedata
+
+    def plain(x):
+        return unicodedata.normalize("NFC", "".join(c for c in unicodedata.normalize("NFD", x) if unicodedata.category(c)[0] != "M"))
+
+    texts = ["Éé Ñandú Øre", "éx̣y", "Ǻ ẞ ﬁ Ⅳ", "한글 漢字 ά ώ й", "".join(map(chr, range(0xC0, 0x250))), "".join(map(chr, range(0x1E00, 0x2000))), "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    assert [r.y for r in df.select(T.strip_accents(F.col("x")).alias("y")).collect()] == [t and plain(t) for t in texts]
+    assert T.register_sql(spark) == ["strip_accents", "norm_name", "fuzzy_key"]
+    df.createOrReplaceTempView("accents")
+    told = spark.sql("select x, strip_accents(x) as bare, norm_name(x) as n, fuzzy_key('wwe title x') as f from accents")
+    assert [(r.bare, r.n, r.f) for r in told.collect()] == [tuple(r) for r in df.select(T.strip_accents(F.col("x")), T.norm_name(F.col("x")), F.lit("x")).collect()]
+    people = linkage.person_crosswalk(*(df.select(F.col("x").alias("id"), F.col("x").alias("name"), F.lit(True).alias("is_primary")) for _ in "ab"), *(df.select(F.col("x").alias("id"), F.lit("1.1.2000").alias("day")) for _ in "ab"))
+    assert "Python" not in people._jdf.queryExecution().toString() and "Python" not in told._jdf.queryExecution().toString()
