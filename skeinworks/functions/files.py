@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import re
+import tempfile
 import uuid
 from urllib.parse import urlparse
 
@@ -10,6 +12,14 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder that the driver and all executors see: under ``spark.checkpoint.dir``, or a temporary one where executors are this process."""
+    told = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not told and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"{told or tempfile.mkdtemp(prefix='skeinworks-')}/{uuid.uuid4().hex}"
+
+
 class Files:
     """Names are relative to ``root``, a path or address."""
 

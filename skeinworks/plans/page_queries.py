@@ -14,11 +14,12 @@ from pyspark.sql.types import StructType
 
 from skeinworks.functions import dom
 from skeinworks.functions import text as T
+from skeinworks.functions.files import shared_folder
 from skeinworks.operators import linkage, merge, nested
 from skeinworks.plans import flatten
 from skeinworks.plans.queries import Tables, query
 from skeinworks.plans.schemas import SOURCES
-from skeinworks.sources import landing, pages
+from skeinworks.sources import landing, pages, tail
 
 _A, _B = "https://a.example", "https://b.example"
 _KINDS = pages.extractors(_A, _B)
@@ -61,6 +62,18 @@ def landed_newest(t):
     return rows.select("id", "name", "votes", F.col("name_history")[0]["name"].alias("past"))
 
 
+@query(f"SELECT CASE WHEN o_orderkey % 3 = 0 THEN 2 ELSE 1 END AS night, o_custkey::VARCHAR AS id, o_orderkey::INT AS votes FROM orders WHERE {_GOOD}")
+def tail_nights(t):
+    """Two nights' lines of a growing folder, each read from where the night before ended."""
+    folder, at, out = shared_folder(t.spark), None, None
+    for night in (1, 2):
+        _lines(t).where((F.col("_line.at") % 3 == 0) == (night == 2)).select("value").write.mode("append").text(folder)
+        new, at = tail.tail(t.spark, folder, at)
+        rows = landing.latest_lines(new, StructType.fromDDL("id string, votes int"), key=None).select(F.lit(night).alias("night"), "id", "votes")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query("SELECT count(*) AS n FROM orders WHERE o_orderkey % 17 = 0 AND o_orderkey % 19 <> 0")
 def landed_corrupt(t):
     return landing.corrupt_lines(_lines(t)).agg(F.count("*").alias("n"))

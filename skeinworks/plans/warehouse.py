@@ -15,6 +15,7 @@ from skeinworks.plans.flatten import flatten
 from skeinworks.plans.schemas import SOURCES, TABLES, UNMANAGED
 from skeinworks.plans.versions import Change, Layer, Version, Versions, evolved, folder_name
 from skeinworks.sources.landing import latest_lines, path_exists, read_lines
+from skeinworks.sources.tail import NOTHING, tail
 
 #: Promotions whose titles both sources have.
 PROMOTION_SLUGS = [("1", "wwe"), ("2287", "aew")]
@@ -205,9 +206,16 @@ class Warehouse:
             return 0
         return self.load_lines(source, read_lines(self.spark, paths), batch)
 
-    def load_lines(self, source: str, lines: DataFrame, batch: tuple[str, int] | None = None) -> int:
+    def load_tail(self, source: str, path: str, check: str = "edges") -> int:
+        """``load`` of the lines that were appended to a file, or to a folder's files, since the last call; how far was read is committed with them."""
+        writer = f"tail:{source}:{path}"
+        start = self.versions.newest().offsets.get(writer, {})
+        lines, end = tail(self.spark, path, start, check)
+        return 0 if end == (start or NOTHING) else self.load_lines(source, lines, offset=(writer, start, end))
+
+    def load_lines(self, source: str, lines: DataFrame, batch: tuple[str, int] | None = None, offset: tuple[str, dict, dict] | None = None) -> int:
         """``load`` of lines (value, _line)."""
-        if batch and self.versions.newest().batches.get(batch[0], -1) >= batch[1]:
+        if Change(batch=batch, offset=offset).done(self.versions.newest()):
             return 0
         raw = latest_lines(lines, StructType.fromDDL(SOURCES[source])).drop("_line").where("id is not null").persist()
         try:
@@ -219,7 +227,7 @@ class Warehouse:
             new = self._rooted({name: fitted(df, StructType.fromDDL(self._ddl(name))) for name, df in new.items()})
 
             def work(base: Version) -> Change:
-                change = Change(batch=batch)
+                change = Change(batch=batch, offset=offset)
                 change.result, folder = self._replaced(change, base, [*new], raw.select("id"), new)
                 change.pending = [[source, folder]] if folder else []
                 return change
@@ -315,7 +323,7 @@ class Warehouse:
         by_source: dict[str, list[str]] = {}
         for source, folder in told:
             by_source.setdefault(source, []).append(f"{self.root}/{folder}")
-        return told, {s: self.spark.read.schema(f"{ROOT} string").parquet(*folders).select(F.col(ROOT).alias("id")).distinct() for s, folders in by_source.items()}
+        return told, {s: self.spark.read.schema(f"{ROOT} string").option("recursiveFileLookup", "true").parquet(*folders).select(F.col(ROOT).alias("id")).distinct() for s, folders in by_source.items()}
 
     def publish(self, target: Warehouse) -> dict[str, int]:
         """Mirror what was loaded since the last publication; a load is ticked off once it is visible in the target, in a version of its own."""

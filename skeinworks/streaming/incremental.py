@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from skeinworks.plans.warehouse import Warehouse
 from skeinworks.sources.landing import Cursor, Manifest, ids_in, line_mark, read_lines
+from skeinworks.sources.tail import as_lines, register
 
 
 def nightly(spark: SparkSession, warehouse: Warehouse, files: dict[str, str], cursor: Cursor, manifest: Manifest) -> dict[str, int]:
@@ -22,6 +23,14 @@ def nightly(spark: SparkSession, warehouse: Warehouse, files: dict[str, str], cu
     return loaded
 
 
+def nightly_tails(warehouse: Warehouse, files: dict[str, str]) -> dict[str, int]:
+    """Load what was appended to each source's file, and link if anything was. A file costs what it grew by; what was loaded waits for ``Warehouse.publish``."""
+    loaded = {s: n for s, path in files.items() if (n := warehouse.load_tail(s, path))}
+    if loaded:
+        warehouse.link()
+    return loaded
+
+
 def publish_changes(spark: SparkSession, warehouse: Warehouse, target: Warehouse, manifest: Manifest) -> dict[str, int]:
     """Mirror the recorded ids' subtrees; the record is cleared once they are visible."""
     parts = manifest.parts()
@@ -47,3 +56,13 @@ def stream_loads(spark: SparkSession, warehouse: Warehouse, source: str, folder:
 
     files = spark.readStream.format("text").option("recursiveFileLookup", "false").load(folder).selectExpr("_metadata.file_path as path")
     return files.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def stream_tail(spark: SparkSession, warehouse: Warehouse, source: str, path: str, checkpoint: str, check: str = "edges"):
+    """Load lines as they are appended to files, each exactly once; returns the query, which ends when all whole lines there are loaded."""
+
+    def one(batch: DataFrame, batch_id: int) -> None:
+        warehouse.load_lines(source, as_lines(batch), (f"tail:{checkpoint}", batch_id))
+
+    rows = spark.readStream.format(register(spark)).options(path=path, check=check).load()
+    return rows.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
