@@ -3,12 +3,12 @@
 A rollup keeps additive totals of documents and tokens by source, language and tokenizer version. Batches carry signed
 changes: an insert adds a document's count, a delete takes it away, a revision takes the old count away and adds the
 new one. A batch is counted on executors, summed by key (with map-side combining, so a source with most rows is no hot
-task) and committed once by its batch id: its deltas are written to a folder of their own, of which the success marker
-is the commit. Committing an id again changes nothing, and a batch that died half-way is overwritten.
+task), and its deltas are written to a folder of their own. The commit is a small file under the batch's id that can be put only once, so of
+several writers of one id one counts, and a batch that died half-way is no batch. Committing an id again changes nothing.
 
-Totals are maintained: ``compact`` adds the batches since the last snapshot to its totals and writes a new snapshot, whose
-success marker is its commit and which also holds the ids that it contains. A reader takes the newest whole snapshot and the batches that it
-doesn't contain, so that a compaction that died leaves nothing counted twice; the folders that a snapshot replaces are removed after it.
+Totals are maintained: ``compact`` adds the batches since the last snapshot to its totals, and puts a new snapshot with the ids that it adds. A
+reader takes the newest snapshot and the batches that no snapshot contains. What a snapshot replaces stays until ``vacuum`` finds it replaced long enough ago,
+so that totals read before a compaction can still be collected after it.
 
 Defined cases: null texts have no tokens but count as documents; null sources and languages are keys of their own;
 repeated rows count each; keys whose documents and tokens sum to nought are left out of the totals; extra columns are
@@ -17,7 +17,9 @@ ignored; a row whose sign is null is ignored; an empty batch is committed and ch
 
 from __future__ import annotations
 
+import json
 import re
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -25,14 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skeinworks.functions.files import Files
 from skeinworks.llm.common import Scratch, shared_dir
 from skeinworks.llm.tokens import Encoder, default_tokenizer
 
 KEY = ["source", "lang", "tokenizer"]
 FORM = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
-SNAPSHOT_COLUMNS = [*KEY, "n_docs", "n_tokens", "batch"]
-#: A snapshot's rows are totals (no batch) or the ids of the batches in them.
-SNAPSHOT = f"{FORM}, batch string"
 WORDS = "words-1"
 BPE = "byte-bpe-50k-1"
 
@@ -63,64 +63,67 @@ def deltas(changes: DataFrame, versions: dict[str, str | None]) -> DataFrame:
 class TokenRollup:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-
-    def _path(self, name: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _whole(self, kind: str) -> list[str]:
-        """What follows ``kind=`` in the names of the folders that have their success marker."""
-        path, fs = self._path("")
-        if not fs.exists(path):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(path)]
-        return sorted(n.removeprefix(f"{kind}=") for n in names if n.startswith(f"{kind}=") and fs.exists(self._path(f"{n}/_SUCCESS")[0]))
-
-    def _snapshot(self) -> tuple[str | None, set[str]]:
-        """The newest snapshot and the batch ids that it contains."""
-        found = self._whole("snapshot")
-        if not found:
-            return None, set()
-        rows = self.spark.read.schema(SNAPSHOT).parquet(f"{self.root}/snapshot={found[-1]}").where("batch is not null").select("batch")
-        return found[-1], {r.batch for r in rows.collect()}  # an id a batch
+        self.files = Files(spark, self.root)
+
+    def _put(self, name: str, rows: DataFrame, **more) -> bool:
+        """Write rows to a new folder, then its name under ``name`` unless somebody was first; then the folder goes."""
+        folder = f"data/{uuid.uuid4().hex}"
+        rows.write.parquet(f"{self.root}/{folder}")
+        if self.files.put_if_absent(name, json.dumps({"folder": folder, **more})):
+            return True
+        self.files.delete(folder)
+        return False
+
+    def _told(self, kind: str) -> dict[str, dict]:
+        """What was put: batches by id, snapshots by number."""
+        names = sorted(n for n in self.files.names(kind) if n.endswith(".json") and not n.startswith("."))
+        return {n.removesuffix(".json"): json.loads(self.files.read(f"{kind}/{n}")) for n in names}
+
+    def _state(self) -> tuple[str | None, dict[str, str], int]:
+        """The newest snapshot's folder, the folders of the batches that no snapshot contains, and the number of snapshots. Snapshots are
+        looked at first: a batch put meanwhile is in neither, and is one that came later."""
+        snapshots = self._told("snapshots")
+        held = {i for s in snapshots.values() for i in s["ids"]}
+        batches = {n.removesuffix(".json") for n in self.files.names("batches") if n.endswith(".json") and not n.startswith(".")}
+        folders = {i: json.loads(self.files.read(f"batches/{i}.json"))["folder"] for i in sorted(batches - held)}
+        return (snapshots[max(snapshots)]["folder"] if snapshots else None), folders, len(snapshots)
 
     def committed(self) -> list[str]:
-        return sorted(self._snapshot()[1] | set(self._whole("batch")))
+        return sorted(n.removesuffix(".json") for n in self.files.names("batches") if n.endswith(".json") and not n.startswith("."))
 
     def commit(self, batch_id: str, changes: DataFrame, versions: dict[str, str | None]) -> bool:
-        """Apply a batch of signed rows; False if that id is committed already."""
-        if not re.fullmatch(r"[\w.-]+", batch_id):
+        """Apply a batch of signed rows; False if that id is committed already, by whomever."""
+        if not re.fullmatch(r"\w[\w.-]*", batch_id):
             raise ValueError(f"not a batch id: {batch_id!r}")
-        if batch_id in self.committed():
-            return False
-        deltas(changes, versions).write.mode("overwrite").parquet(f"{self.root}/batch={batch_id}")
-        return True
+        return not self.files.exists(f"batches/{batch_id}.json") and self._put(f"batches/{batch_id}.json", deltas(changes, versions))
 
-    def _sum(self, snapshot: str | None, batches: list[str]) -> DataFrame:
-        paths = [f"{self.root}/batch={b}" for b in batches]
+    def _sum(self, snapshot: str | None, batches: dict[str, str]) -> DataFrame:
+        paths = [f"{self.root}/{f}" for f in [*([snapshot] if snapshot else []), *batches.values()]]
         rows = self.spark.read.schema(FORM).parquet(*paths) if paths else self.spark.createDataFrame([], FORM)
-        if snapshot:
-            rows = rows.unionByName(self.spark.read.schema(SNAPSHOT).parquet(f"{self.root}/snapshot={snapshot}").where("batch is null").drop("batch"))
         out = rows.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
         return out.where("n_docs <> 0 or n_tokens <> 0")
 
     def totals(self) -> DataFrame:
-        snapshot, held = self._snapshot()
-        return self._sum(snapshot, [b for b in self._whole("batch") if b not in held])
-
-    def compact(self) -> None:
-        """A new snapshot of the totals and of all batch ids; the older snapshots and the batches in it are removed."""
-        snapshot, held = self._snapshot()
-        batches = self._whole("batch")
-        if not batches:
-            return
-        ids = self.spark.createDataFrame([(b,) for b in sorted(held | set(batches))], "batch string")
-        rows = self._sum(snapshot, [b for b in batches if b not in held]).unionByName(ids, allowMissingColumns=True)
-        name = f"{int(snapshot or 0) + 1:012d}"
-        rows.select(*SNAPSHOT_COLUMNS).write.mode("overwrite").parquet(f"{self.root}/snapshot={name}")
-        for old in [f"snapshot={x}" for x in self._whole("snapshot") if x < name] + [f"batch={b}" for b in batches]:
-            path, fs = self._path(old)
-            fs.delete(path, True)
+        return self._sum(*self._state()[:2])
+
+    def compact(self) -> bool:
+        """A new snapshot of the totals; False if there is nothing to add, or another compaction was first."""
+        snapshot, batches, count = self._state()
+        return bool(batches) and self._put(f"snapshots/{count + 1:012d}.json", self._sum(snapshot, batches), ids=sorted(batches))
+
+    def vacuum(self, keep_seconds: float = 7 * 86400.0, now: float | None = None) -> list[str]:
+        """Remove the folders that snapshots replaced so long ago, and folders as old that nobody put; returns their names."""
+        oldest = ((time.time() if now is None else now) - keep_seconds) * 1000
+        times, snapshots, batches = self.files.names("snapshots"), self._told("snapshots"), self._told("batches")
+        kept, before = {x["folder"] for x in (*snapshots.values(), *batches.values())}, None
+        for n in sorted(snapshots):
+            if times[f"{n}.json"] < oldest:
+                kept -= {batches[i]["folder"] for i in snapshots[n]["ids"]} | ({snapshots[before]["folder"]} if before else set())
+            before = n
+        gone = [f"data/{n}" for n, at in self.files.names("data").items() if at < oldest and f"data/{n}" not in kept]
+        for name in gone:
+            self.files.delete(name)
+        return gone
 
 
 def inserts(docs: DataFrame, sign: int = 1) -> DataFrame:
@@ -135,23 +138,29 @@ def revisions(old: DataFrame, new: DataFrame) -> DataFrame:
 def rollup_documents(docs: DataFrame, root: str | None = None, tokenizer: str | None = None) -> DataFrame:
     """The token counts of all documents under word counts and a byte-pair tokenizer, maintained through a whole life:
 
-    all documents are inserted as drafts (white space collapsed), the same batch is replayed, all counts are revised to the final texts, later
+    all documents are inserted as drafts (white space collapsed), the same batch is replayed, those that the final texts change are revised, later
     copies of a text are deleted and, as they belong to the table, inserted again. Between the batches the totals are compacted. The end
-    is the counts of the table as it is. ``root`` holds the rollup; without one each call keeps its own, as another call may see other rows.
+    is the counts of the table as it is. ``root`` holds the rollup; without one it is made for the call and goes at its end.
     """
     spark = docs.sparkSession
     rollup = TokenRollup(spark, root or f"{shared_dir(spark)}/token-rollup-{uuid.uuid4().hex}")
     versions = {WORDS: None, BPE: tokenizer or default_tokenizer()}
     rows = docs.select("doc_id", "text", "source", "lang")
-    drafts = rows.withColumn("text", F.trim(F.regexp_replace("text", r"\s+", " ")))
-    rollup.commit("drafts", inserts(drafts), versions)
-    rollup.commit("drafts", inserts(drafts), versions)
+    draft = F.trim(F.regexp_replace("text", r"\s+", " "))
+    drafts = inserts(rows.withColumn("text", draft))
+    rollup.commit("drafts", drafts, versions)
+    rollup.commit("drafts", drafts, versions)
     rollup.compact()
-    rollup.commit("final", revisions(drafts, rows), versions)
+    changed = rows.where(~draft.eqNullSafe(F.col("text")))
+    rollup.commit("final", revisions(changed.withColumn("text", draft), changed), versions)
     hashed = rows.withColumn("hash", F.unhex(F.md5(F.col("text").cast("binary"))))
     first = hashed.where("hash is not null").groupBy("hash").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
     copies = Scratch(spark, "copies").write(hashed.join(first, "hash").where("doc_id > first").select("text", "source", "lang"), "copies")
     rollup.commit("copies", inserts(copies, -1), versions)
     rollup.compact()
     rollup.commit("copies-again", inserts(copies), versions)
-    return rollup.totals()
+    if root:
+        return rollup.totals()
+    out = Scratch(spark, "token-totals").write(rollup.totals(), "totals")
+    rollup.files.delete()
+    return out

@@ -455,20 +455,43 @@ def test_rollup(spark, tmp_path):
     rollup.commit("b3", token_rollup.revisions(df.where("doc_id = 1"), df.where("doc_id = 1").withColumn("text", F.lit("x y z"))), versions)
     assert totals() == {("s0", 1, 0), ("s1", 2, 5)}
     rollup.compact()
-    assert totals() == {("s0", 1, 0), ("s1", 2, 5)} and rollup.committed() == ["b1", "b2", "b3"] and rollup._whole("batch") == []
+    assert totals() == {("s0", 1, 0), ("s1", 2, 5)} and rollup.committed() == ["b1", "b2", "b3"] and rollup._state()[1] == {}
     assert not rollup.commit("b1", token_rollup.inserts(df), versions)  # an id in a snapshot is committed
     rollup.commit("b4", token_rollup.inserts(df.limit(0)), versions)
     rollup.commit("b5", token_rollup.inserts(df.where("doc_id = 3"), -1).withColumn("sign", F.when(F.col("text").isNotNull(), F.col("sign"))), versions)
-    half = tmp_path / "r" / "batch=dead"
-    half.mkdir()  # a batch without its success marker
+    token_rollup.deltas(token_rollup.inserts(df), versions).write.parquet(f"{rollup.root}/data/dead")  # a batch that was never put
+    before = rollup.totals()
     assert totals() == {("s0", 1, 0), ("s1", 1, 3)}
-    rollup.compact()
-    rollup.compact()
-    assert totals() == {("s0", 1, 0), ("s1", 1, 3)} and len(rollup._whole("snapshot")) == 1
+    assert rollup.compact() and not rollup.compact()
+    assert rollup.vacuum(3600) == [] and {(r.source, r.n_docs, r.n_tokens) for r in before.collect()} == totals() == {("s0", 1, 0), ("s1", 1, 3)}
+    assert "data/dead" in rollup.vacuum(0, now=2e9) and len(rollup.files.names("data")) == 1 and totals() == {("s0", 1, 0), ("s1", 1, 3)}
+    assert not rollup.commit("b5", token_rollup.inserts(df), versions)
     with pytest.raises(ValueError):
         rollup.commit("a/b", token_rollup.inserts(df), versions)
 
 
+def test_writers_of_one_batch_and_of_one_snapshot_at_once(spark, tmp_path):
+    """Both look before either puts: one counts."""
+    from threading import Barrier, Thread
+
+    root, versions, won, met = str(tmp_path / "r"), {token_rollup.WORDS: None}, [], Barrier(2)
+
+    class Slow(token_rollup.TokenRollup):
+        def _put(self, name, rows, **more):
+            met.wait(60)
+            return super()._put(name, rows, **more)
+
+    df = documents(spark, ["a b"])
+    for act in (lambda r: r.commit("b", token_rollup.inserts(df), versions), lambda r: r.compact()):
+        threads = [Thread(target=lambda act=act: won.append(act(Slow(spark, root)))) for _ in range(2)]
+        for t in threads:
+            t.start()
+        for t in threads:
+            t.join()
+        assert [(r.n_docs, r.n_tokens) for r in token_rollup.TokenRollup(spark, root).totals().collect()] == [(1, 2)]
+    assert sorted(won) == [False, False, True, True]
+
+
 def test_rollup_of_documents_through_deletes_and_revisions(spark):
     e, want = Encoder.of(default_tokenizer()), Counter()
     texts = [*AWKWARD, "two  spaces here ", P, "two  spaces here "]
