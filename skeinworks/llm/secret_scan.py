@@ -5,11 +5,12 @@ models (first order, backed off to single characters), one of random strings and
 token of a secret's alphabet from ``SHORTEST`` characters on by its log-likelihood ratio. The ratio is a sum over the token, so a
 short one must be stranger than a long one; what its letters are doesn't matter otherwise.
 
-Both models are trained from labelled samples: the values that the rules found in a bounded sample of different texts (``SAMPLE_DOCS``
-expected) against the other tokens there (different ones, ``TOKENS`` expected). A quarter of the labelled tokens is
-held back to fit the threshold: the least ratio that so few ordinary tokens exceed (``FALSE_SHARE``), and at least the odds against
-a secret in the sample. The share of held-back secrets that pass it (rules off), and what share of all that pass are
-secrets, stand in ``MarkovPair.report``. Without labelled secrets nothing is added.
+Both models are trained from labelled samples: the values that the rules found in all texts against the other tokens of
+a bounded sample of different texts (``SAMPLE_DOCS`` expected). A token's shape is which sorts of characters it has (small letters, capitals, digits, others; letters of both cases count as one sort with digits). Of each sort of label
+and each shape some ``TOKENS`` different tokens are taken by hash, so that rare shapes, as shouted words are, stand beside the common ones. A quarter of the labelled tokens is
+held back to fit a threshold for each shape: the least ratio that so few ordinary tokens of that shape exceed (``FALSE_SHARE``), and at least the odds against
+a secret there. A shape that no labelled secret has is never a secret: nothing is known of secrets that look so. The share of held-back secrets that pass (rules off), and what share of all that pass are
+secrets, stand in ``MarkovPair.report``, for the held-back tokens alone. Without labelled secrets nothing is added.
 
 Offsets are code points, ends exclusive. Defined cases: a null text is empty; an empty text has no spans; repeated
 rows are scanned alike; extra columns are ignored; of equal tokens with both labels the secret counts. Added spans never replace a
@@ -33,8 +34,8 @@ from pyspark.sql import functions as F
 from skeinworks.llm.common import Scratch, lean
 
 KINDS = ("assign", "access", "hex", "markov")
-#: Bounds of the training sample (texts and ordinary tokens, both expected), the length from which a token is scored, and the share of ordinary tokens that may pass.
-SAMPLE_DOCS, TOKENS, SHORTEST, FALSE_SHARE = 2000, 200_000, 10, 1e-4
+#: Bounds of the training sample (texts, and tokens of a label and shape, both expected), the length from which a token is scored, and the share of ordinary tokens that may pass.
+SAMPLE_DOCS, TOKENS, SHORTEST, FALSE_SHARE = 20_000, 20_000, 10, 1e-4
 #: Scores that a task remembers.
 MEMO = 100_000
 _ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -69,14 +70,24 @@ def rule_spans(text: str | None) -> list[tuple[int, int, str]]:
     return sorted(out, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
+_SORTS = ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]")
+
+
+def shape(token: str) -> str:
+    """Which sorts of characters a token has. Beside letters of both cases digits make no difference: without them too it is unlike a word."""
+    found = "".join("01"[bool(re.search(sort, token))] for sort in _SORTS)
+    return f"111{found[3]}" if found[:2] == "11" else found
+
+
 class MarkovPair:
-    """log P(token | random) - log P(token | ordinary) by two first-order models, and the threshold from which a token is a secret."""
+    """log P(token | random) - log P(token | ordinary) by two first-order models, and the threshold from which a token of a shape is a secret."""
 
     #: Characters of a secret's alphabet, and the weight of single characters against pairs.
     SIZE, BACK = 67, 8.0
 
     def __init__(self, secrets: list[str], ordinary: list[str]):
-        self.threshold, self.report = math.inf, {"secrets": len(secrets), "ordinary": len(ordinary), "recall": 0.0, "precision": 0.0}
+        self.thresholds: dict[str, float] = {}
+        self.report = {"secrets": len(secrets), "ordinary": len(ordinary), "recall": 0.0, "precision": 0.0}
         fit, held = zip(*(self._halves(x) for x in (secrets, ordinary)), strict=True)
         if not fit[0] or not held[0]:
             self.ratio: dict[str, float] = {}
@@ -84,13 +95,16 @@ class MarkovPair:
         p1, p0 = (self._model(x) for x in fit)
         alphabet = sorted({c for x in fit for s in x for c in s})
         self.ratio = {c + d: math.log(p1(c, d)) - math.log(p0(c, d)) for c in ["^", *alphabet] for d in alphabet}
-        good, bad = ([self.score(t) for t in x] for x in held)
-        bad.sort()
-        odds = math.log(max(len(ordinary), 1) / len(secrets))
-        place = math.ceil((1 - FALSE_SHARE) * len(bad)) - 1
-        self.threshold = max(odds, bad[place] if bad else 0.0, 0.0)
-        caught, wrong = sum(x > self.threshold for x in good), sum(x > self.threshold for x in bad)
-        self.report |= {"recall": caught / len(good), "precision": caught / max(caught + wrong, 1)}
+        by_shape: dict[str, list[float]] = {}
+        for t in held[1]:
+            by_shape.setdefault(shape(t), []).append(self.score(t))
+        common = Counter(map(shape, ordinary))
+        for kind, n in Counter(map(shape, secrets)).items():
+            bad = sorted(by_shape.get(kind, ()))
+            place = math.ceil((1 - FALSE_SHARE) * len(bad)) - 1
+            self.thresholds[kind] = max(math.log(max(common[kind], 1) / n), bad[place] if bad else 0.0, 0.0)
+        caught, wrong = (sum(map(self.secret, x)) for x in held)
+        self.report |= {"recall": caught / len(held[0]), "precision": caught / max(caught + wrong, 1)}
 
     @staticmethod
     def _halves(tokens: list[str]) -> tuple[list[str], list[str]]:
@@ -117,34 +131,35 @@ class MarkovPair:
         return sum(get(c + d, 0.0) for c, d in zip(f"^{token}", token, strict=False))
 
     def secret(self, token: str) -> bool:
-        return self.score(token) > self.threshold
+        return self.score(token) > self.thresholds.get(shape(token), math.inf)
 
 
 def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tokens of each text: the values that the rules found (1) and all others (0)."""
+    """Tokens of each text: the values that the rules found (1), and of the sample's texts all others (0)."""
     for batch in batches:
         out: dict[str, int] = {}
-        for text in batch.column(0).to_pylist():
+        for text, picked in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             spans = rule_spans(text)
             for a, b, kind in spans:
                 m = _ASSIGN.match(text, a) if kind == "assign" else None
                 out[m[1] if m else text[a:b]] = 1
-            for m in _TOKEN.finditer(text):
+            for m in _TOKEN.finditer(text) if picked else ():
                 if not any(a < m.end() and m.start() < b for a, b, _ in spans):
                     out.setdefault(m[0], 0)
         yield pa.RecordBatch.from_arrays([pa.array(out.keys(), pa.string()), pa.array(out.values(), pa.int32())], names=["token", "label"])
 
 
 def train(docs: DataFrame, sample: int = SAMPLE_DOCS, tokens: int = TOKENS) -> MarkovPair:
-    """Both models and the threshold, from a bounded hash sample of different texts, read whole and labelled by the rules."""
+    """Both models and the thresholds, from the rules' values in all texts and the other tokens of a hash sample of different texts, read whole."""
     texts = docs.select("text").where("length(text) > 0").withColumn("hash", F.xxhash64("text"))
     rate = min(1.0, sample / max(texts.agg(F.approx_count_distinct("hash")).first()[0], 1))
     place = F.pmod(F.xxhash64("hash"), F.lit(1_000_000_007)) / F.lit(1_000_000_007.0)
-    picked = texts.where(place < rate).groupBy("hash").agg(F.min("text").alias("text")).select("text")
-    found = picked.mapInArrow(_labelled, "token string, label int").groupBy("token").agg(F.max("label").alias("label"))
-    found = Scratch(docs.sparkSession, "secrets").write(found, "tokens")
-    share = min(1.0, tokens / max(found.count(), 1))
-    kept = found.where(F.pmod(F.xxhash64("token"), F.lit(1_000_000_007)) / F.lit(1_000_000_007.0) < share).select("label", "token")
+    found = texts.select("text", (place < rate).alias("picked")).mapInArrow(lean(_labelled), "token string, label int").groupBy("token").agg(F.max("label").alias("label"))
+    kind = F.concat(*(F.col("token").rlike(sort).cast("int").cast("string") for sort in _SORTS))
+    kind = F.when(kind.startswith("11"), F.concat(F.lit("111"), F.substring(kind, 4, 1))).otherwise(kind)
+    found = Scratch(docs.sparkSession, "secrets").write(found.withColumn("shape", kind), "tokens")
+    shares = found.groupBy("label", "shape").agg(F.least(F.lit(1.0), tokens / F.count("*")).alias("share"))  # two labels, 15 shapes
+    kept = found.join(F.broadcast(shares), ["label", "shape"]).where(F.pmod(F.xxhash64("token"), F.lit(1_000_000_007)) / F.lit(1_000_000_007.0) < F.col("share")).select("label", "token")
     rows = sorted((r.token, r.label) for r in kept.toLocalIterator())
     return MarkovPair([t for t, x in rows if x], [t for t, x in rows if not x])
 
