@@ -13,10 +13,10 @@ The steps, each a DataFrame stage written to the shared folder:
    to their first place and their number, with map-side combining, so a passage that a third of all documents hold is
    one row. Where an anchor has more than ``SEGMENTS_A_GROUP`` different segments, these are cut further at the next
    smallest gram hash, again and again until no group is larger: no group is copied, capped or held by one task.
-3. Segments are dealt into shards by anchor. A shard *confirms* recurring passages by comparing words: the windows that
-   stand at several places. It *compiles* these into an Aho-Corasick automaton over an alphabet of words, and *streams*
-   all its segments through it. Each match is an occurrence and brings the passage's first place; unless it is that
-   place, the words are removed.
+3. Segments are dealt into shards by anchor: a document streams past an automaton as those of its segments that can match there, as no document can
+   pass all automata. A shard *confirms* recurring passages, first by counts of windows, then word by word to the longest runs that always stand
+   together. It *compiles* these into an Aho-Corasick automaton over an alphabet of words, and *streams* all its segments through it. The matches alone
+   tell where passages stand and which place is a passage's first; at all others the words are removed.
 4. What was found in a segment holds for all its places, which get it by a join on the segment.
 
 Defined cases: a null text has no words; a null id sorts after all others; rows with the same text collapse before
@@ -28,7 +28,9 @@ word neither is earlier). Extra columns are ignored; an empty table gives no row
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -244,8 +246,59 @@ def _flat_runs(at: list[int]) -> list[int]:
     return out
 
 
+def _passages(coded: list[str], often: list[int], window: int) -> set[str]:
+    """The maximal recurring passages of some lines (two letters a word; ``often``: how many equal lines one stands for).
+
+    Windows are counted first. Of those that recur, two that follow each other belong to one passage if neither ever stands without the other:
+    wherever a passage begins, the whole of it stands, and each recurring window is in exactly one passage.
+    """
+    size, count = 2 * window, Counter()
+    for line, n in zip(coded, often, strict=True):
+        if len(line) >= size:
+            held = Counter(line[i : i + size] for i in range(0, len(line) - size + 1, 2))
+            count.update(held if n == 1 else {w: 2 * k for w, k in held.items()})
+    after: dict[str, str | None] = {}
+    before: dict[str, str | None] = {}
+
+    def beside(known: dict[str, str | None], w: str, other: str | None) -> None:
+        if known.setdefault(w, other) != other:
+            known[w] = None
+
+    runs: list[list[str]] = []
+    for line in coded:
+        run: list[str] = []
+        for i in range(0, len(line) - size + 1, 2):
+            w = line[i : i + size]
+            if count[w] > 1:
+                run.append(w)
+            elif run:
+                runs.append(run)
+                run = []
+        if run:
+            runs.append(run)
+    for run in runs:
+        for x, y in itertools.pairwise([None, *run, None]):
+            if x is not None:
+                beside(after, x, y)
+            if y is not None:
+                beside(before, y, x)
+    out: set[str] = set()
+    for run in runs:
+        first = 0
+        for i in range(1, len(run) + 1):
+            if i == len(run) or after[run[i - 1]] != run[i] or before[run[i]] != run[i - 1]:
+                out.add(run[first] + "".join([w[-2:] for w in run[first + 1 : i]]))
+                first = i
+    return out
+
+
+def _matches(automaton, line: str) -> Iterator[tuple[int, str]]:
+    """Where passages begin in a line, in words."""
+    return (((end + 1 - len(passage)) // 2, passage) for end, passage in automaton.iter(line))
+
+
 def _located(held: list[tuple], window: int) -> Iterator[tuple]:
-    """Confirms, compiles and streams the segments of some whole groups."""
+    """Confirms the passages of some whole groups, compiles them, and streams the segments past the automaton: its matches are all that tells where they stand."""
     import ahocorasick
 
     numbers: dict[bytes, int] = {}
@@ -254,32 +307,25 @@ def _located(held: list[tuple], window: int) -> Iterator[tuple]:
     base = math.isqrt(len(numbers)) + 1
     letters = [chr(1 + n // base) + chr(1 + base + n % base) for n in range(len(numbers))]
     coded = ["".join([letters[n] for n in line]) for line in lines]
-    first: dict[str, tuple[int, int]] = {}
-    recurring: set[str] = set()
-    size = 2 * window
-    for (_, id_, _, start, n, _), line in zip(held, coded, strict=True):
-        for i in range(len(line) // 2 - window + 1):
-            passage, place = line[2 * i : 2 * i + size], (id_, start + i)
-            known = first.get(passage)
-            if known is None:
-                first[passage] = place
-                if n > 1:
-                    recurring.add(passage)
-            else:
-                recurring.add(passage)
-                if place < known:
-                    first[passage] = place
-    if not recurring:
+    passages = _passages(coded, [n for *_, n, _ in held], window)
+    if not passages:
         return
     automaton = ahocorasick.Automaton()
-    for passage in recurring:
-        automaton.add_word(passage, first[passage])
+    for passage in passages:
+        automaton.add_word(passage, passage)
     automaton.make_automaton()
-    for (segment, id_, key, start, n, _), line in zip(held, coded, strict=True):
-        found = [((end + 1) // 2 - window, place) for end, place in automaton.iter(line)]
-        if found:
-            later = [i for i, place in found if place != (id_, start + i)]
-            yield segment, id_, key, start, n, _flat_runs([i for i, _ in found]), _flat_runs(later)
+    found = [list(_matches(automaton, line)) for line in coded]
+    first: dict[str, tuple[int, int]] = {}
+    for (_, id_, _, start, _, _), matches in zip(held, found, strict=True):
+        for at, passage in matches:
+            place = (id_, start + at)
+            if place < first.get(passage, (place[0], place[1] + 1)):
+                first[passage] = place
+    for (segment, id_, key, start, n, _), matches in zip(held, found, strict=True):
+        if matches:
+            windows = [(range(at, at + len(passage) // 2 - window + 1), first[passage] != (id_, start + at)) for at, passage in matches]
+            every = sorted(i for x, _ in windows for i in x)
+            yield segment, id_, key, start, n, _flat_runs(every), _flat_runs(sorted(i for x, later in windows if later for i in x))
 
 
 LOCATED = {"segment": pa.binary(), "id": pa.int64(), "key": pa.binary(), "start": pa.int64(), "n": pa.int64(), "all": pa.list_(pa.int32()), "later": pa.list_(pa.int32())}

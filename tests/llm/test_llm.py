@@ -68,6 +68,38 @@ def test_substring_dedup_of_a_text_longer_than_the_kept_powers(spark, monkeypatc
     assert sorted(got.values(), key=str) == removed_by_brute_force([0, 1], [long, f"x {long[:4000]}"])
 
 
+def test_passages_are_the_longest_that_stand_together():
+    """Against all windows: each recurring one is in one passage, at each of its places; and none is located without the automaton's matches."""
+    rng = np.random.default_rng(9)
+    pool = [" ".join(f"p{k}w{i}" for i in range(30)) for k in range(4)]
+    for _ in range(20):
+        lines = []
+        for k in range(12):
+            parts = [" ".join(f"r{k}{j}{i}" for i in range(rng.integers(0, 6))) + " " + " ".join(pool[rng.integers(0, 4)].split()[rng.integers(0, 8) : rng.integers(22, 31)]) for j in range(rng.integers(1, 4))]
+            lines.append((b"s%d" % k, k // 2, b"k", int(rng.integers(0, 50)) + 200 * (k % 2), 1 + int(rng.integers(0, 5) == 0), " ".join(parts + ["x y"] * int(rng.integers(0, 9))).encode()))
+        windows = defaultdict(list)
+        for s, id_, _, start, n, words in lines:
+            w = words.split()
+            for i in range(len(w) - 19):
+                windows[tuple(w[i : i + 20])].append((id_, start + i, s, i, n))
+        want_all, want_later = set(), set()
+        for places in windows.values():
+            if len(places) > 1 or places[0][4] > 1:
+                least = min(p[:2] for p in places)
+                want_all |= {p[2:4] for p in places}
+                want_later |= {p[2:4] for p in places if p[:2] != least}
+        got = list(substring_dedup._located(lines, 20))
+        flat = lambda k: {(r[0], i) for r in got for a, b in zip(r[k][::2], r[k][1::2], strict=True) for i in range(a, b + 1)}
+        assert flat(5) == want_all and flat(6) == want_later and want_later
+
+
+def test_without_matches_nothing_is_located(monkeypatch):
+    lines = [(b"a", 1, b"k", 0, 1, P.encode()), (b"b", 2, b"k", 0, 1, P.encode())]
+    assert [r[0] for r in substring_dedup._located(lines, 20) if r[6]] == [b"b"]
+    monkeypatch.setattr(substring_dedup, "_matches", lambda automaton, line: iter(()))
+    assert list(substring_dedup._located(lines, 20)) == []
+
+
 def test_encoder_matches_the_tokenizer():
     e = Encoder.of(default_tokenizer())
     for t in [*filter(None, AWKWARD), "a   b \n c  ", "it's <|endoftext|> x", "12 $$ ok　 "]:
