@@ -259,12 +259,12 @@ def test_scalar_parsers(spark):
 def test_dates_and_policies(spark):
     from datetime import date, datetime
 
-    now = datetime(2026, 7, 19, 12)
-    assert dates.resolve_on_dates("tomorrow, 2026-07-19,today,20.07.2026", now=now) == [date(2026, 7, 19), date(2026, 7, 20)]
+    now = datetime(2031, 3, 2, 9)
+    assert dates.resolve_on_dates("03.03.2031,today , 2031-02-27,tomorrow", now=now) == [date(2031, 2, 27), date(2031, 3, 2), date(2031, 3, 3)]
     from zoneinfo import ZoneInfo
 
-    late = datetime(2026, 7, 20, 2, tzinfo=ZoneInfo("UTC"))  # still the day before in New York
-    assert dates.resolve_on_dates("today", now=late) == [date(2026, 7, 19)] and dates.resolve_on_dates("today", "UTC", late) == [date(2026, 7, 20)]
+    late = datetime(2031, 3, 3, 3, tzinfo=ZoneInfo("UTC"))  # still the day before in New York
+    assert dates.resolve_on_dates("today", now=late) == [date(2031, 3, 2)] and dates.resolve_on_dates("today", "UTC", late) == [date(2031, 3, 3)]
     for bad in ("", "soon"):
         with pytest.raises(ValueError):
             dates.resolve_on_dates(bad, now=now)
