@@ -2,10 +2,47 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skeinworks.llm.common import Scratch
+from skeinworks.llm.common import Scratch, lean
+
+#: Edges that a task joins up at a time.
+HELD = 500_000
+
+
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges that join what the task's own edges join, with each node tied to the least one that these reach."""
+
+    def joined(edges: np.ndarray) -> pa.RecordBatch:
+        nodes, at = np.unique(edges, return_inverse=True)
+        up = np.arange(len(nodes))
+        a, b = at.reshape(edges.shape)
+        while True:  # each node to the least of its neighbours' roots, then to its root's root
+            x, y = up[a], up[b]
+            least = np.minimum(x, y)
+            new = up.copy()
+            np.minimum.at(new, x, least)
+            np.minimum.at(new, y, least)
+            new = new[new]
+            if (new == up).all():
+                break
+            up = new
+        tied = up != np.arange(len(nodes))
+        return pa.RecordBatch.from_arrays([pa.array(nodes[tied]), pa.array(nodes[up[tied]])], names=["u", "v"])
+
+    held: list[np.ndarray] = []
+    for batch in batches:
+        held.append(np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(2)]))
+        if sum(x.shape[1] for x in held) >= HELD:
+            yield joined(np.concatenate(held, axis=1))
+            held = []
+    if held:
+        yield joined(np.concatenate(held, axis=1))
 
 
 def _stars(edges: DataFrame, large: bool, scratch: Scratch, name: str) -> DataFrame:
@@ -29,11 +66,11 @@ def _stars(edges: DataFrame, large: bool, scratch: Scratch, name: str) -> DataFr
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
-    """(node, root) of every node that has an edge; root is the least node reachable. Edges are (u, v) of orderable values.
+    """(node, root) of every node that has an edge to another one; root is the least node reachable. Edges are (u, v), both long.
 
-    Each round is written to the shared folder; rounds grow with the logarithm of the longest chain.
+    Tasks first join up what they hold, so that fewer and shorter chains are left. Each round is written to the shared folder; rounds grow with the logarithm of the longest chain.
     """
-    at = scratch.write(edges.where("u <> v").distinct(), "edges0")
+    at = scratch.write(edges.select("u", "v").where("u <> v").mapInArrow(lean(_forest), "u long, v long").distinct(), "edges0")
     k = 0
     while True:
         k += 1

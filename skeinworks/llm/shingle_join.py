@@ -36,8 +36,8 @@ SHINGLE, SIMILAR, SEED = 5, (4, 5), 42
 PART, PIVOTS = 200_000, 8
 #: Times as many in each further round.
 FURTHER = 64
-#: Passes over the shingles, each with a share of them: bounds what lies on disk at once. Texts packed at a time bound memory.
-PASSES, TEXTS = 4, 500
+#: Passes over the shingles at most, each with a share of them, and shingles that are worth one more: bounds what lies on disk at once. Texts packed at a time bound memory.
+PASSES, PASS, TEXTS = 4, 16_000_000, 500
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -79,17 +79,17 @@ def _packed(by: np.ndarray, parts: int, *columns: np.ndarray) -> pa.RecordBatch:
 PACKED = "part long, a binary, b binary"
 
 
-def _by_shingle(parts: int, share: int):
-    """Shingles of one pass: their hashes modulo ``PASSES`` are ``share``."""
+def _by_shingle(parts: int, share: int, passes: int):
+    """Shingles of one pass: their hashes modulo ``passes`` are ``share``."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(i, TEXTS) for b in batches for i in range(0, len(b), TEXTS)):
             keys, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
             hashes = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=np.int64)
-            mine = hashes.view(np.uint64) % np.uint64(PASSES) == share
+            mine = hashes.view(np.uint64) % np.uint64(passes) == share
             if mine.any():
                 hashes = hashes[mine]
-                yield _packed(hashes.view(np.uint64) // np.uint64(PASSES), parts, np.repeat(keys, n)[mine], hashes)
+                yield _packed(hashes.view(np.uint64) // np.uint64(passes), parts, np.repeat(keys, n)[mine], hashes)
 
     return rows
 
@@ -219,18 +219,20 @@ def near_duplicates(docs: DataFrame, keep: list[str] | None = None, shingle: int
     scratch = Scratch(spark, "shingle-join")
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"), F.col("text").cast("string"))
     sets = scratch.write(rows.mapInArrow(lean(_sets(shingle)), StructType([rows.schema["row"], *StructType.fromDDL("key long, n long, print long, shingles binary").fields])), "sets")
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (sets.agg(F.sum("n")).first()[0] or 0) // (PASSES * PART))
+    total = sets.agg(F.sum("n")).first()[0] or 0
+    passes = max(1, min(PASSES, -(-total // PASS)))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // (passes * PART))
 
     def dealt(packed: DataFrame) -> DataFrame:
         return packed.repartition(parts, "part").sortWithinPartitions("part")
 
     classes = scratch.write(sets.select("key", "n", "print").distinct(), "classes")
     packs = classes.select("key", "n").mapInArrow(lean(_by_class(parts)), f"{PACKED}, c binary")
-    for share in range(PASSES):
-        dealt_out = dealt(sets.select("key", "n", "shingles").mapInArrow(lean(_by_shingle(parts, share)), PACKED))
+    for share in range(passes):
+        dealt_out = dealt(sets.select("key", "n", "shingles").mapInArrow(lean(_by_shingle(parts, share, passes)), PACKED))
         packs = packs.union(scratch.write(dealt_out.mapInArrow(lean(_each_part(_shared(parts))), f"{PACKED}, c binary"), f"shared{share}"))
     postings = scratch.write(dealt(packs).mapInArrow(lean(_each_part(_postings)), "shingle long, key long, n long"), "postings")
-    scratch.drop(*(f"shared{share}" for share in range(PASSES)))
+    scratch.drop(*(f"shared{share}" for share in range(passes)))
     alive = scratch.write(postings.select("key").distinct(), "alive")  # its size on disk tells Spark how to join
     held = scratch.write(sets.join(alive, "key", "left_semi").groupBy("key").agg(F.first("shingles").alias("shingles")), "held")
     ids = scratch.write(sets.select("row", "key"), "ids")
@@ -243,13 +245,14 @@ def near_duplicates(docs: DataFrame, keep: list[str] | None = None, shingle: int
     links, low, high, open_ = confirmed(_print_pairs(classes, scratch), "links"), 0, PIVOTS, None
     while True:
         found = components(links, Scratch(spark, "shingle-join-round"))
+        links = found.select(F.col("node").alias("u"), F.col("root").alias("v"))  # says as much
         labelled = postings.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
         # Shingles whose classes are of several components, and more than were compared.
         sizes = labelled.groupBy("shingle").agg(F.count("*").alias("size"), F.min("root").alias("a"), F.max("root").alias("b"))
         open_ = scratch.write(sizes.where((F.col("size") > (low + 1)) & (F.col("a") < F.col("b"))).select("shingle"), f"open{low}")
         if open_.isEmpty():
             break
-        ordered = labelled.join(open_, "shingle", "left_semi").select("shingle", "key", "n", "root").repartition("shingle").sortWithinPartitions("shingle", "key")
+        ordered = labelled.join(open_, "shingle", "left_semi").select("shingle", "key", "n", "root").repartition(parts, "shingle").sortWithinPartitions("shingle", "key")
         pairs = scratch.write(ordered.mapInArrow(lean(_pairs(low, high)), "u long, v long").distinct(), f"pairs{low}")
         links = links.unionByName(confirmed(pairs, f"links{low}"))
         low, high = high, FURTHER * high
