@@ -331,9 +331,13 @@ class Warehouse:
         if not told:
             return {}
         counts = self.mirror_changes(target, ids)
-        self._commit(lambda base: Change(published=told))
+        self.published(told)
         return counts
 
+    def published(self, told: list[list[str]]) -> None:
+        """Tick off loads that are visible elsewhere."""
+        self._commit(lambda base: Change(published=told))
+
     def vacuum(self, keep_seconds: float = 7 * 86400.0, now: float | None = None) -> list[str]:
         """Remove what no version of the last ``keep_seconds`` names; returns the names of what went."""
         return self.versions.vacuum(keep_seconds, now)
@@ -349,28 +353,6 @@ class Warehouse:
 
         self._commit(work)
 
-    def write_jdbc(self, url: str, properties: dict[str, str], tables: list[str] | None = None, swap: Callable[[list[str]], None] | None = None) -> None:
-        """Each table into a staging table, then ``swap`` with the SQL that puts all staging tables into place, for one transaction of the database's."""
-        names = tables or [n for n in TABLES if n not in UNMANAGED]
-        for name in names:
-            self.table(name).write.jdbc(url, f"staging_{name}", mode="overwrite", properties=properties)
-        if swap:
-            swap(swap_statements(names))
-
-    def read_jdbc(self, url: str, properties: dict[str, str], name: str) -> DataFrame:
-        """A table of an attached database in this warehouse's columns and types; what is missing there is null."""
-        return conformed(self.spark.read.jdbc(url, name, properties=properties), name)
-
-
-def swap_statements(names: list[str]) -> list[str]:
-    """SQL that replaces tables by their staging tables: children go first, parents come first."""
-    ordered = [n for n in TABLES if n in names]
-    out = [f"DELETE FROM {n}" for n in reversed(ordered)]
-    for n in ordered:
-        columns = ", ".join(StructType.fromDDL(TABLES[n].ddl).fieldNames())
-        out += [f"INSERT INTO {n} ({columns}) SELECT {columns} FROM staging_{n}", f"DROP TABLE staging_{n}"]
-    return out
-
 
 def fitted(df: DataFrame, schema: StructType) -> DataFrame:
     """The columns and types of a schema from rows that may lack columns added since (null) or have others (left out)."""

@@ -8,7 +8,8 @@ from skeinworks.functions import text as T
 from skeinworks.functions.settings import Settings
 from skeinworks.operators import linkage, merge
 from skeinworks.plans.schemas import SOURCES, TABLES, UNMANAGED
-from skeinworks.plans.warehouse import Warehouse, conformed, swap_statements
+from skeinworks.plans.database import swap
+from skeinworks.plans.warehouse import Warehouse, conformed
 from skeinworks.sources import landing
 from skeinworks.streaming import incremental
 
@@ -156,7 +157,7 @@ def test_columns_added_later_are_null_in_older_files(spark, warehouse, tmp_path)
     assert {(r.id, r.votes) for r in warehouse.table("promotions").collect()} == {("1", None), ("2", 4)}
     got = conformed(spark.createDataFrame([("7", "x")], "id string, extra string"), "promotions")
     assert got.columns == warehouse.table("promotions").columns and got.first().id == "7"
-    sql = swap_statements(["matches", "events", "match_notes"])
+    sql = swap(["matches", "events", "match_notes"])
     assert [x.split()[2] for x in sql if x.startswith("DELETE")] == ["match_notes", "matches", "events"] and [x.split()[2] for x in sql if x.startswith("INSERT")] == ["events", "matches", "match_notes"]
 
 
