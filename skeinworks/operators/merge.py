@@ -47,17 +47,23 @@ class KeyViolation(ValueError):
     """A key that is null, repeated or without its parent."""
 
 
-def validate_keys(df: DataFrame, keys: list[str], parent: DataFrame | None = None, foreign: str | None = None, parent_key: str = "id") -> dict[str, int]:
-    """Counts of null keys (rows), repeated keys and orphans; keys are counted in one pass."""
+def key_report(df: DataFrame, keys: list[str], parent: DataFrame | None = None, foreign: str | None = None, parent_key: str = "id") -> DataFrame:
+    """One row: rows with null keys, keys that stand more than once, and rows whose parent is missing. Keys are counted in one pass."""
     null = F.lit(False)
     for k in keys:
         null = null | F.col(k).isNull()
     counted = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    r = counted.agg(F.sum(F.when(null, F.col("_n"))).alias("null"), F.count(F.when(~null & (F.col("_n") > 1), 1)).alias("repeated")).first()
-    out = {"null": r["null"] or 0, "repeated": r["repeated"], "orphans": 0}
+    out = counted.select(F.when(null, F.col("_n")).otherwise(0).alias("nulls"), F.when(~null & (F.col("_n") > 1), 1).otherwise(0).alias("repeated"), F.lit(0).alias("orphans"))
     if parent is not None and foreign:
-        out["orphans"] = df.where(F.col(foreign).isNotNull()).join(parent.select(F.col(parent_key).alias(foreign)), foreign, "left_anti").count()
-    return out
+        lost = df.where(F.col(foreign).isNotNull()).join(parent.select(F.col(parent_key).alias(foreign)), foreign, "left_anti")
+        out = out.unionByName(lost.select(F.lit(0).alias("nulls"), F.lit(0).alias("repeated"), F.lit(1).alias("orphans")))
+    return out.agg(*(F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ("nulls", "repeated", "orphans")))
+
+
+def validate_keys(df: DataFrame, keys: list[str], parent: DataFrame | None = None, foreign: str | None = None, parent_key: str = "id") -> dict[str, int]:
+    """``key_report`` as numbers."""
+    r = key_report(df, keys, parent, foreign, parent_key).first()
+    return {"null": r.nulls, "repeated": r.repeated, "orphans": r.orphans}
 
 
 def require_keys(df: DataFrame, keys: list[str], **more) -> DataFrame:

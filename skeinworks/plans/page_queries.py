@@ -84,9 +84,14 @@ def ids_after_line(t):
     return landing.ids_in(_lines(t).orderBy("_line"), 100)
 
 
-@query("SELECT count(*) AS n FROM orders WHERE o_orderkey % 19 <> 0")
+@query("""SELECT count(*) AS n, sum(n * (o_orderkey % 1000))::BIGINT AS placed, count(DISTINCT n) AS places FROM
+(SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS n FROM orders WHERE o_orderkey % 19 <> 0)""")
 def line_count(t):
-    return landing.numbered_lines(_lines(t)).agg((F.max("_n") + 1).alias("n"))
+    """How many lines there are, and that each has its place."""
+    lines = _lines(t).withColumn("value", F.concat(F.rpad(F.col("value"), 1, " "), F.when(F.trim("value") != "", F.col("_line.at").cast("string")).otherwise(F.lit(""))))
+    rows = landing.numbered_lines(lines.orderBy("_line"))
+    key = F.substring(F.regexp_extract("value", r"(\d+)$", 1), -3, 3).cast("long")
+    return rows.agg(F.count("*").alias("n"), F.sum(F.col("_n") * key).cast("long").alias("placed"), F.count_distinct("_n").alias("places"))
 
 
 @query("SELECT n_name, k.tag FROM nation JOIN (VALUES (0, 'a'), (2, 'b'), (99, 'c')) AS k(region, tag) ON n_regionkey = k.region")
@@ -107,6 +112,11 @@ def sitemap_pages(t):
     return landing.sitemap_locations(_sitemaps(t), pattern="^https://s[.]example/people/[^/#?]+/?$", parent="url")
 
 
+@query("SELECT '<urlset><loc>' AS xml UNION ALL SELECT '<urlset>' || n_name FROM nation")
+def sitemaps_broken(t):
+    return landing.broken_sitemaps(_sitemaps(t).unionByName(t.nation.select(F.concat(F.lit("<urlset>"), "n_name").alias("xml"))))
+
+
 @query("SELECT 'https://s.example/sitemap-' || r_regionkey || '.xml' AS url FROM region")
 def sitemap_shards(t):
     return landing.sitemap_locations(_sitemaps(t), parent="sitemap")
@@ -510,8 +520,11 @@ def list_presence(t):
     return e.select("event_id", F.coalesce(F.length("props") > 8, F.lit(False)).alias("has_list"), F.col("event_type").isin("click", "view").alias("picked"))
 
 
-@query("SELECT count(*) AS rows_, count(*) - count(DISTINCT l_orderkey) AS repeated, 0 AS missing FROM lineitem")
+@query("""WITH k AS (SELECT CASE WHEN l_linenumber % 5 <> 0 THEN l_orderkey END AS a, l_linenumber // 2 AS b, CASE WHEN l_suppkey % 3 <> 0 THEN l_suppkey END AS s FROM lineitem)
+SELECT (SELECT count(*) FROM k WHERE a IS NULL OR b IS NULL) AS nulls, (SELECT count(*) FROM (SELECT a, b FROM k WHERE a IS NOT NULL GROUP BY a, b HAVING count(*) > 1)) AS repeated,
+(SELECT count(*) FROM k WHERE s IS NOT NULL AND s NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 9)) AS orphans""")
 def key_report(t):
-    found = merge.validate_keys(t.lineitem.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id")), ["id"])
-    lines = t.lineitem.agg(F.count("*").alias("rows_"), (F.count("*") - F.count_distinct("l_orderkey")).alias("repeated"))
-    return lines.withColumn("missing", F.lit(found["null"]))
+    """Two columns as a key, one of them null at times, and parents of which some are missing or not named."""
+    part = F.when(F.col("l_linenumber") % 5 != 0, F.col("l_orderkey"))
+    k = t.lineitem.select(part.alias("a"), F.floor(F.col("l_linenumber") / 2).alias("b"), F.when(F.col("l_suppkey") % 3 != 0, F.col("l_suppkey")).alias("s"))
+    return merge.key_report(k, ["a", "b"], parent=t.supplier.where("s_nationkey < 9"), foreign="s", parent_key="s_suppkey")

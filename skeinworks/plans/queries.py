@@ -344,8 +344,7 @@ def table_counts(t):
 
 @query("SELECT (SELECT count(*) - count(o_orderkey) FROM orders) AS nulls, (SELECT count(*) FROM (SELECT o_custkey FROM orders GROUP BY 1 HAVING count(*) > 1)) AS repeated, (SELECT count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey < 10)) AS orphans")
 def validate_keys(t):
-    found = merge.validate_keys(t.orders, ["o_custkey"], parent=t.customer.where("c_nationkey < 10"), foreign="o_custkey", parent_key="c_custkey")
-    return t.spark.createDataFrame([(found["null"], found["repeated"], found["orphans"])], "nulls long, repeated long, orphans long")
+    return merge.key_report(t.orders, ["o_custkey"], parent=t.customer.where("c_nationkey < 10"), foreign="o_custkey", parent_key="c_custkey")
 
 
 @query("""SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN o_totalprice > 100000 WHEN o_orderdate::DATE - DATE '1996-06-01' > 30 THEN o_orderpriority NOT IN ('1-URGENT', '2-HIGH')

@@ -5,13 +5,13 @@ from __future__ import annotations
 import json
 import uuid
 from pathlib import Path
-from xml.etree import ElementTree
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DataType, DoubleType, IntegerType, StringType, StructField, StructType
 
+from skeinworks.functions.files import Files, shared_folder
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -92,10 +92,16 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str | Column]) ->
 
 
 def numbered_lines(lines: DataFrame) -> DataFrame:
-    """(value, _n): lines in order, counted from 0. Tasks number their own lines, after as many as the tasks before them have."""
+    """(value, _n): lines in order, counted from 0. Tasks number their own lines, after as many as the tasks before them have.
+
+    The tasks' numbers are written to the shared folder, as they are read twice and another run of the tasks may part the lines otherwise.
+    """
     kept = lines.where(F.col("value").rlike(r"\S"))
+    folder = shared_folder(lines.sparkSession)
+    kept.withColumn("_m", F.monotonically_increasing_id()).write.parquet(folder)
     # Of the ordinal the upper bits are the task's number and the lower ones the line's place there, once blank lines are gone.
-    at = kept.withColumn("_m", F.monotonically_increasing_id()).select("value", "_line", F.shiftright("_m", 33).alias("_task"), F.col("_m").bitwiseAND(F.lit((1 << 33) - 1)).alias("_place"))
+    held = lines.sparkSession.read.parquet(folder)
+    at = held.select("value", "_line", F.shiftright("_m", 33).alias("_task"), F.col("_m").bitwiseAND(F.lit((1 << 33) - 1)).alias("_place"))
     sizes = at.groupBy("_task").agg(F.count("*").alias("_size"), F.min("_line").alias("_first"))
     before = F.coalesce(F.sum("_size").over(Window.orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = sizes.select("_task", before.alias("_start"))  # a row a task
@@ -134,32 +140,29 @@ def inline(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-@F.pandas_udf(ArrayType(StructType([StructField("parent", StringType()), StructField("loc", StringType())])))
-def sitemap_entries(documents: pd.Series) -> pd.Series:
-    """Addresses of a sitemap document with the element that they stand in, namespaces left out; null for what is no XML."""
+_SITEMAP = "sitemap array<struct<loc:array<string>>>, url array<struct<loc:array<string>>>, _broken string"
 
-    def local(tag: object) -> str:
-        return tag.rpartition("}")[2] if isinstance(tag, str) else ""
 
-    def found(xml: str | None) -> list[dict] | None:
-        try:
-            root = ElementTree.fromstring((xml or "").strip())
-        except ElementTree.ParseError:
-            return None
-        return [{"parent": local(up.tag), "loc": x.text.strip()} for up in root.iter() for x in up if local(x.tag) == "loc" and (x.text or "").strip()]
-
-    return documents.map(found, na_action="ignore")
+def _sitemaps(df: DataFrame, column: str) -> DataFrame:
+    """(xml, parsed): documents by Spark's XML parser, namespaces left out; a document that is no XML stands in ``_broken``."""
+    told = F.from_xml(F.trim(F.col(column)), _SITEMAP, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken", "ignoreNamespace": "true", "excludeAttribute": "true"})
+    return df.where(F.col(column).isNotNull()).select(F.col(column).alias("xml"), told.alias("parsed"))
 
 
 def sitemap_locations(df: DataFrame, column: str = "xml", pattern: str | None = None, parent: str | None = None) -> DataFrame:
-    """Distinct addresses of sitemap documents, with or without a namespace, closing slash removed; malformed documents give none.
+    """Distinct addresses of sitemap documents, with or without a namespace, closing slash removed; malformed documents give none (``broken_sitemaps``).
 
     ``parent``: ``sitemap`` for an index's shards, ``url`` for a shard's pages; None takes both.
     """
-    found = df.select(F.explode(sitemap_entries(F.col(column))).alias("e"))
-    found = found.where(F.col("e.parent") == parent) if parent else found
-    found = found.where(F.col("e.loc").rlike(pattern)) if pattern else found
-    return found.select(F.regexp_replace("e.loc", "/+$", "").alias("url")).distinct()
+    lists = [F.coalesce(F.flatten(F.col(f"parsed.{p}.loc")), F.array()) for p in ([parent] if parent else ["sitemap", "url"])]
+    found = _sitemaps(df, column).select(F.explode(F.concat(*lists)).alias("loc")).select(F.trim("loc").alias("loc")).where("loc <> ''")
+    found = found.where(F.col("loc").rlike(pattern)) if pattern else found
+    return found.select(F.regexp_replace("loc", "/+$", "").alias("url")).distinct()
+
+
+def broken_sitemaps(df: DataFrame, column: str = "xml") -> DataFrame:
+    """Documents that are no XML, as they came."""
+    return _sitemaps(df, column).where("parsed._broken is not null").select("xml")
 
 
 def page_links(df: DataFrame, pattern: str, page: str = "page_id", html: str = "html") -> DataFrame:
@@ -168,26 +171,33 @@ def page_links(df: DataFrame, pattern: str, page: str = "page_id", html: str = "
     return hrefs.where(F.col("href").rlike(pattern)).groupBy(page, "href").agg(F.min("seq").alias("seq"))
 
 
-# Control state (small JSON files on the driver's side) -------------------------------------------------------------------
+# Control state (small JSON files) ----------------------------------------------------------------------------------------
 
 
 class JsonState:
-    """A tolerant JSON object: missing or broken files are empty."""
+    """A tolerant JSON object: missing or broken files are empty. With a session the file may be on any file system that Spark reaches, as the
+    next driver may run on another host; without one it is the driver's own."""
 
-    def __init__(self, path: str):
-        self.path = Path(path)
+    def __init__(self, path: str, spark: SparkSession | None = None):
+        self.path, self.spark = Path(path), spark
+        folder, _, self.name = path.rpartition("/")
+        self.files = Files(spark, folder) if spark else None
 
     def load(self) -> dict:
         try:
-            value = json.loads(self.path.read_text())
+            value = json.loads(self.files.read(self.name) or "" if self.files else self.path.read_text())
         except (OSError, ValueError):
             return {}
         return value if isinstance(value, dict) else {}
 
     def save(self, value: dict) -> None:
+        text = json.dumps(value, sort_keys=True)
+        if self.files:
+            self.files.replace(self.name, text)
+            return
         self.path.parent.mkdir(parents=True, exist_ok=True)
         part = self.path.with_suffix(".part")
-        part.write_text(json.dumps(value, sort_keys=True))
+        part.write_text(text)
         part.replace(self.path)
 
 
