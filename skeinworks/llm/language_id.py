@@ -209,20 +209,22 @@ class CrossParser:
 
 def train(docs: DataFrame, training: Column, chars: int = CHARS_A_LANGUAGE, in_all: int = CHARS_IN_ALL) -> CrossParser:
     """Automata from a bounded hash sample of pieces of the labelled rows."""
-    rows = docs.select("doc_id", "lang", "text").where(training & F.col("lang").isNotNull() & (F.length("text") > 0))
+    rows = docs.where(training & F.col("lang").isNotNull() & (F.length("text") > 0)).select("lang", "text")
     found = rows.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("size")).orderBy(F.desc("n"), "lang").collect()  # a row a language
     if not found:
         return CrossParser({})
     share = min(chars, max(1, in_all // len(found)))
     rates = docs.sparkSession.createDataFrame([(r.lang, min(1.0, share / r["size"])) for r in found], "lang string, rate double")
-    places = F.filter(F.sequence(F.lit(0), F.floor((F.length("text") - 1) / PIECE).cast("int")), lambda k: F.pmod(F.xxhash64("doc_id", k), F.lit(_RANDOM)) / _RANDOM < F.col("rate"))
+    places = F.filter(F.sequence(F.lit(0), F.floor((F.length("text") - 1) / PIECE).cast("int")), lambda k: F.pmod(F.xxhash64("hash", k), F.lit(_RANDOM)) / _RANDOM < F.col("rate"))
     # The rates are a row a language, and were collected above. A piece goes with one character on either side, which tells whether it begins and ends inside a word.
-    pieces = rows.join(F.broadcast(rates), "lang").select("lang", "doc_id", "text", F.explode(places).alias("k"))
+    # Pieces are drawn by their text and place there, whatever the ids: copies are drawn together, and count once.
+    hashed = rows.withColumn("hash", F.xxhash64("text")).join(F.broadcast(rates), "lang")
+    pieces = hashed.select("lang", "hash", "text", F.explode(places).alias("k"))
     start = F.col("k") * PIECE
-    pieces = pieces.select("lang", "doc_id", "k", F.substring(F.col("text"), F.greatest(start, F.lit(1)), F.when(F.col("k") > 0, PIECE + 2).otherwise(PIECE + 1)).alias("piece"))
+    pieces = pieces.select("lang", "hash", "k", F.substring(F.col("text"), F.greatest(start, F.lit(1)), F.when(F.col("k") > 0, PIECE + 2).otherwise(PIECE + 1)).alias("piece")).distinct()
     sample: dict[str, list[np.ndarray]] = {r.lang: [] for r in found}
     letter = _is_letter()
-    for r in sorted(pieces.collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0, r.k, r.piece)):  # the bounded sample
+    for r in sorted(pieces.collect(), key=lambda r: (r.hash, r.k, r.piece)):  # the bounded sample
         before, body = (r.piece[0], r.piece[1:]) if r.k else (" ", r.piece)
         line = running(body[:PIECE])
         if len(line):
