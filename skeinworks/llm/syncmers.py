@@ -99,14 +99,19 @@ def _below(cuts: Column, key: Column) -> Column:
     return F.size(F.filter(cuts, lambda c: c <= key))
 
 
-def in_ranges(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """Adds ``_range``, a number that rises with the key; ranges hold some ``RANGE_BYTES`` of text each.
+def range_count(rows: DataFrame, text: str) -> int:
+    """How many ranges the texts are dealt into: some ``RANGE_BYTES`` in each, and several for each shuffle partition."""
+    size = rows.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return max(RANGES_A_PARTITION * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES))
+
+
+def in_ranges(rows: DataFrame, key: str, text: str, n: int | None = None) -> DataFrame:
+    """Adds ``_range``, a number that rises with the key, of some ``n``.
 
     Many ranges are cut in two steps, the square root of their number in each, so that no list of cuts grows with the table.
     """
     k = F.col(key)
-    size = rows.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    n = max(RANGES_A_PARTITION * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES))
+    n = n or range_count(rows, text)
     first = n if n <= ONE_STEP else math.isqrt(n) + 1
     cuts = sorted({int(x) for x in rows.select(k.cast("double").alias(key)).approxQuantile(key, [i / first for i in range(1, first)], 0.2 / first)})
     coarse = rows.withColumn("_range", _below(F.array(*map(F.lit, cuts)).cast("array<bigint>"), k).cast("long") if cuts else F.lit(0).cast("long"))
@@ -123,7 +128,8 @@ def with_next(rows: DataFrame, key: str, text: str, more: dict[str, Column]) ->
     last), without a global sort: rows are dealt into ranges of keys, and each range also gets a copy of the first row of the range below it.
     Texts travel once; ``more`` is computed where they arrive.
     """
-    dealt = in_ranges(rows, key, text)
+    n = range_count(rows, text)
+    dealt = in_ranges(rows, key, text, n)
     tops = dealt.groupBy("_range").agg(F.max(key).alias("_top"))
     # A row a range: few, whatever the size of the table.
     order = Window.orderBy("_range")
@@ -132,7 +138,7 @@ def with_next(rows: DataFrame, key: str, text: str, more: dict[str, Column]) ->
     heads = heads.groupBy("_from", "_to").agg(F.max(F.struct(key, text)).alias("h")).select(F.col("_to").alias("_range"), F.lit(1).alias("_copy"), f"h.{key}", f"h.{text}")
     both = dealt.withColumn("_copy", F.lit(0)).unionByName(heads, allowMissingColumns=True)
     w = Window.partitionBy("_range").orderBy("_copy", F.desc(key), F.desc(text))
-    computed = both.repartition("_range").withColumns(more)
+    computed = both.repartition(n, "_range").withColumns(more)  # as many tasks as ranges: none grows with the table
     return computed.withColumns({f"next_{c}": F.lead(c).over(w) for c in (text, *more)}).where("_copy = 0").drop("_range", "_copy")
 
 
