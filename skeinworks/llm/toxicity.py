@@ -8,8 +8,8 @@ after a few letters. A token one edit from an entry that stands in other texts o
 that lies within a window around it counts as quotation, any other as abuse. A logistic model of these counts gives the
 score. It is fitted on hits by lexicons that didn't see the text: each half of the sample is counted with the other half's lexicon.
 
-Training reads a bounded hash sample of the labelled rows (``SAMPLE`` rows expected) and keeps the ``ENTRIES`` words and stems with most toxic
-texts; all texts are scored whole.
+Training reads a bounded hash sample of the labelled rows (``SAMPLE`` rows expected), which also bounds its words; every word and stem that passes both tests is
+an entry. All texts are scored whole.
 
 Defined cases: a null or empty text has no hits and gets the score of such texts; null labels are left out, and several
 labels of one id count as their greatest; of texts that share an id the least is learned from; without labels of both kinds every score is the share of toxic labels (0
@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from skeinworks.llm.common import Scratch
 from skeinworks.llm.logistic import Logistic
 
-#: Bounds: labelled rows of the sample (expected), and entries of the lexicon.
-SAMPLE, ENTRIES = 20_000, 4000
+#: Bound of the sample: labelled rows (expected).
+SAMPLE = 20_000
 PREFIXES = range(3, 8)
 #: An entry's lower confidence bound of precision (at so many standard errors), the chance of any false entry, and the endings of a stem.
 PRECISION, ERRORS, CHANCE, ENDINGS = 0.6, 1.28, 0.05, 4
@@ -190,7 +190,7 @@ def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for text, label, half in zip(*(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in ("text", "label", "half")), strict=True):
-            words = Counter(w for w in tokens(text) if 3 <= len(w) <= 40)
+            words = Counter(w for w in tokens(text) if len(w) >= 3)
             begun: Counter = Counter()
             for w, k in words.items():
                 for n in PREFIXES:
@@ -300,7 +300,7 @@ def lexicon(found: dict[str, int], endings: Iterable[str]) -> Model:
         if sum(w.startswith(entry) for w in endings) >= ENDINGS:
             stems.append(entry)
     words = [e for e in sure if not e.startswith(tuple(stems))] if stems else sure
-    return Model(words[:ENTRIES], stems[:ENTRIES], None, 0.0, [e for e in sure if stems and e.startswith(tuple(stems))])
+    return Model(words, stems, None, 0.0, [e for e in sure if stems and e.startswith(tuple(stems))])
 
 
 def train(docs: DataFrame, labels: DataFrame, training: Column, sample: int = SAMPLE) -> Model:
@@ -320,7 +320,7 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, sample: int = SA
     stats = Scratch(docs.sparkSession, "toxicity").write(stats, "stats")
     tested = stats.where("c0 + t0 + c1 + t1 > 1").count()
     # What is telling in one half, or in all, has mostly toxic texts there.
-    able = stats.where("t0 + t1 >= 2 and (t0 > c0 or t1 > c1 or t0 + t1 > c0 + c1)").orderBy(F.desc(F.col("t0") + F.col("t1")), "entry").limit(32 * ENTRIES).collect()
+    able = stats.where("t0 + t1 >= 2 and (t0 > c0 or t1 > c1 or t0 + t1 > c0 + c1)").orderBy(F.desc(F.col("t0") + F.col("t1")), "entry").collect()  # words of the sample
     models = []
     for halves in ((0,), (1,), (0, 1)):
         here = sum(c for (h, _), c in sizes.items() if h in halves)
