@@ -4,9 +4,9 @@ The content view sees the text only (its make-up of letters, symbols, words, lin
 sees what is known about the page (source, language and recorded length), never the text. Both start from the labelled sample. In
 each round each view labels the unlabelled pool, and its most confident rows of either class (``EXCHANGE`` of the pool, in the classes'
 proportion) go to the other view's training set, weighted by how far the view's probability lies from its share of good rows: a view that
-knows little teaches little. ``Model.exchanged`` reports the labels that each view gave in each round, and ``Model.quality`` the area under the
-curve of either view and of both on the held-back part. At the end each view is calibrated on that part of the labelled
-sample, and the calibrated log-odds are combined by a small logistic model on it.
+knows little teaches little. At the end each view is calibrated on a part of the labelled sample that it didn't see (``CALIBRATED``), and the calibrated log-odds are
+combined by a small logistic model on it. ``Model.exchanged`` reports the labels that each view gave in each round, and ``Model.quality`` the area under the
+curve of either view and of both on a part that is outside every fit (``REPORTED``; not a number where it lacks a class).
 
 Training reads bounded hash samples (``LABELLED`` and ``POOL`` rows expected); all documents are scored.
 
@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from skeinworks.llm.logistic import Logistic
 
 LABELLED, POOL, ROUNDS, EXCHANGE = 6000, 6000, 4, 0.05
+#: Shares of the labelled sample that calibration and mixture are fitted on, and that quality is told on.
+CALIBRATED, REPORTED = 0.25, 0.1
 #: Rows that the average counts as, beside those of a source or language.
 PRIOR = 5.0
 _SYMBOLS = re.compile(r"[^\w\s.,;:'\"!?()-]")
@@ -113,6 +115,8 @@ class ContentView:
 def area(scores: np.ndarray, y: np.ndarray) -> float:
     """The chance that a good row scores above a bad one."""
     good, bad = scores[y == 1], np.sort(scores[y == 0])
+    if not len(good) or not len(bad):
+        return math.nan
     return float((np.searchsorted(bad, good, "left") + np.searchsorted(bad, good, "right")).mean() / (2 * len(bad)))
 
 
@@ -132,14 +136,15 @@ class Model:
 
 
 def cotrain(content: np.ndarray, meta: list[Meta], y: np.ndarray, pool_content: np.ndarray, pool_meta: list[Meta], rounds: int = ROUNDS) -> Model:
-    held = np.random.default_rng(4).random(len(y)) < 0.25
-    if not len(y) or not all(0 < y[k].mean() < 1 for k in (held, ~held) if k.any()) or held.sum() < 20:
+    place = np.random.default_rng(4).random(len(y))
+    held, own_rows, told = place < CALIBRATED, place >= CALIBRATED + REPORTED, (place >= CALIBRATED) & (place < CALIBRATED + REPORTED)
+    if not len(y) or not all(k.any() and 0 < y[k].mean() < 1 for k in (held, own_rows)) or held.sum() < 20:
         return Model(None, None, None, float(y.mean()) if len(y) else 0.5)
 
     def part(rows, keep):
         return rows[keep] if isinstance(rows, np.ndarray) else [rows[i] for i in np.flatnonzero(keep).tolist()]
 
-    own, pools, labels = [part(content, ~held), part(meta, ~held)], [pool_content, pool_meta], y[~held]
+    own, pools, labels = [part(content, own_rows), part(meta, own_rows)], [pool_content, pool_meta], y[own_rows]
     base, exchanged = labels.mean(), []
     given: list[dict[int, tuple[float, float]]] = [{}, {}]  # pool rows that a view has been given: label and weight by place
     views: list = []
@@ -170,7 +175,7 @@ def cotrain(content: np.ndarray, meta: list[Meta], y: np.ndarray, pool_content:
     cal = [Logistic(m, y[held]) for m in margins]
     odds = np.stack([np.clip(c.margin(m), -12, 12) for c, m in zip(cal, margins, strict=True)], axis=1)
     model = Model(tuple(views), tuple(cal), Logistic(odds, y[held]), float(base))
-    model.exchanged, model.quality = exchanged, tuple(area(s, y[held]) for s in (odds[:, 0], odds[:, 1], model.mix.margin(odds)))
+    model.exchanged, model.quality = exchanged, tuple(area(s, y[told]) for s in model.scores(part(content, told), part(meta, told)).T) if told.any() else ()
     return model
 
 

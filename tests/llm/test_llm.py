@@ -493,6 +493,36 @@ def test_cotraining(spark):
         assert all(sum(n) > 0 for n in zip(*(x[2:] for x in model.exchanged if x[1] == view), strict=True))
 
 
+def two_views(rng, n, good):
+    """Content that tells a class with noise, and sources most of whose rows are of one class: far more sources than few labels can name."""
+    y = (rng.random(n) < 0.5).astype(float)
+    meta = []
+    for t in y:
+        s = int(rng.integers(0, len(good)))
+        while good[s] != bool(t) and rng.random() < 0.85:
+            s = int(rng.integers(0, len(good)))
+        meta.append((f"s{s}", "en", 100))
+    return np.stack([y + rng.normal(0, 0.45, n), *rng.normal(0, 1, (6, n))], axis=1), meta, y
+
+
+def test_two_useful_views_teach_each_other():
+    """On rows outside every fit, over several draws, the exchange raises the metadata view and both; with a view that knows nothing it does little harm."""
+    gains, harm = [], []
+    for seed in range(6):
+        rng = np.random.default_rng(seed)
+        good = rng.random(200) < 0.5
+        (c, m, y), pool, rest = two_views(rng, 200, good), two_views(rng, 4000, good), two_views(rng, 3000, good)
+        noise = [(f"s{int(x)}", "en", 100) for x in rng.integers(0, 200, 7200)]
+        areas = []
+        for rounds in (0, cotraining.ROUNDS):
+            scores = cotraining.cotrain(c, m, y, *pool[:2], rounds=rounds).scores(*rest[:2])
+            blind = cotraining.cotrain(c, noise[:200], y, pool[0], noise[200:4200], rounds=rounds).scores(rest[0], noise[4200:])
+            areas.append([*(cotraining.area(scores[:, k], rest[2]) for k in range(3)), cotraining.area(blind[:, 2], rest[2])])
+        gains.append(np.subtract(areas[1], areas[0]))
+    content, metadata, both, harm = np.mean(gains, axis=0)
+    assert metadata > 0.05 and both > 0.005 and content > -0.005 and harm > -0.03
+
+
 def test_a_view_that_knows_nothing_teaches_nothing():
     rng = np.random.default_rng(3)
     y = (rng.random(400) < 0.7).astype(float)
