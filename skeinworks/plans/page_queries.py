@@ -464,9 +464,15 @@ def id_intersection(t):
     return t.orders.where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("id")).intersect(t.customer.where("c_nationkey < 10").select("c_custkey"))
 
 
-@query("SELECT s_suppkey, false AS skip FROM supplier")
+@query("SELECT 'always' AS visited, s_suppkey::VARCHAR AS id FROM supplier UNION ALL SELECT 'once', s_suppkey::VARCHAR FROM supplier WHERE s_suppkey % 3 = 0")
 def never_skip(t):
-    return t.supplier.select("s_suppkey", _KINDS["b_title_page"].skip(F.col("s_name"), F.col("s_name")).alias("skip"))
+    """A kind of page that is visited again though it is stored, beside one that isn't."""
+    listed = t.supplier.select(F.col("s_suppkey").cast("string").alias("id"), F.col("s_name").alias("name"))
+    stored, out = listed.where(F.col("id").cast("long") % 3 != 0), None
+    for visited, kind in (("always", "b_title_page"), ("once", "promotion_list")):
+        rows = pages.to_visit(listed, stored, _KINDS[kind]).select(F.lit(visited).alias("visited"), "id")
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 @query("""SELECT o_orderkey::VARCHAR AS id FROM orders WHERE o_orderkey % 4 = 0 AND (o_orderkey % 8 = 0 OR o_orderkey % 12 = 0)""")
