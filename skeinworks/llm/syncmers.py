@@ -9,7 +9,7 @@ index of all elements of both texts; the printed fingerprint holds the ``PRINTED
 
 Defined cases: a null text is empty; a text without symbols has the empty fingerprint; texts with fewer than K symbols, or
 none of whose k-mers is chosen, have the hash of all their symbols; two empty fingerprints are alike (1), an empty and
-another aren't (0); rows that repeat an id follow each other by text; a null id comes after all others; the next
+another aren't (0); rows that repeat an id follow each other by their texts' hashes, from the greatest on; a null id comes after all others; the next
 document of a single row is itself; extra columns are ignored; an empty table gives no rows.
 """
 
@@ -106,40 +106,54 @@ def range_count(rows: DataFrame, text: str) -> int:
 
 
 def in_ranges(rows: DataFrame, key: str, text: str, n: int | None = None) -> DataFrame:
-    """Adds ``_range``, a number that rises with the key, of some ``n``.
+    """Adds ``_range``, a number that rises with the key and, where one key fills several ranges, with the text's hash; there are some ``n`` of them.
 
     Many ranges are cut in two steps, the square root of their number in each, so that no list of cuts grows with the table.
     """
     k = F.col(key)
     n = n or range_count(rows, text)
     first = n if n <= ONE_STEP else math.isqrt(n) + 1
-    cuts = sorted({int(x) for x in rows.select(k.cast("double").alias(key)).approxQuantile(key, [i / first for i in range(1, first)], 0.2 / first)})
-    coarse = rows.withColumn("_range", _below(F.array(*map(F.lit, cuts)).cast("array<bigint>"), k).cast("long") if cuts else F.lit(0).cast("long"))
-    if first == n:
-        return coarse
-    shares = F.array(*(F.lit(i / first) for i in range(1, first)))
-    fine = coarse.groupBy("_range").agg(F.percentile_approx(key, shares, 20 * first).alias("_cuts"))
-    fine = F.broadcast(fine.select(F.col("_range").alias("_coarse"), "_cuts"))  # isqrt(n) + 1 rows of as many numbers
-    return coarse.join(fine, F.col("_range") == F.col("_coarse")).withColumn("_range", F.col("_range") * (first + 1) + _below(F.col("_cuts"), k)).drop("_coarse", "_cuts")
+    each = -(-n // first)
+
+    def times(cuts: Column) -> Column:
+        """At how many cuts a key stands: so many ranges it fills, if there are several."""
+        return F.size(F.filter(cuts, lambda c: c == k))
+
+    found = rows.select(k.cast("double").alias(key)).approxQuantile(key, [i / first for i in range(1, first)], 0.2 / first)
+    cuts = F.array(*(F.lit(int(x)) for x in found)).cast("array<bigint>")
+    cut = rows.withColumn("_range", _below(cuts, k).cast("long"))
+    parts = F.when(times(cuts) > 1, times(cuts) * each)
+    if first < n:
+        shares = F.array(*(F.lit(i / first) for i in range(1, first)))
+        fine = cut.groupBy("_range").agg(F.percentile_approx(key, shares, 20 * first).alias("_cuts"))
+        fine = F.broadcast(fine.select(F.col("_range").alias("_coarse"), "_cuts"))  # some isqrt(n) rows of as many numbers
+        cut = cut.join(fine, F.col("_range") == F.col("_coarse")).withColumn("_range", F.col("_range") * first + _below(F.col("_cuts"), k))
+        parts = parts.when(times(F.col("_cuts")) > 1, times(F.col("_cuts")))
+    # Hashes as unsigned numbers from the least on, in even parts; the keys after a key that fills several ranges have a part behind them all.
+    share = F.least((F.xxhash64(text).cast("double") + F.lit(2.0**63)) / F.lit(2.0**64), F.lit(1 - 2.0**-40))
+    behind = first * each
+    part = F.coalesce(F.floor(share * parts).cast("long"), F.lit(behind).cast("long"))
+    return cut.withColumn("_range", F.col("_range") * (behind + 1) + part).drop("_coarse", "_cuts")
 
 
 def with_next(rows: DataFrame, key: str, text: str, more: dict[str, Column]) -> DataFrame:
     """Adds the columns ``more`` of each row, and of text and them ``next_<column>`` of the row with the next lower key (of the first row after the
-    last), without a global sort: rows are dealt into ranges of keys, and each range also gets a copy of the first row of the range below it.
-    Texts travel once; ``more`` is computed where they arrive.
+    last; rows of one key follow each other by their texts' hashes), without a global sort: rows are dealt into ranges, and each range also gets a copy of the first row of
+    the range below it. Texts travel once; ``more`` is computed where they arrive.
     """
     n = range_count(rows, text)
-    dealt = in_ranges(rows, key, text, n)
-    tops = dealt.groupBy("_range").agg(F.max(key).alias("_top"))
+    dealt = in_ranges(rows, key, text, n).withColumn("_h", F.xxhash64(text))
+    place = F.struct(key, "_h")
+    tops = dealt.groupBy("_range").agg(F.max(place).alias("_top"))
     # A row a range: few, whatever the size of the table.
     order = Window.orderBy("_range")
     tops = tops.select("_range", "_top", F.coalesce(F.lead("_range").over(order), F.first("_range").over(order)).alias("_to"))
-    heads = dealt.join(tops.withColumnRenamed("_range", "_from"), (F.col("_range") == F.col("_from")) & (F.col(key) == F.col("_top")))
-    heads = heads.groupBy("_from", "_to").agg(F.max(F.struct(key, text)).alias("h")).select(F.col("_to").alias("_range"), F.lit(1).alias("_copy"), f"h.{key}", f"h.{text}")
+    heads = dealt.join(tops.withColumnRenamed("_range", "_from"), (F.col("_range") == F.col("_from")) & (place == F.col("_top")))
+    heads = heads.groupBy("_from", "_to").agg(F.max(F.struct(key, "_h", text)).alias("h")).select(F.col("_to").alias("_range"), F.lit(1).alias("_copy"), f"h.{key}", "h._h", f"h.{text}")
     both = dealt.withColumn("_copy", F.lit(0)).unionByName(heads, allowMissingColumns=True)
-    w = Window.partitionBy("_range").orderBy("_copy", F.desc(key), F.desc(text))
+    w = Window.partitionBy("_range").orderBy("_copy", F.desc(key), F.desc("_h"), F.desc(text))
     computed = both.repartition(n, "_range").withColumns(more)  # as many tasks as ranges: none grows with the table
-    return computed.withColumns({f"next_{c}": F.lead(c).over(w) for c in (text, *more)}).where("_copy = 0").drop("_range", "_copy")
+    return computed.withColumns({f"next_{c}": F.lead(c).over(w) for c in (text, *more)}).where("_copy = 0").drop("_range", "_copy", "_h")
 
 
 def fingerprint_edits(docs: DataFrame) -> DataFrame:

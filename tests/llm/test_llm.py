@@ -326,6 +326,25 @@ def test_next_rows_over_many_ranges(spark, monkeypatch):
     assert got == {k: f"t{keys[i - 1]}" for i, k in enumerate(keys)}
 
 
+@pytest.mark.parametrize("one_step", [4, 256])
+def test_rows_of_one_id_fill_several_ranges(spark, monkeypatch, one_step):
+    monkeypatch.setattr(syncmers, "RANGE_BYTES", 40)
+    monkeypatch.setattr(syncmers, "ONE_STEP", one_step)
+    keys = [7] * 150 + [-(1 << 63)] * 100 + [3, 5, 9, 11] * 10 + list(range(100, 160))
+    texts = [f"t{i}" for i in range(len(keys) - 20)] + ["same"] * 20
+    rows = spark.createDataFrame(list(zip(keys, texts, strict=True)), "k long, t string")
+    hashes = {r.t: r.h for r in rows.select("t", F.xxhash64("t").alias("h")).collect()}
+    ranges = defaultdict(set)
+    for r in syncmers.in_ranges(rows, "k", "t").collect():
+        ranges[r.k].add(r._range)
+    assert len(ranges[7]) > 4 and len(ranges[-(1 << 63)]) > 3
+    last = [max(ranges[k]) for k in sorted(ranges)]
+    assert last == sorted(last) and all(max(ranges[x]) <= min(ranges[y]) for x, y in zip(sorted(ranges), sorted(ranges)[1:], strict=False))
+    ordered = sorted(zip(keys, texts, strict=True), key=lambda x: (x[0], hashes[x[1]]), reverse=True)
+    want = Counter((k, t, ordered[(i + 1) % len(ordered)][1]) for i, (k, t) in enumerate(ordered))
+    assert Counter((r.k, r.t, r.next_t) for r in syncmers.with_next(rows, "k", "t", {}).collect()) == want
+
+
 def symbols_of(text):
     return [x for w in text.split() for x in (w[i : i + 3] for i in range(0, len(w), 3))]
 
