@@ -6,8 +6,8 @@ with that index often differ in more bits, so an exact join finds the pairs that
 A class can have a partner only if others hold at least ``SIMILAR`` of its shingles, and such a pair shares one of
 the rarest shingles of both (prefix filter), so all pairs are found; each is confirmed on the whole sets. Shingles travel
 packed by hash, so texts with common lines meet only where these are among their rarest. Of the classes
-that share a rare shingle the first few are compared with all others; where that leaves several components, further
-rounds compare more of them, but no two of one component: a clump costs its size, not the square of it.
+that share a rare shingle the first few are compared with all others. Where that leaves several components, the classes of that shingle come together with
+their sets, in cells of two blocks of bounded size, and each cell compares those that aren't of one component yet: it gives no pairs but links, fewer than it has classes.
 
 Defined cases: a null text is an empty one; texts without words are one class; fewer than five words make one shingle;
 repeated rows share a component; a null id never becomes a component's id unless all its ids are null; rows that agree in all
@@ -32,10 +32,8 @@ from skeinworks.llm.simhash import RADIUS, link_prints, majority
 
 #: Words of a shingle, and the least Jaccard index as a fraction.
 SHINGLE, SIMILAR, SEED = 5, (4, 5), 42
-#: Shingles of a packed part, and classes of a rare shingle compared with all others in the first round.
-PART, PIVOTS = 200_000, 8
-#: Times as many in each further round.
-FURTHER = 64
+#: Shingles of a packed part, classes of a rare shingle compared with all others at first, and classes in one block of those compared whole (expected).
+PART, PIVOTS, BLOCK = 200_000, 8, 1000
 #: Passes over the shingles at most, each with a share of them, and shingles that are worth one more: bounds what lies on disk at once. Texts packed at a time bound memory.
 PASSES, PASS, TEXTS = 4, 16_000_000, 500
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -151,15 +149,15 @@ def _postings(keys: np.ndarray, values: np.ndarray, counts: np.ndarray) -> pa.Re
     return pa.RecordBatch.from_arrays([pa.array(hashes[order][keep]), pa.array(keys[order][keep]), pa.array(size[at][keep])], names=["shingle", "key", "n"])
 
 
-def _pairs(low: int, high: int):
-    """Pairs of the classes of a shingle: those at places ``low`` to ``high`` with all after them, if of other components and near in size."""
+def _pairs(pivots: int):
+    """Pairs of the classes of a shingle: the first ones with all after them, if of other components and near in size."""
 
     def of(shingle: np.ndarray, keys: np.ndarray, n: np.ndarray, roots: np.ndarray) -> pa.RecordBatch:
         starts = np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1]]))
         first = np.repeat(starts, np.diff(np.append(starts, len(shingle))))
         place = np.arange(len(shingle)) - first
         out, at = [np.zeros((0, 2), dtype=np.int64)], np.arange(len(shingle))
-        for i in range(low, high):
+        for i in range(pivots):
             at = at[place[at] > i]
             if not len(at):
                 break
@@ -191,6 +189,44 @@ def _pairs(low: int, high: int):
     return rows
 
 
+def cell_links(keys: np.ndarray, roots: np.ndarray, blocks: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links that join all classes of a cell with the index asked for: of one block, or between two. Classes of one component, or joined before, aren't compared."""
+    order = np.argsort([len(x) for x in sets], kind="stable")
+    keys, roots, blocks, sets = keys[order], roots[order], blocks[order], [sets[i] for i in order]
+    n = np.array([len(x) for x in sets], dtype=np.int64)
+    starts = np.concatenate([[0], np.cumsum(n)])
+    words, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    mark, out, one = np.zeros(len(words), dtype=bool), [], (blocks == blocks[0]).all()
+    for i in range(len(keys) - 1):
+        # Sets are in order of size, so those that are near in size stand together.
+        end = int(np.searchsorted(n, SIMILAR[1] * n[i] // SIMILAR[0], side="right"))
+        other = np.flatnonzero((roots[i + 1 : end] != roots[i]) & (one | (blocks[i + 1 : end] != blocks[i]))) + i + 1
+        if not len(other):
+            continue
+        mark[flat[starts[i] : starts[i + 1]]] = True
+        a = starts[other[0]]
+        both = np.add.reduceat(mark[flat[a : starts[other[-1] + 1]]], starts[other[0] : other[-1] + 1] - a, dtype=np.int64)[other - other[0]]
+        mark[flat[starts[i] : starts[i + 1]]] = False
+        for j in other[SIMILAR[1] * both >= SIMILAR[0] * (n[i] + n[other] - both)].tolist():
+            if roots[j] != roots[i]:
+                out.append((int(keys[i]), int(keys[j])))
+                roots[roots == roots[j]] = roots[i]
+    return out
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows arrive sorted by cell (shingle and two blocks); each cell is compared when it is whole."""
+    rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+    for _, cell in itertools.groupby(rows, key=lambda r: r[:3]):
+        held = list(cell)
+        keys, roots, blocks = (np.array([r[i] for r in held], dtype=np.int64) for i in (3, 4, 5))
+        if len(held) > 1 and (roots != roots[0]).any():
+            links = cell_links(keys, roots, blocks, [np.frombuffer(r[6], dtype=np.int64) for r in held])
+            if links:
+                u, v = zip(*links, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs whose sets have the Jaccard index asked for."""
     for batch in batches:
@@ -242,20 +278,27 @@ def near_duplicates(docs: DataFrame, keep: list[str] | None = None, shingle: int
         both = pairs.join(held.select(F.col("key").alias("u"), F.col("shingles").alias("x")), "u").join(held.select(F.col("key").alias("v"), F.col("shingles").alias("y")), "v")
         return scratch.write(both.select("u", "v", "x", "y").mapInArrow(lean(_similar), "u long, v long"), name)
 
-    links, low, high, open_ = confirmed(_print_pairs(classes, scratch), "links"), 0, PIVOTS, None
-    while True:
+    def labelled(links: DataFrame, more_than: int, name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Components; postings with them; and the shingles that more than so many classes share, of several components."""
+        found = components(links, Scratch(spark, "shingle-join-round"))
+        rows = postings.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+        sizes = rows.groupBy("shingle").agg(F.count("*").alias("size"), F.min("root").alias("a"), F.max("root").alias("b"))
+        return found, rows, scratch.write(sizes.where((F.col("size") > more_than) & (F.col("a") < F.col("b"))).select("shingle", "size"), name)
+
+    found, rows, open_ = labelled(confirmed(_print_pairs(classes, scratch), "links"), 1, "open0")
+    if not open_.isEmpty():
+        ordered = rows.join(open_, "shingle", "left_semi").select("shingle", "key", "n", "root").repartition(parts, "shingle").sortWithinPartitions("shingle", "key")
+        pairs = scratch.write(ordered.mapInArrow(lean(_pairs(PIVOTS)), "u long, v long").distinct(), "pairs0")
+        links = found.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(confirmed(pairs, "links0"))  # components say as much as their links
+        found, rows, open_ = labelled(links, PIVOTS + 1, "open1")
+    if not open_.isEmpty():
+        block = F.pmod(F.xxhash64("key"), F.ceil(F.col("size") / BLOCK))
+        cells = F.transform(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("size") / BLOCK) - 1), lambda j: F.struct(F.least(j, F.col("block")).alias("a"), F.greatest(j, F.col("block")).alias("b")))
+        dealt_cells = rows.join(open_, "shingle").withColumn("block", block).select("shingle", "key", "root", "block", F.explode(cells).alias("cell"))
+        whole = dealt_cells.join(held, "key").select("shingle", "cell.a", "cell.b", "key", "root", "block", "shingles")
+        whole = whole.repartition(parts, "shingle", "a", "b").sortWithinPartitions("shingle", "a", "b", "key")
+        links = found.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(scratch.write(whole.mapInArrow(lean(_cells), "u long, v long"), "links1"))
         found = components(links, Scratch(spark, "shingle-join-round"))
-        links = found.select(F.col("node").alias("u"), F.col("root").alias("v"))  # says as much
-        labelled = postings.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-        # Shingles whose classes are of several components, and more than were compared.
-        sizes = labelled.groupBy("shingle").agg(F.count("*").alias("size"), F.min("root").alias("a"), F.max("root").alias("b"))
-        open_ = scratch.write(sizes.where((F.col("size") > (low + 1)) & (F.col("a") < F.col("b"))).select("shingle"), f"open{low}")
-        if open_.isEmpty():
-            break
-        ordered = labelled.join(open_, "shingle", "left_semi").select("shingle", "key", "n", "root").repartition(parts, "shingle").sortWithinPartitions("shingle", "key")
-        pairs = scratch.write(ordered.mapInArrow(lean(_pairs(low, high)), "u long, v long").distinct(), f"pairs{low}")
-        links = links.unionByName(confirmed(pairs, f"links{low}"))
-        low, high = high, FURTHER * high
     # Rows by id, those without one last, then by the other columns.
     order = F.struct(F.col("row.doc_id").isNull(), "row")
     joined = ids.groupBy("key").agg(F.min(order).alias("least")).join(found, F.col("key") == F.col("node"), "left").select("key", "least", F.coalesce("root", "key").alias("root"))

@@ -665,8 +665,9 @@ def test_near_dedup_stage_links_all_texts_alike_by_0_8(spark, monkeypatch):
         up = [min(a, b) if x in (a, b) else x for x in up]
     df = documents(spark, texts)
     assert len(set(up)) < len(texts) - 20 and any(up[i] != up[i - i % 6] for i in range(len(AWKWARD), len(texts)))
-    for pivots in (shingle_join.PIVOTS, 1):
+    for pivots, block in ((shingle_join.PIVOTS, shingle_join.BLOCK), (1, 3), (1, 1000)):
         monkeypatch.setattr(shingle_join, "PIVOTS", pivots)
+        monkeypatch.setattr(shingle_join, "BLOCK", block)
         assert {r.doc_id: r.component_id for r in shingle_join.near_duplicates(df).collect()} == dict(enumerate(up))
     assert sorted(r.doc_id for r in corpus_pipeline.near_dedup_stage(spark, df, "").collect()) == sorted(set(up))
     assert shingle_join.near_duplicates(documents(spark, [])).count() == 0
@@ -683,6 +684,28 @@ def test_misspelled_words_of_a_stem_are_caught_in_context(spark):
     assert abuse[3] == 1 and abuse[4] > 0 == abuse[5] and quoted[3] == 0 and quoted[5] > 0
 
 
+def test_cells_give_links_and_no_pairs():
+    """Against all pairs: the components are the same, with fewer links than classes, and pairs of one component or block aren't compared."""
+    rng = np.random.default_rng(12)
+    for one in (True, False):
+        base = rng.integers(0, 1 << 40, 100)
+        sets = [np.unique(np.where(rng.random(100) < rng.choice([0.02, 0.06, 0.3]), rng.integers(0, 1 << 40, 100), base)) for _ in range(120)]
+        keys, roots = np.arange(120) * 7, np.arange(120) // 2
+        blocks = np.zeros(120, dtype=np.int64) if one else np.arange(120) % 2
+        up = roots.copy()
+        for i in range(120):
+            for j in range(i):
+                both = len(np.intersect1d(sets[i], sets[j]))
+                if (one or blocks[i] != blocks[j]) and 5 * both >= 4 * (len(sets[i]) + len(sets[j]) - both):
+                    up[up == up[i]] = up[j]
+        links = shingle_join.cell_links(keys.copy(), roots.copy(), blocks, sets)
+        got = roots.copy()
+        for u, v in links:
+            got[got == got[u // 7]] = got[v // 7]
+        same = lambda x: {frozenset(np.flatnonzero(x == c).tolist()) for c in x}
+        assert same(got) == same(up) and 0 < len(links) < 60
+
+
 def test_near_dedup_keeps_one_row_of_each_group_whatever_its_id(spark):
     import corpus_pipeline
 
