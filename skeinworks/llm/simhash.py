@@ -246,6 +246,9 @@ def link_prints(prints: DataFrame, scratch: Scratch, r: int = RADIUS) -> DataFra
     dealt = prints.select("print").mapInArrow(_shards(masks_for(n), r), form)
     parts = max(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // 20_000)
     for k, vantage in enumerate(FURTHER if n > SHARD else ()):  # a shard holds a fingerprint once
+        dealt = scratch.write(dealt, f"dealt{k}")  # counted and searched, but made once
+        if k:
+            scratch.drop(f"dealt{k - 1}")
         big = dealt.groupBy("shard").count().where(F.col("count") > SHARD).select("shard")
         big = scratch.write(big, f"big{k}")
         if big.isEmpty():
