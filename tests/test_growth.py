@@ -42,6 +42,6 @@ def test_selection_by_index():
 
 
 @pytest.mark.skipif(not DATA.exists(), reason="no driver tables here")
-@pytest.mark.parametrize("name", ["b_person_pages", "person_profiles", "selected_text", "b_title_wins", "boxes", "addresses", "failed_pages"])
+@pytest.mark.parametrize("name", ["b_person_pages", "person_profiles", "selected_text", "b_title_wins", "boxes", "addresses", "failed_pages", "card_results", "card_sides", "card_info", "card_positional_ids", "reign_champions", "b_title_pages", "to_visit"])
 def test_pages_of_a_small_file_are_dealt(spark, name):
     assert plans.queries()[name](spark, str(DATA)).rdd.getNumPartitions() >= 4
