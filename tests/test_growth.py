@@ -1,12 +1,15 @@
 """Steps whose work must grow with the rows and be dealt to all tasks, however small the rows' file is."""
 
 import random
+import tracemalloc
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 
 from skeinworks.functions import dom
 from skeinworks.plans import queries as plans
+from skeinworks.sources import pages
 
 DATA = Path("/root/testdata/sf0.001")
 
@@ -45,3 +48,17 @@ def test_selection_by_index():
 @pytest.mark.parametrize("name", ["b_person_pages", "person_profiles", "selected_text", "b_title_wins", "boxes", "addresses", "failed_pages", "card_results", "card_sides", "card_info", "card_positional_ids", "reign_champions", "b_title_pages", "to_visit"])
 def test_pages_of_a_small_file_are_dealt(spark, name):
     assert plans.queries()[name](spark, str(DATA)).rdd.getNumPartitions() >= 4
+
+
+def test_a_worker_holds_one_long_page_at_a_time():
+    said = pages.Extractor("said", "said string", lambda page, url: [{"said": page.joined()}] if url != "u7" else [{"said": ""}, {"n": int("x")}])
+    batch = pa.record_batch({"url": [f"u{k}" for k in range(100)], "html": [str(k % 10) * 300_000 for k in range(100)]})
+    rows, most = [], 0
+    tracemalloc.start()
+    for out in pages._parsed(said)(iter([batch])):
+        most = max(most, out.nbytes)
+        rows += [(r["url"], r["seq"], r["record"] and r["record"][10:12], (r["error"] or "")[:10]) for r in out.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == [(f"u{k}", 0, str(k % 10) * 2, "") if k != 7 else ("u7", None, None, "ValueError") for k in range(100)]
+    assert most < 6_000_000 and peak < 20_000_000 < batch.nbytes
