@@ -62,3 +62,9 @@ def test_a_worker_holds_one_long_page_at_a_time():
     tracemalloc.stop()
     assert rows == [(f"u{k}", 0, str(k % 10) * 2, "") if k != 7 else ("u7", None, None, "ValueError") for k in range(100)]
     assert most < 6_000_000 and peak < 20_000_000 < batch.nbytes
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="no driver tables here")
+def test_listed_pages_are_parsed_once(spark):
+    plan = plans.queries()["to_visit"](spark, str(DATA))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
