@@ -34,3 +34,14 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert {*plans.queries()} <= {*__spark_entry__.queries()}
+
+
+def test_results_come_from_every_card(spark, tmp_path):
+    lines = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string"
+    rows = [(k, 10 * j + 1, j, 3 - j, 4.0 + j, 9.5, flag) for k in (None, *range(1, 12)) for j, flag in enumerate("RAN")]
+    spark.createDataFrame(rows, lines).write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = sorted(tuple(map(str, r)) for r in plans.queries()["card_results"](spark, str(tmp_path)).collect())
+    assert {r[0] for r in got} == {"None", *map(str, range(1, 12))} and len(got) == 24
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
+    assert got == sorted(tuple(map(str, r)) for r in con.sql(plans.oracle_sql()["card_results"]).fetchall())
