@@ -36,6 +36,16 @@ def test_plain_markup_gives_the_tolerant_tree():
     assert 300 < plain < 3000
 
 
+def test_short_documents_give_the_tree_of_long_ones(monkeypatch):
+    draw = random.Random(6)
+    bits = ["<div>", "</div>", "<li>", "</ul>", "<td>", "text ", "&amp;", "&amp;lt;", "&lt", "a < b", "<br/>", '<a href="x&amp;y&amp;">', '<a HREF="x&lt;y">', '<p class="a  b">', "</a>", "<img alt='1<2'>", "<!-- c -->", "<script>a<b</script>", ">", "<"]
+    found = ["".join(draw.choices(draw.sample(bits, 8), k=draw.randint(1, 15))) for _ in range(2000)]
+    short = [shape(dom.tree(html)) for html in found]
+    assert sum(dom._short(html) is not None for html in found) > 200
+    monkeypatch.setattr(dom, "SHORT", 0)
+    assert short == [shape(dom.tree(html)) for html in found] == [shape(tolerant(html)) for html in found]
+
+
 def test_selection_by_index():
     t = dom.tree("<ul class=a>" + "<li class='x y'><p class=x>1</p><b>2</b></li>" * 20 + "<li><i class=z>3</i></ul>")
     assert len(t.select("li.x p.x")) == len(t.select("ul > .x")) == 20 and len(t.select(".x")) == 40 and t.select(".a > .z") == t.select("i.z b") == []
@@ -68,3 +78,9 @@ def test_a_worker_holds_one_long_page_at_a_time():
 def test_listed_pages_are_parsed_once(spark):
     plan = plans.queries()["to_visit"](spark, str(DATA))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("MapInArrow") == 1
+
+
+def test_parts_are_found_in_one_walk():
+    t = dom.tree("<div class=a><p class=b>0</p><div class='b c'>1</div><div class=b>2</div></div><div class=d>3</div>")
+    inside = t.first("div.a").firsts("div", frozenset("abcd"))
+    assert {c: n.joined() for c, n in inside.items()} == {"a": "012", "b": "1", "c": "1"}
